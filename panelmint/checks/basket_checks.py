@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelmint.checks import sql
-from panelmint.checks.registry import BRANDS, EVENTS, brand_year, events, query, rounded
+from panelmint.checks.registry import BRANDS, EVENTS, brand_year, events, query, rounded, static
 from panelmint.operators import correlation as corr
 from panelmint.operators import selection, weights
 from panelmint.operators.features import forecast_frame, windowed_forecast_frame
 from panelmint.operators.models import mean_prediction, regression_metrics as score_metrics
 from panelmint.operators.splits import chronological_split
-from panelmint.operators.tournament import tournament
-from panelmint.plans import static_models
 
 STATIC = (sql.EVENT_BARS, sql.RETURNS, sql.EVENT_METRICS, sql.universe(EVENTS.max_symbols), sql.EDGES)
 STATIC_WALK = (*STATIC, sql.STATIC_RANKED, sql.walk(EVENTS.theta, "edges0"))
@@ -29,10 +27,7 @@ WINDOW_WALK = (*WINDOW, sql.CANDIDATES, sql.WINDOW_EDGES, sql.walk(BRANDS.theta,
     ),
 )
 def correlation_edges(spark, folder):
-    panel = events(spark, folder)
-    universe = selection.as_members(selection.universe_cap(panel, EVENTS))
-    named = corr.named_edges(static_models.static_edges(panel, EVENTS), universe, EVENTS)
-    return rounded(named.drop("month"), "rho")
+    return rounded(static(spark, folder).named_edges().drop("month"), "rho")
 
 
 @query(
@@ -44,7 +39,7 @@ def correlation_edges(spark, folder):
     ),
 )
 def correlation_summary(spark, folder):
-    summary = corr.matrix_summary(static_models.static_edges(events(spark, folder), EVENTS))
+    summary = corr.matrix_summary(static(spark, folder).edges())
     return rounded(summary, "min_rho", "max_rho", "mean_abs_rho")
 
 
@@ -56,8 +51,7 @@ def correlation_summary(spark, folder):
     ),
 )
 def windowed_correlations(spark, folder):
-    run = brand_year(spark, folder)
-    return rounded(run.edges(run.candidates()), "rho")
+    return rounded(brand_year(spark, folder).edges(), "rho")
 
 
 @query(
@@ -69,7 +63,7 @@ def windowed_correlations(spark, folder):
     ),
 )
 def correlation_tournament(spark, folder):
-    survivors = static_models.static_survivors(events(spark, folder), EVENTS)
+    survivors = static(spark, folder).survivors()
     return rounded(survivors.select("symbol", "ord", "sharpe"), "sharpe")
 
 
@@ -82,9 +76,7 @@ def correlation_tournament(spark, folder):
     ),
 )
 def windowed_tournament(spark, folder):
-    run = brand_year(spark, folder)
-    candidates = run.candidates()
-    survivors = tournament(run.edges(candidates), candidates, BRANDS, run.schedule.months)
+    survivors = brand_year(spark, folder).survivors()
     return rounded(survivors.select("month", "symbol", "ord", "sharpe"), "sharpe")
 
 
@@ -96,7 +88,7 @@ BASKET_SQL = f"""SELECT symbol, round((1 / annual_vol) / sum(1 / annual_vol) OVE
 
 @query("smart_basket", sql.build(*STATIC_WALK, select=BASKET_SQL.format(source="survivors"), recursive=True))
 def smart_basket(spark, folder):
-    return rounded(static_models.smart_basket(events(spark, folder), EVENTS), *BASKET_COLUMNS)
+    return rounded(static(spark, folder).smart_basket(), *BASKET_COLUMNS)
 
 
 @query(
@@ -104,7 +96,7 @@ def smart_basket(spark, folder):
     sql.build(sql.EVENT_BARS, sql.RETURNS, sql.EVENT_METRICS, select=BASKET_SQL.format(source="metrics")),
 )
 def smart_basket_simple(spark, folder):
-    return rounded(static_models.simple_basket(events(spark, folder), EVENTS), *BASKET_COLUMNS)
+    return rounded(static(spark, folder).simple_basket(), *BASKET_COLUMNS)
 
 
 @query(
@@ -145,7 +137,7 @@ GROUPED = "SELECT *, CAST(symbol AS BIGINT) % 5 AS grp FROM metrics WHERE sharpe
 
 
 def _grouped(spark, folder):
-    table = static_models.static_metrics(events(spark, folder), EVENTS)
+    table = static(spark, folder).metrics
     return table.withColumn("cluster", F.col("symbol").cast("bigint") % 5)
 
 

@@ -4,27 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelmint.checks.registry import EVENTS, brand_year, events, query, rounded
+from panelmint.checks.registry import EVENTS, brand_year, query, rounded, static
 from panelmint.operators import correlation as corr
 from panelmint.operators import models, selection
-from panelmint.plans import static_models
 from panelmint.plans.walk_forward import FITTED
 
 
 @query("kmeans_clusters")
 def kmeans_clusters(spark, folder):
-    clustered = static_models.static_clusters(events(spark, folder), EVENTS)
+    clustered = static(spark, folder).clusters()
     return rounded(clustered.select("symbol", "cluster", "sharpe", "annual_ret", "annual_vol"), "sharpe", "annual_ret", "annual_vol")
 
 
 @query("cluster_stats")
 def cluster_stats(spark, folder):
-    return models.cluster_stats(static_models.static_clusters(events(spark, folder), EVENTS)).orderBy("cluster")
+    return models.cluster_stats(static(spark, folder).clusters()).orderBy("cluster")
 
 
 @query("cluster_quality")
 def cluster_quality(spark, folder):
-    clustered = static_models.static_clusters(events(spark, folder), EVENTS)
+    clustered = static(spark, folder).clusters()
     score = models.silhouette(clustered)
     return clustered.agg(F.count_distinct("cluster").alias("clusters"), F.count("*").alias("symbols")).withColumn(
         "silhouette", F.round(F.lit(score), 6)
@@ -33,7 +32,7 @@ def cluster_quality(spark, folder):
 
 @query("cluster_leaders")
 def cluster_leaders(spark, folder):
-    clustered = static_models.static_clusters(events(spark, folder), EVENTS)
+    clustered = static(spark, folder).clusters()
     return selection.group_leaders(clustered, ("month", "cluster")).select(
         "symbol", "cluster", "sharpe", "annual_ret", "annual_vol"
     )
@@ -46,14 +45,14 @@ def cluster_balanced_basket(spark, folder):
 
 @query("pca_variance")
 def pca_variance(spark, folder):
-    loadings = static_models.static_components(events(spark, folder), EVENTS)
+    loadings = static(spark, folder).components()
     variance = corr.explained_variance(loadings, EVENTS).drop("month")
     return rounded(variance, "explained_variance", "cumulative_variance")
 
 
 @query("pca_scores")
 def pca_scores(spark, folder):
-    return static_models.static_scores(events(spark, folder), EVENTS).drop("month")
+    return static(spark, folder).scores().drop("month")
 
 
 @query("pca_residual_basket")
@@ -63,19 +62,19 @@ def pca_residual_basket(spark, folder):
 
 @query("gbt_forecast")
 def gbt_forecast(spark, folder):
-    _, scored = static_models.static_forecast(events(spark, folder), EVENTS)
+    _, scored = static(spark, folder).forecast()
     return scored.select("symbol", "timestamp", "target", "prediction")
 
 
 @query("gbt_evaluation")
 def gbt_evaluation(spark, folder):
-    _, scored = static_models.static_forecast(events(spark, folder), EVENTS)
+    _, scored = static(spark, folder).forecast()
     return models.regression_metrics(scored)
 
 
 @query("gbt_importance")
 def gbt_importance(spark, folder):
-    model, scored = static_models.static_forecast(events(spark, folder), EVENTS)
+    model, scored = static(spark, folder).forecast()
     return models.feature_importance(model, scored)
 
 

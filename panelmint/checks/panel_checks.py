@@ -170,7 +170,7 @@ def log_returns(spark, folder):
     ),
 )
 def windowed_returns(spark, folder):
-    return rounded(brand_year(spark, folder).returns(), "ret")
+    return rounded(returns.windowed_returns(brand_year(spark, folder).bars()), "ret")
 
 
 METRIC_COLUMNS = ["sum_log_ret", "std_log_ret", "annual_ret", "annual_vol", "sharpe"]
@@ -195,7 +195,7 @@ def asset_metrics(spark, folder):
 )
 def windowed_metrics(spark, folder):
     table = brand_year(spark, folder).metrics().filter(valid_risk(F.col("annual_vol"), F.col("sharpe")))
-    return rounded(table, *METRIC_COLUMNS)
+    return rounded(table.drop("first_bar"), *METRIC_COLUMNS)
 
 
 @query(

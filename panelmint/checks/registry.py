@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmint.config import Schedule, Settings
+from panelmint.plans.static_models import StaticModels
 from panelmint.plans.walk_forward import WalkForward
 from panelmint.session import use_utc
 from panelmint.sources import tables
@@ -52,6 +53,10 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return tables.event_bars(spark, folder)
 
 
+def static(spark: SparkSession, folder: str) -> StaticModels:
+    return StaticModels(events(spark, folder), EVENTS)
+
+
 def brands(spark: SparkSession, folder: str) -> DataFrame:
     return tables.part_bars(spark, folder, "p_brand")
 

@@ -31,9 +31,9 @@ WALK = (
 
 EQUITY = f"""
 equity AS (
-  SELECT strategy, 0 AS month, {BRANDS.initial_capital} AS value FROM results GROUP BY 1
+  SELECT strategy, 0 AS month, CAST({BRANDS.initial_capital} AS DOUBLE) AS value FROM results GROUP BY 1
   UNION ALL
-  SELECT strategy, month, {BRANDS.initial_capital} * product(1 + month_return) OVER (
+  SELECT strategy, month, CAST({BRANDS.initial_capital} AS DOUBLE) * product(1 + month_return) OVER (
     PARTITION BY strategy ORDER BY month ROWS UNBOUNDED PRECEDING) FROM results
 ),
 falls AS (
@@ -61,7 +61,7 @@ PERFORMANCE_COLUMNS = [
 PERFORMANCE_SELECT = f"""SELECT strategy, round(g - 1, 6) AS total_return, round(ann_return, 6) AS ann_return,
   round(vol, 6) AS ann_volatility, round(CASE WHEN vol > 0 THEN ann_return / vol ELSE 0.0 END, 6) AS sharpe,
   round(max_drawdown, 6) AS max_drawdown, round(win_rate, 6) AS win_rate,
-  round({BRANDS.initial_capital} * g, 6) AS final_value FROM table_rows"""
+  round(CAST({BRANDS.initial_capital} AS DOUBLE) * g, 6) AS final_value FROM table_rows"""
 
 
 def _walk(spark, folder):

@@ -39,7 +39,8 @@ class Settings:
     chunk_bars: int = 512
     gram_block: int = 256
     fit_partitions: int | None = None  # None: as many as the session shuffles into
-    parallel_fits: int = 4
+    rows_per_fit_task: int = 100_000
+    parallel_fits: int = 8
 
     @property
     def chunk_micros(self) -> int:

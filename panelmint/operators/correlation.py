@@ -11,58 +11,16 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelmint.config import Settings
 from panelmint.functions.expressions import bounded_broadcast, with_chunk
+from panelmint.functions.kernels import block_products, eigen
 
 SUMS = ("sxy", "sx", "sy", "sxx", "syy")
 
 
-def _dense(cells: pd.DataFrame, rows: np.ndarray, n_rows: int, width: int) -> np.ndarray:
-    out = np.zeros((n_rows, width))
-    out[rows, cells["slot"].to_numpy()] = cells["ret"].to_numpy()
-    return out
-
-
-def _block_products(block: int):
-    """Partial sums of one (month, chunk, left block, right block) group."""
-
-    def products(pdf: pd.DataFrame) -> pd.DataFrame:
-        left, right = int(pdf["left"].iloc[0]), int(pdf["right"].iloc[0])
-        size = int(pdf["size"].iloc[0])
-        widths = [min(block, size - b * block) for b in (left, right)]
-        codes, stamps = pd.factorize(pdf["timestamp"])
-        sides = []
-        for b, width in zip((left, right), widths):
-            mine = (pdf["block"] == b).to_numpy()
-            sides.append(_dense(pdf[mine], codes[mine], len(stamps), width))
-        x, y = sides
-        i, j = np.indices((widths[0], widths[1])).reshape(2, -1)
-        if left == right:
-            upper = i <= j
-            i, j = i[upper], j[upper]
-        gram = x.T @ y
-        squares = (x * x).sum(0), (y * y).sum(0)
-        return pd.DataFrame(
-            {
-                "month": np.int32(pdf["month"].iloc[0]),
-                "i": (left * block + i).astype("int32"),
-                "j": (right * block + j).astype("int32"),
-                "sxy": gram[i, j],
-                "sx": x.sum(0)[i],
-                "sy": y.sum(0)[j],
-                "sxx": squares[0][i],
-                "syy": squares[1][j],
-            }
-        )
-
-    return products
-
-
 def chosen_returns(returns: DataFrame, members: DataFrame, settings: Settings, months: int = 1) -> DataFrame:
     """Returns of the chosen symbols, with their matrix position.
 
@@ -93,7 +51,7 @@ def pair_moments(chosen: DataFrame, settings: Settings) -> DataFrame:
         )
         sided = cells.withColumn("pair", F.explode(partners)).select("*", "pair.left", "pair.right").drop("pair")
     partial = sided.groupBy("month", "chunk", "left", "right").applyInPandas(
-        _block_products(block),
+        block_products(block),
         "month int, i int, j int, " + ", ".join(f"{s} double" for s in SUMS),
     )
     return partial.groupBy("month", "i", "j").agg(*[F.sum(s).alias(s) for s in SUMS])
@@ -104,6 +62,23 @@ def matrix_rows(returns: DataFrame) -> DataFrame:
     return returns.select("month", "timestamp").distinct().groupBy("month").agg(F.count("*").alias("t"))
 
 
+def rows_with_any_return(bars: DataFrame, firsts: DataFrame) -> DataFrame:
+    """`matrix_rows` over the returns of all symbols, without building those returns.
+
+    Every bar has a return but the first one of its series, so a timestamp counts unless all its
+    bars are first bars. `bars` are lookback bars; `firsts` has `month, symbol, first_bar`. Both
+    counts are combined on the map side.
+    """
+    present = bars.groupBy("month", "timestamp").agg(F.count("*").alias("n"))
+    opening = firsts.groupBy("month", F.col("first_bar").alias("timestamp")).agg(F.count("*").alias("n_first"))
+    return (
+        present.join(opening, ["month", "timestamp"], "left")
+        .filter(F.col("n") > F.coalesce("n_first", F.lit(0)))
+        .groupBy("month")
+        .agg(F.count("*").alias("t"))
+    )
+
+
 def correlations(moments: DataFrame, rows: DataFrame) -> DataFrame:
     """Pearson `rho` for `i < j`; null where a symbol does not vary."""
     t = F.col("t")
@@ -142,39 +117,6 @@ def matrix_summary(edges: DataFrame) -> DataFrame:
     )
 
 
-def _eigen(components: int):
-    """Principal components of one month, from its (bounded) table of pair moments."""
-
-    def decompose(pdf: pd.DataFrame) -> pd.DataFrame:
-        ords = np.unique(pdf[["i", "j"]].to_numpy())
-        n, t = len(ords), float(pdf["t"].iloc[0])
-        i, j = np.searchsorted(ords, pdf["i"]), np.searchsorted(ords, pdf["j"])
-        cov = np.zeros((n, n))
-        cov[i, j] = (pdf["sxy"] - pdf["sx"] * pdf["sy"] / t) / (t - 1)
-        cov[j, i] = cov[i, j]
-        values, vectors = np.linalg.eigh(cov)
-        order = np.argsort(values)[::-1][: min(components, n)]
-        total = values.sum()
-        frames = []
-        for rank, k in enumerate(order, start=1):
-            vector = vectors[:, k]
-            vector = vector * np.sign(vector[np.argmax(np.abs(vector))])
-            frames.append(
-                pd.DataFrame(
-                    {
-                        "month": np.int32(pdf["month"].iloc[0]),
-                        "component": np.int32(rank),
-                        "explained_variance": values[k] / total if total > 0 else 0.0,
-                        "ord": ords.astype("int32"),
-                        "loading": vector,
-                    }
-                )
-            )
-        return pd.concat(frames)
-
-    return decompose
-
-
 def principal_components(moments: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
     """Loadings of the leading components per month: `month, component, explained_variance, ord, loading`.
 
@@ -184,7 +126,7 @@ def principal_components(moments: DataFrame, rows: DataFrame, settings: Settings
     # A covariance needs two observations.
     ready = moments.join(F.broadcast(rows.filter(F.col("t") > 1)), "month")
     return ready.groupBy("month").applyInPandas(
-        _eigen(settings.components),
+        eigen(settings.components),
         "month int, component int, explained_variance double, ord int, loading double",
     )
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelmint.config import Schedule, Settings
-from panelmint.functions.expressions import log_ratio, with_chunk
-from panelmint.operators.returns import lookback_bars
+from panelmint.functions.expressions import log_ratio
+from panelmint.operators.returns import chunked_bars, lookback_bars
 
 FEATURES = ["ret_lag1", "ret_lag2", "ret_lag3", "ma_ratio", "volatility_7d"]
 
@@ -44,11 +44,7 @@ def with_row_blocks(panel: DataFrame, settings: Settings) -> DataFrame:
     windows of up to ROWS_BACK back and ROWS_AHEAD ahead are exact on the core rows of a block.
     """
     size = settings.chunk_bars
-    bars = (
-        with_chunk(panel, settings.chunk_micros)
-        .select("symbol", "chunk", "timestamp", "close")
-        .repartition("symbol", "chunk")
-    )
+    bars = chunked_bars(panel, settings)
     earlier = Window.partitionBy("symbol").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bars.groupBy("symbol", "chunk")

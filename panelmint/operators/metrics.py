@@ -4,29 +4,37 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelmint.config import Settings
 
 
-def asset_metrics(returns: DataFrame, settings: Settings, by: tuple[str, ...] = ()) -> DataFrame:
-    """Count, sum and sample deviation of returns, annualised; `min_obs` itself is too few."""
+def series_stats(returns: DataFrame, by: tuple[str, ...] = (), *more: Column) -> DataFrame:
+    """Count, sum and sample deviation of the returns per symbol. Null returns do not count."""
+    return returns.groupBy(*by, "symbol").agg(
+        F.count("ret").alias("count"),
+        F.sum("ret").alias("sum_log_ret"),
+        F.stddev_samp("ret").alias("std_log_ret"),
+        *more,
+    )
+
+
+def annualised(stats: DataFrame, settings: Settings) -> DataFrame:
+    """Annual return, volatility and Sharpe ratio of series with more than `min_obs` returns."""
     periods = F.lit(float(settings.periods_per_year))
     return (
-        returns.groupBy(*by, "symbol")
-        .agg(
-            F.count("ret").alias("count"),
-            F.sum("ret").alias("sum_log_ret"),
-            F.stddev_samp("ret").alias("std_log_ret"),
-        )
-        .filter(F.col("count") > settings.min_obs)
+        stats.filter(F.col("count") > settings.min_obs)
         .withColumn("annual_ret", F.col("sum_log_ret") * (periods / F.col("count")))
         .withColumn("annual_vol", F.col("std_log_ret") * F.lit(math.sqrt(settings.periods_per_year)))
         .withColumn("sharpe", F.try_divide("annual_ret", "annual_vol"))
     )
 
 
+def asset_metrics(returns: DataFrame, settings: Settings, by: tuple[str, ...] = ()) -> DataFrame:
+    return annualised(series_stats(returns, by), settings)
+
+
 def zscores(frame: DataFrame, columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
     """Add `<column>_z`: centred, divided by the sample deviation; 0 where nothing varies.
 

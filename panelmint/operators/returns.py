@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelmint.config import Schedule, Settings
-from panelmint.functions.expressions import log_ratio, month_start, with_chunk
+from panelmint.functions.expressions import bounded_broadcast, log_ratio, month_start, with_chunk
+
+
+def chunked_bars(panel: DataFrame, settings: Settings) -> DataFrame:
+    """Bars laid out by symbol and chunk of the time grid."""
+    keyed = panel.filter(F.col("symbol").isNotNull() & F.col("timestamp").isNotNull())
+    return (
+        with_chunk(keyed, settings.chunk_micros)
+        .select("symbol", "chunk", "timestamp", "close")
+        .repartition("symbol", "chunk")
+    )
 
 
 def log_returns(panel: DataFrame, settings: Settings) -> DataFrame:
@@ -19,11 +29,7 @@ def log_returns(panel: DataFrame, settings: Settings) -> DataFrame:
     last close of the symbol's previous non-empty chunk from a table with one row per chunk.
     Both sides read the same exchange, so the panel is scanned and shuffled once.
     """
-    bars = (
-        with_chunk(panel, settings.chunk_micros)
-        .select("symbol", "chunk", "timestamp", "close")
-        .repartition("symbol", "chunk")
-    )
+    bars = chunked_bars(panel, settings)
     closing = bars.groupBy("symbol", "chunk").agg(F.max_by("close", "timestamp").alias("last_close"))
     carried = closing.select(
         "symbol",
@@ -33,8 +39,8 @@ def log_returns(panel: DataFrame, settings: Settings) -> DataFrame:
     inside = Window.partitionBy("symbol", "chunk").orderBy("timestamp")
     return (
         bars.withColumn("previous", F.lag("close").over(inside))
-        # Every chunk has its row in `carried`; "left" only spares both sides a null filter
-        # that would stop Spark from reusing the exchange.
+        # Every chunk has its row in `carried`; "left" keeps Spark from adding null filters to
+        # one side only, which would stop it from reusing the exchange.
         .join(carried, ["symbol", "chunk"], "left")
         .withColumn("ret", log_ratio(F.col("close"), F.coalesce("previous", "carried")))
         .filter(F.col("ret").isNotNull())
@@ -69,20 +75,25 @@ def lookback_bars(panel: DataFrame, schedule: Schedule) -> DataFrame:
     )
 
 
-def windowed_returns(panel: DataFrame, schedule: Schedule) -> DataFrame:
-    """Log returns inside each lookback: the first bar of a window has none.
+def windowed_returns(bars: DataFrame) -> DataFrame:
+    """Log returns of lookback bars: the first bar of a window has none.
 
     A (month, symbol) group holds at most the bars of one lookback, so a plain window is safe.
     """
     series = Window.partitionBy("month", "symbol").orderBy("timestamp")
     return (
-        lookback_bars(panel, schedule)
-        .withColumn("ret", log_ratio(F.col("close"), F.lag("close").over(series)))
+        bars.withColumn("ret", log_ratio(F.col("close"), F.lag("close").over(series)))
         .filter(F.col("ret").isNotNull())
         .select("month", "symbol", "timestamp", "ret")
     )
 
 
+def only_members(bars: DataFrame, members: DataFrame, at_most: int) -> DataFrame:
+    """Lookback bars of each month's members; there are `at_most` members in all."""
+    keys = bounded_broadcast(members.select("month", "symbol"), at_most)
+    return bars.join(keys, ["month", "symbol"], "left_semi")
+
+
 def time_range(panel: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Bars in `[start, end)`. Prunes year/month partitions where the panel carries them."""
     ts = F.col("timestamp")
@@ -95,8 +106,10 @@ def time_range(panel: DataFrame, start: datetime, end: datetime) -> DataFrame:
     return bars
 
 
-def only_symbols(panel: DataFrame, symbols: DataFrame) -> DataFrame:
-    return panel.join(symbols.select("symbol"), "symbol", "left_semi")
+def only_symbols(panel: DataFrame, symbols: DataFrame, at_most: int | None = None) -> DataFrame:
+    """Bars of the given symbols. `at_most` bounds the number of symbols where it is known."""
+    keys = symbols.select("symbol")
+    return panel.join(keys if at_most is None else bounded_broadcast(keys, at_most), "symbol", "left_semi")
 
 
 def bars_at(panel: DataFrame, instants: list[datetime]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import cached_property
+
 from pyspark import StorageLevel
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame
@@ -19,69 +22,79 @@ from panelmint.operators.tournament import tournament
 from panelmint.operators.weights import inverse_vol_weights
 
 
-def static_returns(panel: DataFrame, settings: Settings) -> DataFrame:
-    """Whole-history returns as the one window `month = 0`."""
-    return log_returns(panel, settings).withColumn("month", F.lit(0))
-
-
-def static_metrics(panel: DataFrame, settings: Settings) -> DataFrame:
-    return asset_metrics(static_returns(panel, settings), settings, by=("month",))
-
-
-def static_members(panel: DataFrame, settings: Settings) -> DataFrame:
-    """The capped universe in matrix order (most bars first), with metrics where known."""
-    universe = as_members(universe_cap(panel, settings))
-    return universe.join(static_metrics(panel, settings), ["month", "symbol"], "left")
-
+@dataclass(frozen=True)
+class StaticModels:
+    """The whole history is treated as one window, `month = 0`.
 
-def static_moments(panel: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """Pair moments of the capped universe and the number of matrix rows."""
-    universe = as_members(universe_cap(panel, settings))
-    chosen = corr.chosen_returns(static_returns(panel, settings), universe, settings)
-    return corr.pair_moments(chosen, settings), corr.matrix_rows(chosen)
+    What several models share is kept: the universe (at most `max_symbols` rows), one row per
+    symbol for the metrics, one row per pair for the matrix. Returns are not kept. The matrix
+    reads the panel again, but only for the symbols of the universe.
+    """
 
+    panel: DataFrame
+    settings: Settings
 
-def static_edges(panel: DataFrame, settings: Settings) -> DataFrame:
-    return corr.correlations(*static_moments(panel, settings))
+    @cached_property
+    def universe(self) -> DataFrame:
+        return as_members(universe_cap(self.panel, self.settings)).persist(StorageLevel.MEMORY_AND_DISK)
 
+    @cached_property
+    def metrics(self) -> DataFrame:
+        returns = log_returns(self.panel, self.settings)
+        return asset_metrics(returns, self.settings).withColumn("month", F.lit(0)).persist(StorageLevel.MEMORY_AND_DISK)
 
-def static_survivors(panel: DataFrame, settings: Settings) -> DataFrame:
-    return tournament(static_edges(panel, settings), static_members(panel, settings), settings)
+    @cached_property
+    def universe_panel(self) -> DataFrame:
+        return only_symbols(self.panel, self.universe, at_most=self.settings.max_symbols)
 
+    @cached_property
+    def chosen(self) -> DataFrame:
+        """Returns of the universe with their matrix positions."""
+        returns = log_returns(self.universe_panel, self.settings).withColumn("month", F.lit(0))
+        return corr.chosen_returns(returns, self.universe, self.settings)
 
-def smart_basket(panel: DataFrame, settings: Settings) -> DataFrame:
-    """Capped universe, correlation tournament, best Sharpe ratios, inverse-volatility weights."""
-    top = top_sharpe(static_survivors(panel, settings), settings.top_n)
-    return inverse_vol_weights(top).select("symbol", "weight", "sharpe", "annual_ret", "annual_vol")
+    @cached_property
+    def moments(self) -> DataFrame:
+        return corr.pair_moments(self.chosen, self.settings).persist(StorageLevel.MEMORY_AND_DISK)
 
+    def edges(self) -> DataFrame:
+        return corr.correlations(self.moments, corr.matrix_rows(self.chosen))
 
-def simple_basket(panel: DataFrame, settings: Settings) -> DataFrame:
-    """The same without the tournament."""
-    top = top_sharpe(static_metrics(panel, settings), settings.top_n)
-    return inverse_vol_weights(top).select("symbol", "weight", "sharpe", "annual_ret", "annual_vol")
+    def named_edges(self) -> DataFrame:
+        return corr.named_edges(self.edges(), self.universe, self.settings)
 
+    def survivors(self) -> DataFrame:
+        """Universe in matrix order (most bars first), metrics where known, losers left out."""
+        members = self.universe.join(self.metrics, ["month", "symbol"], "left")
+        return tournament(self.edges(), members, self.settings)
 
-def static_clusters(panel: DataFrame, settings: Settings) -> DataFrame:
-    return cluster_assets(static_metrics(panel, settings), settings)
+    def smart_basket(self) -> DataFrame:
+        """Capped universe, correlation tournament, best Sharpe ratios, inverse-volatility weights."""
+        return self._basket(self.survivors())
 
+    def simple_basket(self) -> DataFrame:
+        """The same without the tournament."""
+        return self._basket(self.metrics)
 
-def static_components(panel: DataFrame, settings: Settings) -> DataFrame:
-    return corr.principal_components(*static_moments(panel, settings), settings)
+    def _basket(self, source: DataFrame) -> DataFrame:
+        top = top_sharpe(source, self.settings.top_n)
+        return inverse_vol_weights(top).select("symbol", "weight", "sharpe", "annual_ret", "annual_vol")
 
+    def clusters(self) -> DataFrame:
+        return cluster_assets(self.metrics, self.settings)
 
-def static_scores(panel: DataFrame, settings: Settings) -> DataFrame:
-    """Every timestamp projected on the components of the capped universe."""
-    universe = as_members(universe_cap(panel, settings))
-    chosen = corr.chosen_returns(static_returns(panel, settings), universe, settings)
-    return corr.component_scores(chosen, static_components(panel, settings), settings)
+    def components(self) -> DataFrame:
+        return corr.principal_components(self.moments, corr.matrix_rows(self.chosen), self.settings)
 
+    def scores(self) -> DataFrame:
+        """Every timestamp projected on the components."""
+        return corr.component_scores(self.chosen, self.components(), self.settings)
 
-def static_forecast(panel: DataFrame, settings: Settings) -> tuple[GBTRegressionModel, DataFrame]:
-    """Boosted trees on the capped universe: the model and the scored test rows."""
-    source = only_symbols(panel, universe_cap(panel, settings))
-    # Counted, ranked and split below; kept so that the features are built once.
-    frame = forecast_frame(source, settings).persist(StorageLevel.MEMORY_AND_DISK)
-    split = hash_split(row_cap(frame, settings.row_cap), settings.train_share)
-    ready = fit_ready(vectors(split, FEATURES), settings, ["symbol", "timestamp"])
-    model = fit_static_forecast(ready.filter("is_train"), settings)
-    return model, model.transform(ready.filter(~F.col("is_train")))
+    def forecast(self) -> tuple[GBTRegressionModel, DataFrame]:
+        """Boosted trees on the universe: the model and the scored test rows."""
+        # Counted, ranked and split below; kept so that the features are built once.
+        frame = forecast_frame(self.universe_panel, self.settings).persist(StorageLevel.MEMORY_AND_DISK)
+        split = hash_split(row_cap(frame, self.settings.row_cap), self.settings.train_share)
+        ready = fit_ready(vectors(split, FEATURES), self.settings, ["symbol", "timestamp"])
+        model = fit_static_forecast(ready.filter("is_train"), self.settings)
+        return model, model.transform(ready.filter(~F.col("is_train")))

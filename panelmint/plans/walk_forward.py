@@ -6,17 +6,20 @@ All months run in one plan. Only the MLlib fits, which have no grouped form, run
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelmint.config import Schedule, Settings
+from panelmint.functions.expressions import log_ratio
 from panelmint.operators import correlation as corr
 from panelmint.operators.features import windowed_forecast_frame
 from panelmint.operators.holding import holding_returns
-from panelmint.operators.metrics import asset_metrics
+from panelmint.operators.metrics import annualised, series_stats
 from panelmint.operators.models import cluster_assets, monthly_predictions
-from panelmint.operators.returns import windowed_returns
+from panelmint.operators.returns import lookback_bars, only_members, windowed_returns
 from panelmint.operators.selection import as_members, candidate_cap, round_robin, top_residual, top_sharpe
 from panelmint.operators.splits import chronological_split
 from panelmint.operators.tournament import tournament
@@ -34,28 +37,57 @@ FITTED = ("clusters", "pca_residual", "forecast")
 
 @dataclass(frozen=True)
 class WalkForward:
-    """One panel with its calendar. Baskets are `month, symbol, weight`."""
+    """One panel with its calendar. Baskets are `month, symbol, weight`.
+
+    The lookbacks are shuffled once, down to one row per month and symbol. That table, the
+    candidates (at most `max_symbols` per month) and their pair moments are kept for all
+    strategies. The matrices read the panel again, but only for the candidates.
+    """
 
     panel: DataFrame
     schedule: Schedule
     settings: Settings
     benchmark_symbol: str
 
-    def returns(self) -> DataFrame:
-        return windowed_returns(self.panel, self.schedule)
+    @property
+    def members_at_most(self) -> int:
+        return self.schedule.months * self.settings.max_symbols
+
+    def bars(self) -> DataFrame:
+        return lookback_bars(self.panel, self.schedule)
+
+    @cached_property
+    def series(self) -> DataFrame:
+        """One row per month and symbol: return statistics and the first bar of the window."""
+        window = Window.partitionBy("month", "symbol").orderBy("timestamp")
+        returns = self.bars().withColumn("ret", log_ratio(F.col("close"), F.lag("close").over(window)))
+        stats = series_stats(returns, ("month",), F.min("timestamp").alias("first_bar"))
+        return stats.persist(StorageLevel.MEMORY_AND_DISK)
 
     def metrics(self) -> DataFrame:
-        return asset_metrics(self.returns(), self.settings, by=("month",))
+        return annualised(self.series, self.settings)
 
+    @cached_property
     def candidates(self) -> DataFrame:
         """Capped candidates in matrix order: best Sharpe ratio first."""
-        return as_members(candidate_cap(self.metrics(), self.settings))
+        return as_members(candidate_cap(self.metrics(), self.settings)).persist(StorageLevel.MEMORY_AND_DISK)
+
+    @cached_property
+    def chosen(self) -> DataFrame:
+        """Returns of the candidates with their matrix positions."""
+        bars = only_members(self.bars(), self.candidates, self.members_at_most)
+        return corr.chosen_returns(windowed_returns(bars), self.candidates, self.settings, self.schedule.months)
 
-    def edges(self, candidates: DataFrame) -> DataFrame:
+    @cached_property
+    def moments(self) -> DataFrame:
+        return corr.pair_moments(self.chosen, self.settings).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def edges(self) -> DataFrame:
         """Correlations of the candidates; matrix rows are all timestamps with any return."""
-        returns, months = self.returns(), self.schedule.months
-        chosen = corr.chosen_returns(returns, candidates, self.settings, months)
-        return corr.correlations(corr.pair_moments(chosen, self.settings), corr.matrix_rows(returns))
+        return corr.correlations(self.moments, corr.rows_with_any_return(self.bars(), self.series))
+
+    def survivors(self) -> DataFrame:
+        return tournament(self.edges(), self.candidates, self.settings, self.schedule.months)
 
     def benchmark(self) -> DataFrame:
         return benchmark_weights(self.panel.sparkSession, self.benchmark_symbol, self.schedule)
@@ -66,24 +98,19 @@ class WalkForward:
     def tournament(self) -> DataFrame:
         # A month with fewer than two candidates has no pairs: all of them survive, which is the
         # plain basket.
-        candidates = self.candidates()
-        survivors = tournament(self.edges(candidates), candidates, self.settings, self.schedule.months)
-        return inverse_vol_weights(top_sharpe(survivors, self.settings.top_n))
+        return inverse_vol_weights(top_sharpe(self.survivors(), self.settings.top_n))
 
     def clusters(self) -> DataFrame:
         grouped = cluster_assets(self.metrics(), self.settings)
         return inverse_vol_weights(round_robin(grouped, self.settings.top_n))
 
-    def loadings(self, candidates: DataFrame) -> DataFrame:
-        chosen = corr.chosen_returns(self.returns(), candidates, self.settings, self.schedule.months)
+    def loadings(self) -> DataFrame:
+        """First component of each month; matrix rows are the candidates' own timestamps."""
         first_only = replace(self.settings, components=1)
-        return corr.principal_components(
-            corr.pair_moments(chosen, self.settings), corr.matrix_rows(chosen), first_only
-        )
+        return corr.principal_components(self.moments, corr.matrix_rows(self.chosen), first_only)
 
     def pca_residual(self) -> DataFrame:
-        candidates = self.candidates()
-        scored = candidates.join(corr.residual_scores(self.loadings(candidates)), ["month", "ord"])
+        scored = self.candidates.join(corr.residual_scores(self.loadings()), ["month", "ord"])
         basket = inverse_vol_weights(top_residual(scored, self.settings))
         return with_fallback(basket, self.top_sharpe())
 
