@@ -15,17 +15,25 @@ def so_far() -> WindowSpec:
 
 
 def equity_curve(results: DataFrame, settings: Settings, with_start: bool = True) -> DataFrame:
-    """`strategy, month, portfolio_value`; month 0 is the initial capital."""
+    """`strategy, month, portfolio_value`; month 0 is the initial capital.
+
+    The first month of a strategy yields two rows, so the results are evaluated once.
+    """
     capital = F.lit(settings.initial_capital)
     curve = results.select(
         "strategy", "month", (capital * F.product(1 + F.col("month_return")).over(so_far())).alias("portfolio_value")
     )
     if not with_start:
         return curve
-    start = results.select("strategy").distinct().select(
-        "strategy", F.lit(0).alias("month"), capital.alias("portfolio_value")
+    here = F.struct(F.col("month").alias("month"), F.col("portfolio_value").alias("portfolio_value"))
+    start = F.struct(F.lit(0).alias("month"), capital.alias("portfolio_value"))
+    first = F.row_number().over(Window.partitionBy("strategy").orderBy("month")) == 1
+    points = F.when(first, F.array(start, here)).otherwise(F.array(here))
+    return (
+        curve.withColumn("points", points)
+        .select("strategy", F.explode("points").alias("point"))
+        .select("strategy", "point.month", "point.portfolio_value")
     )
-    return start.unionByName(curve)
 
 
 def drawdowns(equity: DataFrame) -> DataFrame:
@@ -47,20 +55,28 @@ def return_table(results: DataFrame, months: int) -> DataFrame:
 
 
 def performance(results: DataFrame, settings: Settings, compound: bool = True) -> DataFrame:
-    """One line per strategy. Volatility is the population deviation of monthly returns."""
+    """One line per strategy. Volatility is the population deviation of monthly returns.
+
+    The peak starts at the initial capital, as in a curve with month 0.
+    """
     capital = F.lit(settings.initial_capital)
-    growth = results.groupBy("strategy").agg(
-        F.product(1 + F.col("month_return")).alias("growth"),
-        F.count("*").alias("n"),
-        F.stddev_pop("month_return").alias("deviation"),
-        F.avg(F.when(F.col("month_return") > 0, 1.0).otherwise(0.0)).alias("win_rate"),
+    curve = results.withColumn("value", capital * F.product(1 + F.col("month_return")).over(so_far()))
+    peak = F.greatest(capital, F.max("value").over(so_far()))
+    growth = (
+        curve.withColumn("peak", peak)
+        .groupBy("strategy")
+        .agg(
+            F.product(1 + F.col("month_return")).alias("growth"),
+            F.count("*").alias("n"),
+            F.stddev_pop("month_return").alias("deviation"),
+            F.avg(F.when(F.col("month_return") > 0, 1.0).otherwise(0.0)).alias("win_rate"),
+            F.min((F.col("value") - F.col("peak")) / F.col("peak")).alias("worst"),
+        )
     )
-    worst = drawdowns(equity_curve(results, settings)).groupBy("strategy").agg(F.min("drawdown").alias("max_drawdown"))
     monthly = F.pow(F.col("growth"), 1 / F.col("n")) - 1
     annual = F.pow(1 + monthly, F.lit(12)) - 1 if compound else monthly * 12
     return (
-        growth.join(worst, "strategy")
-        .withColumn("final_value", capital * F.col("growth"))
+        growth.withColumn("final_value", capital * F.col("growth"))
         .withColumn("total_return", (F.col("final_value") - capital) / capital)
         .withColumn("ann_return", annual)
         .withColumn("ann_volatility", F.col("deviation") * F.lit(math.sqrt(12)))
@@ -68,6 +84,7 @@ def performance(results: DataFrame, settings: Settings, compound: bool = True) -
             "sharpe",
             F.when(F.col("ann_volatility") > 0, F.try_divide("ann_return", "ann_volatility")).otherwise(0.0),
         )
+        .withColumn("max_drawdown", F.least(F.lit(0.0), F.col("worst")))
         .select(
             "strategy", "total_return", "ann_return", "ann_volatility", "sharpe", "max_drawdown", "win_rate", "final_value"
         )

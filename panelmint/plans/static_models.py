@@ -27,8 +27,8 @@ class StaticModels:
     """The whole history is treated as one window, `month = 0`.
 
     What several models share is kept: the universe (at most `max_symbols` rows), one row per
-    symbol for the metrics, one row per pair for the matrix. Returns are not kept. The matrix
-    reads the panel again, but only for the symbols of the universe.
+    symbol for the metrics, the returns of the universe and one row per pair of it. The returns
+    of all symbols are not kept: the matrix reads the panel again, for the universe only.
     """
 
     panel: DataFrame
@@ -49,9 +49,10 @@ class StaticModels:
 
     @cached_property
     def chosen(self) -> DataFrame:
-        """Returns of the universe with their matrix positions."""
+        """Returns of the universe with their matrix positions: `max_symbols` series at most."""
         returns = log_returns(self.universe_panel, self.settings).withColumn("month", F.lit(0))
-        return corr.chosen_returns(returns, self.universe, self.settings)
+        chosen = corr.chosen_returns(returns, self.universe, self.settings)
+        return chosen.persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def moments(self) -> DataFrame:

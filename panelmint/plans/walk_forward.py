@@ -40,7 +40,7 @@ class WalkForward:
     """One panel with its calendar. Baskets are `month, symbol, weight`.
 
     The lookbacks are shuffled once, down to one row per month and symbol. That table, the
-    candidates (at most `max_symbols` per month) and their pair moments are kept for all
+    candidates (at most `max_symbols` per month), their returns and pair moments are kept for all
     strategies. The matrices read the panel again, but only for the candidates.
     """
 
@@ -76,7 +76,8 @@ class WalkForward:
     def chosen(self) -> DataFrame:
         """Returns of the candidates with their matrix positions."""
         bars = only_members(self.bars(), self.candidates, self.members_at_most)
-        return corr.chosen_returns(windowed_returns(bars), self.candidates, self.settings, self.schedule.months)
+        chosen = corr.chosen_returns(windowed_returns(bars), self.candidates, self.settings, self.schedule.months)
+        return chosen.persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def moments(self) -> DataFrame:
