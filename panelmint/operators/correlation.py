@@ -9,8 +9,6 @@ length and the block width, whatever the number of symbols or the length of the
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,17 +32,17 @@ def chosen_returns(returns: DataFrame, members: DataFrame, settings: Settings, m
 def pair_moments(chosen: DataFrame, settings: Settings) -> DataFrame:
     """Sums over the matrix for every pair `i <= j`: `month, i, j, sxy, sx, sy, sxx, syy`."""
     block = settings.gram_block
-    n_blocks = math.ceil(settings.max_symbols / block)
     own = F.floor(F.col("ord") / block).cast("int")
     cells = with_chunk(chosen, settings.chunk_micros).select(
         "month", "chunk", "timestamp", "ret", "size",
         own.alias("block"), (F.col("ord") % block).cast("int").alias("slot"),
     )
-    if n_blocks == 1:
+    if settings.max_symbols <= block:
         sided = cells.withColumns({"left": F.lit(0), "right": F.lit(0)})
     else:
+        last_block = F.floor((F.col("size") - 1) / block).cast("int")
         partners = F.transform(
-            F.sequence(F.lit(0), F.lit(n_blocks - 1)),
+            F.sequence(F.lit(0), last_block),
             lambda other: F.struct(
                 F.least("block", other).alias("left"), F.greatest("block", other).alias("right")
             ),
