@@ -16,6 +16,8 @@ PROCESSED_SCHEMA = (
     "datetime string, open double, high double, low double, close double, volume double, "
     "quote_volume double, trades bigint, taker_buy_base double, taker_buy_quote double, ignore double"
 )
+# A processed row keeps all values but the close time.
+VALUE_FIELDS = [f for f in RAW_FIELDS if f not in ("open_time", "close_time")]
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 ANY_QUOTE = "[A-Z0-9]+"
 
@@ -29,50 +31,50 @@ def file_symbol(quote: str | None = None) -> Column:
 def read_processed(spark: SparkSession, paths: str | list[str], quote: str | None = None) -> DataFrame:
     """Processed CSVs with header, one symbol per file; files with other names are left out."""
     rows = spark.read.schema(PROCESSED_SCHEMA).option("header", True).csv(paths)
-    return (
-        rows.select("*", file_symbol(quote).alias("symbol"))
-        .filter(F.col("symbol") != "")
-        .withColumn("timestamp", F.try_to_timestamp("datetime", F.lit(TIME_FORMAT)).cast("timestamp_ntz"))
-    )
+    return with_timestamp(rows.select("*", file_symbol(quote).alias("symbol")).filter(F.col("symbol") != ""))
+
+
+def with_timestamp(processed: DataFrame) -> DataFrame:
+    parsed = F.try_to_timestamp("datetime", F.lit(TIME_FORMAT))
+    return processed.withColumn("timestamp", parsed.cast("timestamp_ntz"))
 
 
 def normalise_raw(spark: SparkSession, paths: str | list[str], quote: str | None = None) -> DataFrame:
-    """Raw headerless files to processed columns plus `symbol`, in one distributed pass.
+    """Raw headerless files to processed columns plus `file, symbol`, in one distributed pass.
 
     Short rows, blank lines and rows whose first field holds a letter are skipped. Rows of a file
     that was already processed carry a text time in the first of eleven fields and pass through.
     """
-    schema = ", ".join(f"{f} string" for f in RAW_FIELDS)
-    lines = spark.read.schema(schema).option("header", False).csv(paths)
-    named = lines.select(*RAW_FIELDS, file_symbol(quote).alias("symbol")).filter(F.col("symbol") != "")
-    raw = named.filter(F.col("open_time").rlike(r"^\s*[0-9]+\s*$") & F.col("ignore").isNotNull())
-    fresh = _typed(
-        raw.withColumn(
-            "datetime", F.date_format(epoch_to_timestamp(F.trim("open_time").cast("bigint")), TIME_FORMAT)
-        )
-    )
-    done = named.filter(F.col("open_time").rlike(r"^\d{4}-\d{2}-\d{2} ") & F.col("ignore").isNull())
-    # A processed row has no close time, so its fields after `volume` sit one place to the left.
-    left_shift = {"quote_volume": "close_time", "trades": "quote_volume", "taker_buy_base": "trades",
-                  "taker_buy_quote": "taker_buy_base", "ignore": "taker_buy_quote"}
-    passed = _typed(
-        done.select("symbol", F.col("open_time").alias("datetime"), "open", "high", "low", "close", "volume",
-                    *[F.col(source).alias(target) for target, source in left_shift.items()])
+    lines = spark.read.text(paths).select(
+        F.split(F.trim("value"), ",").alias("fields"),
+        F.col("_metadata.file_name").alias("file"),
+        file_symbol(quote).alias("symbol"),
     )
+    named = lines.filter(F.col("symbol") != "")
+    fields = F.col("fields")
+    first = F.trim(fields[0])
+    raw = named.filter((F.size(fields) >= len(RAW_FIELDS)) & first.rlike("^-?[0-9]+$"))
+    places = {name: F.get(fields, F.lit(RAW_FIELDS.index(name))) for name in VALUE_FIELDS}
+    opened = F.date_format(epoch_to_timestamp(first.cast("bigint")), TIME_FORMAT)
+    fresh = raw.select("file", "symbol", opened.alias("datetime"), *_typed(places))
+    done = named.filter((F.size(fields) == 1 + len(VALUE_FIELDS)) & first.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2} "))
+    places = {name: F.get(fields, F.lit(1 + k)) for k, name in enumerate(VALUE_FIELDS)}
+    passed = done.select("file", "symbol", first.alias("datetime"), *_typed(places))
     return fresh.unionByName(passed)
 
 
-def _typed(rows: DataFrame) -> DataFrame:
-    fields = [f.strip().split(" ") for f in PROCESSED_SCHEMA.split(",")]
-    return rows.select("symbol", *[F.col(name).try_cast(kind).alias(name) for name, kind in fields])
+def _typed(places: dict[str, Column]) -> list[Column]:
+    kinds = dict(field.strip().split(" ") for field in PROCESSED_SCHEMA.split(","))
+    return [place.try_cast(kinds[name]).alias(name) for name, place in places.items()]
 
 
-def require_converted(spark: SparkSession, normalised: DataFrame, files: DataFrame) -> None:
-    """Raise if a file gave no row. `files` has one row per input file: `symbol`."""
-    empty = files.select("symbol").distinct().join(normalised.select("symbol").distinct(), "symbol", "left_anti")
-    failed = [r["symbol"] for r in empty.limit(20).collect()]
+def require_converted(spark: SparkSession, normalised: DataFrame, paths: str | list[str]) -> None:
+    """Raise if one of the input files gave no row."""
+    files = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_name").alias("file"))
+    empty = files.join(normalised.select("file").distinct(), "file", "left_anti")
+    failed = [r["file"] for r in empty.orderBy("file").limit(20).collect()]
     if failed:
-        raise ValueError(f"no rows converted for: {', '.join(failed)}")
+        raise ValueError(f"no rows converted from: {', '.join(failed)}")
 
 
 def times_by_column(rows: DataFrame, key: str, text: str) -> DataFrame:
