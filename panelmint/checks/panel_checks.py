@@ -170,7 +170,7 @@ def log_returns(spark, folder):
     ),
 )
 def windowed_returns(spark, folder):
-    return rounded(returns.windowed_returns(brand_year(spark, folder).bars()), "ret")
+    return rounded(returns.windowed_returns(brands(spark, folder), YEAR, BRANDS), "ret")
 
 
 METRIC_COLUMNS = ["sum_log_ret", "std_log_ret", "annual_ret", "annual_vol", "sharpe"]

@@ -21,38 +21,53 @@ def chunked_bars(panel: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def log_returns(panel: DataFrame, settings: Settings) -> DataFrame:
-    """`ln(close / previous observed close)` per symbol: `symbol, timestamp, ret`.
+def bar_returns(panel: DataFrame, settings: Settings) -> DataFrame:
+    """Every bar with its return: `symbol, timestamp, previous_at, ret`.
+
+    `ret` is `ln(close / close of the previous observed bar)`, `previous_at` the time of that
+    bar; both are null for the first bar of a symbol.
 
     A symbol may own a large share of all rows, so its history is cut into chunks of the time
     grid. Inside a chunk the previous bar is a plain lag; the first bar of a chunk takes the
-    last close of the symbol's previous non-empty chunk from a table with one row per chunk.
+    last bar of the symbol's previous non-empty chunk from a table with one row per chunk.
     Both sides read the same exchange, so the panel is scanned and shuffled once.
     """
     bars = chunked_bars(panel, settings)
-    closing = bars.groupBy("symbol", "chunk").agg(F.max_by("close", "timestamp").alias("last_close"))
-    carried = closing.select(
-        "symbol",
-        "chunk",
-        F.lag("last_close").over(Window.partitionBy("symbol").orderBy("chunk")).alias("carried"),
+    by_chunk = Window.partitionBy("symbol").orderBy("chunk")
+    carried = (
+        bars.groupBy("symbol", "chunk")
+        .agg(F.max("timestamp").alias("last_at"), F.max_by("close", "timestamp").alias("last_close"))
+        .select(
+            "symbol",
+            "chunk",
+            F.lag("last_at").over(by_chunk).alias("carried_at"),
+            F.lag("last_close").over(by_chunk).alias("carried_close"),
+        )
     )
     inside = Window.partitionBy("symbol", "chunk").orderBy("timestamp")
     return (
-        bars.withColumn("previous", F.lag("close").over(inside))
+        bars.withColumns({"before_at": F.lag("timestamp").over(inside), "before_close": F.lag("close").over(inside)})
         # Every chunk has its row in `carried`; "left" keeps Spark from adding null filters to
         # one side only, which would stop it from reusing the exchange.
         .join(carried, ["symbol", "chunk"], "left")
-        .withColumn("ret", log_ratio(F.col("close"), F.coalesce("previous", "carried")))
-        .filter(F.col("ret").isNotNull())
-        .select("symbol", "timestamp", "ret")
+        .select(
+            "symbol",
+            "timestamp",
+            F.coalesce("before_at", "carried_at").alias("previous_at"),
+            log_ratio(F.col("close"), F.coalesce("before_close", "carried_close")).alias("ret"),
+        )
     )
 
 
-def lookback_bars(panel: DataFrame, schedule: Schedule) -> DataFrame:
-    """Every bar once per rebalance month that looks back on it: `month, symbol, timestamp, close`.
+def log_returns(panel: DataFrame, settings: Settings) -> DataFrame:
+    """`symbol, timestamp, ret` over whole histories, without the bars that have no return."""
+    return bar_returns(panel, settings).filter(F.col("ret").isNotNull()).select("symbol", "timestamp", "ret")
+
+
+def in_lookbacks(bars: DataFrame, schedule: Schedule) -> DataFrame:
+    """Every bar once per rebalance month that looks back on it: adds `month, lb_start`.
 
-    The months follow from the date by arithmetic, so no join with the schedule is needed and
-    the overall time range reaches the scan as a filter.
+    The months follow from the date by arithmetic, so no join with the schedule is needed.
     """
     first = F.lit(schedule.hold_starts[0].date())
     last = F.lit(schedule.hold_starts[-1].date())
@@ -61,37 +76,42 @@ def lookback_bars(panel: DataFrame, schedule: Schedule) -> DataFrame:
         next_month, F.add_months(next_month, schedule.windows_per_bar - 1), F.expr("interval 1 month")
     )
     hold = F.col("hold_start")
-    in_window = (F.col("timestamp") >= F.date_sub(hold, schedule.lookback_days)) & (
-        hold.between(first, last)
-    )
-    month = (
-        (F.year(hold) - F.year(first)) * 12 + F.month(hold) - F.month(first) + 1
-    ).cast("int")
+    month = ((F.year(hold) - F.year(first)) * 12 + F.month(hold) - F.month(first) + 1).cast("int")
     return (
-        time_range(panel, schedule.begin, schedule.hold_starts[-1])
-        .select("symbol", "timestamp", "close", F.explode(candidates).alias("hold_start"))
-        .filter(in_window)
-        .select(month.alias("month"), "symbol", "timestamp", "close")
+        bars.select("*", F.explode(candidates).alias("hold_start"))
+        .withColumn("lb_start", F.date_sub("hold_start", schedule.lookback_days).cast("timestamp_ntz"))
+        .filter((F.col("timestamp") >= F.col("lb_start")) & hold.between(first, last))
+        .withColumn("month", month)
+        .drop("hold_start")
     )
 
 
-def windowed_returns(bars: DataFrame) -> DataFrame:
-    """Log returns of lookback bars: the first bar of a window has none.
+def lookback_panel(panel: DataFrame, schedule: Schedule) -> DataFrame:
+    """The part of the panel that any lookback needs; the time range reaches the scan."""
+    return time_range(panel, schedule.begin, schedule.hold_starts[-1])
+
+
+def lookback_bars(panel: DataFrame, schedule: Schedule) -> DataFrame:
+    """Bars of each month's lookback: `month, symbol, timestamp, close`."""
+    bars = lookback_panel(panel, schedule).select("symbol", "timestamp", "close")
+    return in_lookbacks(bars, schedule).select("month", "symbol", "timestamp", "close")
+
+
+def window_bar_returns(panel: DataFrame, schedule: Schedule, settings: Settings) -> DataFrame:
+    """Bars of each lookback with their return inside it: `month, symbol, timestamp, ret`.
 
-    A (month, symbol) group holds at most the bars of one lookback, so a plain window is safe.
+    The lag restarts in each window: a bar whose previous bar lies before the window has no
+    return there. So returns are taken once for all months, and bars are copied to their months
+    afterwards, without another shuffle.
     """
-    series = Window.partitionBy("month", "symbol").orderBy("timestamp")
-    return (
-        bars.withColumn("ret", log_ratio(F.col("close"), F.lag("close").over(series)))
-        .filter(F.col("ret").isNotNull())
-        .select("month", "symbol", "timestamp", "ret")
-    )
+    bars = bar_returns(lookback_panel(panel, schedule), settings)
+    inside = F.col("previous_at") >= F.col("lb_start")
+    return in_lookbacks(bars, schedule).select("month", "symbol", "timestamp", F.when(inside, F.col("ret")).alias("ret"))
 
 
-def only_members(bars: DataFrame, members: DataFrame, at_most: int) -> DataFrame:
-    """Lookback bars of each month's members; there are `at_most` members in all."""
-    keys = bounded_broadcast(members.select("month", "symbol"), at_most)
-    return bars.join(keys, ["month", "symbol"], "left_semi")
+def windowed_returns(panel: DataFrame, schedule: Schedule, settings: Settings) -> DataFrame:
+    """The same without the bars that have no return."""
+    return window_bar_returns(panel, schedule, settings).filter(F.col("ret").isNotNull())
 
 
 def time_range(panel: DataFrame, start: datetime, end: datetime) -> DataFrame:

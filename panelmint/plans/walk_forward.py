@@ -9,17 +9,16 @@ from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelmint.config import Schedule, Settings
-from panelmint.functions.expressions import log_ratio
 from panelmint.operators import correlation as corr
 from panelmint.operators.features import windowed_forecast_frame
 from panelmint.operators.holding import holding_returns
 from panelmint.operators.metrics import annualised, series_stats
 from panelmint.operators.models import cluster_assets, monthly_predictions
-from panelmint.operators.returns import lookback_bars, only_members, windowed_returns
+from panelmint.operators.returns import lookback_bars, only_symbols, window_bar_returns, windowed_returns
 from panelmint.operators.selection import as_members, candidate_cap, round_robin, top_residual, top_sharpe
 from panelmint.operators.splits import chronological_split
 from panelmint.operators.tournament import tournament
@@ -39,8 +38,7 @@ FITTED = ("clusters", "pca_residual", "forecast")
 class WalkForward:
     """One panel with its calendar. Baskets are `month, symbol, weight`.
 
-    The lookbacks are shuffled once, down to one row per month and symbol. That table, the
-    candidates (at most `max_symbols` per month), their returns and pair moments are kept for all
+    The panel is shuffled once, down to one row per month and symbol. That table, the candidates (at most `max_symbols` per month), their returns and pair moments are kept for all
     strategies. The matrices read the panel again, but only for the candidates.
     """
 
@@ -59,9 +57,8 @@ class WalkForward:
     @cached_property
     def series(self) -> DataFrame:
         """One row per month and symbol: return statistics and the first bar of the window."""
-        window = Window.partitionBy("month", "symbol").orderBy("timestamp")
-        returns = self.bars().withColumn("ret", log_ratio(F.col("close"), F.lag("close").over(window)))
-        stats = series_stats(returns, ("month",), F.min("timestamp").alias("first_bar"))
+        bars = window_bar_returns(self.panel, self.schedule, self.settings)
+        stats = series_stats(bars, ("month",), F.min("timestamp").alias("first_bar"))
         return stats.persist(StorageLevel.MEMORY_AND_DISK)
 
     def metrics(self) -> DataFrame:
@@ -75,8 +72,10 @@ class WalkForward:
     @cached_property
     def chosen(self) -> DataFrame:
         """Returns of the candidates with their matrix positions."""
-        bars = only_members(self.bars(), self.candidates, self.members_at_most)
-        chosen = corr.chosen_returns(windowed_returns(bars), self.candidates, self.settings, self.schedule.months)
+        ever = self.candidates.select("symbol").distinct()
+        panel = only_symbols(self.panel, ever, at_most=self.members_at_most)
+        returns = windowed_returns(panel, self.schedule, self.settings)
+        chosen = corr.chosen_returns(returns, self.candidates, self.settings, self.schedule.months)
         return chosen.persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property

@@ -31,9 +31,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back to a scratch folder when none is set."""
+    """Use the shared folder the session names. Only a local session gets a scratch folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="panelmint-checkpoint-"))

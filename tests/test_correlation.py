@@ -103,10 +103,11 @@ def test_row_count_without_returns_equals_row_count_of_returns(ragged, make_pane
     # A lone first bar makes a timestamp that carries no return.
     rows = ragged[1] + [("LONE", START + k * BAR, 1.0) for k in (460, 470)]
     schedule = Schedule(date(2025, 2, 1), months=4, lookback_days=40)
-    bars = rets.lookback_bars(make_panel(rows), schedule)
+    panel = make_panel(rows)
+    bars = rets.lookback_bars(panel, schedule)
     firsts = bars.groupBy("month", "symbol").agg(F.min("timestamp").alias("first_bar"))
     got = {r["month"]: r["t"] for r in corr.rows_with_any_return(bars, firsts).collect()}
-    want = {r["month"]: r["t"] for r in corr.matrix_rows(rets.windowed_returns(bars)).collect()}
+    want = {r["month"]: r["t"] for r in corr.matrix_rows(rets.windowed_returns(panel, schedule, SETTINGS)).collect()}
     assert got == want and len(want) > 1
 
 

@@ -26,7 +26,8 @@ def test_features_read_the_panel_once(spark):
 
 def test_lookback_filter_reaches_the_scan(spark):
     plan = executed(spark, "windowed_returns")
-    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in plan
+    # Long filter lists are cut in plan texts, so only the start of the list is looked at.
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_shipdate", plan)
 
 
 def test_ranking_is_cut_before_the_shuffle(spark):

@@ -62,11 +62,24 @@ def test_lookback_is_half_open_and_restarts_the_lag(make_panel):
     bars = returns.lookback_bars(panel, schedule)
     april = {r["timestamp"] for r in bars.collect() if r["month"] == 1}
     assert april == {begin, begin + BAR}
-    got = {(r["month"], r["timestamp"]) for r in returns.windowed_returns(bars).collect()}
+    got = {(r["month"], r["timestamp"]) for r in returns.windowed_returns(panel, schedule, Settings()).collect()}
     # The bar before the window gives no return at its start; in May's window 1 April is the first bar.
     assert got == {(1, begin + BAR)}
 
 
+@pytest.mark.parametrize("chunk_bars", [5, 512])
+def test_window_returns_equal_a_lag_per_window(ragged, chunk_bars):
+    panel, rows = ragged
+    schedule = Schedule(date(2025, 1, 20), months=4, lookback_days=25)
+    want = {}
+    for month, hold in enumerate(schedule.hold_starts, start=1):
+        begin = hold - timedelta(days=25)
+        inside = brute_returns([r for r in rows if begin <= r[1] < hold]).dropna()
+        want.update({(month, r.symbol, r.timestamp.to_pydatetime()): r.ret for r in inside.itertuples()})
+    got = returns.windowed_returns(panel, schedule, Settings(chunk_bars=chunk_bars)).collect()
+    assert {(r["month"], r["symbol"], r["timestamp"]): r["ret"] for r in got} == pytest.approx(want)
+
+
 def test_every_lookback_month_is_found(ragged):
     panel, rows = ragged
     schedule = Schedule(date(2025, 1, 1), months=6, lookback_days=90)
