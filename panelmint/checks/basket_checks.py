@@ -99,6 +99,19 @@ def smart_basket_simple(spark, folder):
     return rounded(static(spark, folder).simple_basket(), *BASKET_COLUMNS)
 
 
+@query(
+    "basket_report",
+    sql.build(
+        *STATIC_WALK,
+        select=f"""SELECT symbol, round(100 * (1 / annual_vol) / sum(1 / annual_vol) OVER (), 2) AS weight_pct
+                   FROM (SELECT * FROM survivors WHERE sharpe IS NOT NULL ORDER BY sharpe DESC, symbol LIMIT {EVENTS.top_n})""",
+        recursive=True,
+    ),
+)
+def basket_report(spark, folder):
+    return weights.weight_percent(static(spark, folder).smart_basket()).select("symbol", "weight_pct")
+
+
 @query(
     "inverse_vol_weights",
     sql.build(

@@ -213,3 +213,33 @@ def performance_linear(spark, folder):
 def best_strategy(spark, folder):
     table = performance.performance(_walk(spark, folder), BRANDS)
     return rounded(performance.best_strategy(table), *PERFORMANCE_COLUMNS)
+
+
+@query(
+    "performance_report",
+    sql.build(
+        *WALK, EQUITY, performance_sql(COMPOUND),
+        select="""SELECT strategy, format('${:,.0f}', 10000.0::DOUBLE * g) AS final_value,
+                         printf('%+.2f%%', (g - 1) * 100) AS total_return, printf('%+.2f%%', ann_return * 100) AS ann_return,
+                         printf('%.2f%%', vol * 100) AS ann_volatility,
+                         printf('%.2f', CASE WHEN vol > 0 THEN ann_return / vol ELSE 0.0 END) AS sharpe,
+                         printf('%.2f%%', max_drawdown * 100) AS max_drawdown, printf('%.1f%%', win_rate * 100) AS win_rate
+                  FROM table_rows""",
+        recursive=True,
+    ),
+)
+def performance_report(spark, folder):
+    return performance.report_lines(performance.performance(_walk(spark, folder), BRANDS))
+
+
+@query(
+    "monthly_report",
+    sql.build(
+        *WALK,
+        select="""SELECT strategy, month, strftime(hold_start, '%b %Y') AS label, round(month_return, 6) AS month_return,
+                         num_assets FROM results JOIN windows USING (month)""",
+        recursive=True,
+    ),
+)
+def monthly_report(spark, folder):
+    return rounded(performance.labelled_results(_walk(spark, folder), YEAR), "month_return")

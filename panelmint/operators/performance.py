@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from panelmint.config import Settings
+from panelmint.config import Schedule, Settings
 
 
 def so_far() -> WindowSpec:
@@ -93,3 +93,27 @@ def performance(results: DataFrame, settings: Settings, compound: bool = True) -
 
 def best_strategy(table: DataFrame) -> DataFrame:
     return table.orderBy(F.desc("sharpe"), F.asc("strategy")).limit(1)
+
+
+def report_lines(table: DataFrame) -> DataFrame:
+    """The performance table as text: currency, signed percentages, plain percentages."""
+
+    def percent(name: str, pattern: str) -> Column:
+        return F.format_string(pattern, F.col(name) * 100).alias(name)
+
+    return table.select(
+        "strategy",
+        F.format_string("$%,.0f", "final_value").alias("final_value"),
+        percent("total_return", "%+.2f%%"),
+        percent("ann_return", "%+.2f%%"),
+        percent("ann_volatility", "%.2f%%"),
+        F.format_string("%.2f", "sharpe").alias("sharpe"),
+        percent("max_drawdown", "%.2f%%"),
+        percent("win_rate", "%.1f%%"),
+    )
+
+
+def labelled_results(results: DataFrame, schedule: Schedule) -> DataFrame:
+    """Monthly results with the month's name, e.g. `Jan 2025`."""
+    start = F.add_months(F.lit(schedule.first.replace(day=1)), F.col("month") - 1)
+    return results.withColumn("label", F.date_format(start, "MMM yyyy"))

@@ -25,6 +25,10 @@ def inverse_vol_weights(basket: DataFrame) -> DataFrame:
     return share_of_total(usable.withColumn("inv_vol", 1 / F.col("annual_vol")), "inv_vol").drop("inv_vol")
 
 
+def weight_percent(basket: DataFrame) -> DataFrame:
+    return basket.withColumn("weight_pct", F.round(F.col("weight") * 100, 2))
+
+
 def fallback_weights(metrics: DataFrame, settings: Settings) -> DataFrame:
     """Plain basket: best Sharpe ratios, inverse-volatility weights."""
     usable = metrics.filter(valid_risk(F.col("annual_vol"), F.col("sharpe")))

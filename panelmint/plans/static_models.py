@@ -14,7 +14,7 @@ from panelmint.config import Settings
 from panelmint.operators import correlation as corr
 from panelmint.operators.features import FEATURES, forecast_frame
 from panelmint.operators.metrics import asset_metrics
-from panelmint.operators.models import cluster_assets, fit_ready, fit_static_forecast, vectors
+from panelmint.operators.models import cluster_assets, fit_ready, fit_static_forecast, settled, vectors
 from panelmint.operators.returns import log_returns, only_symbols
 from panelmint.operators.selection import as_members, top_sharpe, universe_cap
 from panelmint.operators.splits import hash_split, row_cap
@@ -98,4 +98,11 @@ class StaticModels:
         split = hash_split(row_cap(frame, self.settings.row_cap), self.settings.train_share)
         ready = fit_ready(vectors(split, FEATURES), self.settings, ["symbol", "timestamp"])
         model = fit_static_forecast(ready.filter("is_train"), self.settings)
-        return model, model.transform(ready.filter(~F.col("is_train")))
+        scored = model.transform(ready.filter(~F.col("is_train")))
+        return model, settled(scored, ready, frame)
+
+    def release(self) -> None:
+        """Let go of the kept tables."""
+        for name in ("moments", "chosen", "metrics", "universe"):
+            if name in self.__dict__:
+                self.__dict__.pop(name).unpersist()

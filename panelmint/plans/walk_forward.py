@@ -135,3 +135,9 @@ class WalkForward:
         return holding_returns(
             self.baskets(strategies), self.panel, self.schedule, list(strategies), basket_rows=rows
         )
+
+    def release(self) -> None:
+        """Let go of the kept tables."""
+        for name in ("moments", "chosen", "candidates", "series"):
+            if name in self.__dict__:
+                self.__dict__.pop(name).unpersist()
