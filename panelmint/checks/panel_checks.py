@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from panelmint.checks import sql
-from panelmint.checks.registry import BRANDS, EVENTS, YEAR, brand_year, brands, events, query, rounded
+from panelmint.checks.registry import BRANDS, EVENTS, YEAR, brand_year, brands, events, query, rounded, static
 from panelmint.functions.expressions import epoch_micros, epoch_to_timestamp, month_index, valid_risk
 from panelmint.operators import features, holding, metrics, returns, selection, splits
 from panelmint.sources import tables
@@ -341,8 +341,7 @@ def wide_returns(spark, folder):
 )
 def zscore(spark, folder):
     columns = ["annual_ret", "annual_vol", "sharpe"]
-    table = metrics.asset_metrics(returns.log_returns(events(spark, folder), EVENTS), EVENTS)
-    scaled = metrics.zscores(table, columns).select("symbol", *[f"{c}_z" for c in columns])
+    scaled = metrics.zscores(static(spark, folder).metrics, columns).select("symbol", *[f"{c}_z" for c in columns])
     return rounded(scaled, *[f"{c}_z" for c in columns])
 
 

@@ -47,8 +47,9 @@ def with_row_blocks(panel: DataFrame, settings: Settings) -> DataFrame:
     bars = chunked_bars(panel, settings)
     earlier = Window.partitionBy("symbol").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
+        # Counted on the map side, so this branch shuffles chunks, not bars.
         bars.groupBy("symbol", "chunk")
-        .agg(F.count("close").alias("n"))
+        .agg(F.count("*").alias("n"))
         .select("symbol", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
     )
     inside = Window.partitionBy("symbol", "chunk").orderBy("timestamp")

@@ -35,24 +35,21 @@ def asset_metrics(returns: DataFrame, settings: Settings, by: tuple[str, ...] =
     return annualised(series_stats(returns, by), settings)
 
 
-def zscores(frame: DataFrame, columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+def zscores(frame: DataFrame, columns: list[str], by: tuple[str, ...] = ("month",)) -> DataFrame:
     """Add `<column>_z`: centred, divided by the sample deviation; 0 where nothing varies.
 
-    The statistics are one row per group, so they are joined back rather than windowed: no
-    group is pulled into one task. The broadcast side has one row, or one per rebalance month.
+    The statistics have one row per rebalance month, so they are joined back by broadcast rather
+    than windowed: no month is pulled into one task.
     """
-    groups = list(by) or ["all_rows"]
-    source = frame if by else frame.withColumn("all_rows", F.lit(0))
-    stats = source.groupBy(*groups).agg(
+    stats = frame.groupBy(*by).agg(
         *[F.avg(c).alias(f"{c}_mean") for c in columns],
         *[F.stddev_samp(c).alias(f"{c}_sd") for c in columns],
     )
-    joined = source.join(F.broadcast(stats), groups)
+    joined = frame.join(F.broadcast(stats), list(by))
     for c in columns:
         spread = F.try_divide(F.col(c) - F.col(f"{c}_mean"), F.col(f"{c}_sd"))
         joined = joined.withColumn(f"{c}_z", F.coalesce(spread, F.lit(0.0)))
-    helpers = [f"{c}_{s}" for c in columns for s in ("mean", "sd")]
-    return joined.drop(*helpers, *([] if by else groups))
+    return joined.drop(*[f"{c}_{s}" for c in columns for s in ("mean", "sd")])
 
 
 def observation_counts(panel: DataFrame) -> DataFrame:

@@ -12,13 +12,9 @@ from panelmint.functions.expressions import bounded_broadcast, log_ratio, month_
 
 
 def chunked_bars(panel: DataFrame, settings: Settings) -> DataFrame:
-    """Bars laid out by symbol and chunk of the time grid."""
+    """Bars with the chunk of the time grid they fall into."""
     keyed = panel.filter(F.col("symbol").isNotNull() & F.col("timestamp").isNotNull())
-    return (
-        with_chunk(keyed, settings.chunk_micros)
-        .select("symbol", "chunk", "timestamp", "close")
-        .repartition("symbol", "chunk")
-    )
+    return with_chunk(keyed, settings.chunk_micros).select("symbol", "chunk", "timestamp", "close")
 
 
 def bar_returns(panel: DataFrame, settings: Settings) -> DataFrame:
@@ -32,7 +28,7 @@ def bar_returns(panel: DataFrame, settings: Settings) -> DataFrame:
     last bar of the symbol's previous non-empty chunk from a table with one row per chunk.
     Both sides read the same exchange, so the panel is scanned and shuffled once.
     """
-    bars = chunked_bars(panel, settings)
+    bars = chunked_bars(panel, settings).repartition("symbol", "chunk")
     by_chunk = Window.partitionBy("symbol").orderBy("chunk")
     carried = (
         bars.groupBy("symbol", "chunk")
