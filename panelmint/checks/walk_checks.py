@@ -103,7 +103,7 @@ def benchmark_basket(spark, folder):
 )
 def holding_positions(spark, folder):
     run = brand_year(spark, folder)
-    held = holding.holding_positions(run.baskets(("top_sharpe",)), holding.holding_prices(run.panel, YEAR))
+    held = holding.holding_positions(run.baskets(("top_sharpe",)), holding.edge_bars(run.panel, YEAR))
     shares = share_of_total(held, "weight", "share").select("month", "symbol", "share", "px_start", "px_end", "ret")
     return rounded(shares, "share", "px_start", "px_end", "ret")
 

@@ -31,42 +31,48 @@ def rebalance_windows(spark: SparkSession, schedule: Schedule) -> DataFrame:
     )
 
 
-def holding_prices(panel: DataFrame, schedule: Schedule) -> DataFrame:
-    """Exact first-bar and last-bar closes per month and symbol: `month, symbol, px_start, px_end`.
+def edge_bars(panel: DataFrame, schedule: Schedule) -> DataFrame:
+    """First and last bar of each holding month: `month, symbol, px_start, px_end`, one of them null.
 
-    Only the bars at those instants are read; nothing stands in for a missing one.
+    Only the bars at those exact instants are read; nothing stands in for a missing one.
     """
     starts = schedule.hold_starts
     ends = [*starts[1:], schedule.end]
-    is_start = F.col("timestamp") == month_start(F.col("timestamp")).cast("timestamp_ntz")
     hold = month_start(F.col("timestamp"))
     first = F.lit(starts[0].date())
     month = ((F.year(hold) - F.year(first)) * 12 + F.month(hold) - F.month(first) + 1).cast("int")
-    bars = bars_at(panel, sorted({*starts, *[e - schedule.bar for e in ends]}))
-    is_end = F.col("timestamp") == (
-        F.add_months(hold, 1).cast("timestamp_ntz") - F.expr(f"interval {int(schedule.bar.total_seconds())} seconds")
-    )
-    return (
-        bars.groupBy(month.alias("month"), "symbol")
-        .agg(
-            F.max(F.when(is_start, F.col("close"))).alias("px_start"),
-            F.max(F.when(is_end, F.col("close"))).alias("px_end"),
-        )
-        .filter(F.col("px_start").isNotNull())
+    bar = F.expr(f"interval {int(schedule.bar.total_seconds())} seconds")
+    is_start = F.col("timestamp") == hold.cast("timestamp_ntz")
+    is_end = F.col("timestamp") == F.add_months(hold, 1).cast("timestamp_ntz") - bar
+    return bars_at(panel, sorted({*starts, *[e - schedule.bar for e in ends]})).select(
+        month.alias("month"),
+        "symbol",
+        F.when(is_start, F.col("close")).alias("px_start"),
+        F.when(is_end, F.col("close")).alias("px_end"),
     )
 
 
-def holding_positions(weights: DataFrame, prices: DataFrame, basket_rows: int | None = None) -> DataFrame:
+def holding_positions(weights: DataFrame, edges: DataFrame, basket_rows: int | None = None) -> DataFrame:
     """Tradable positions: a start bar is required, a missing end bar means no change in price.
 
     `basket_rows` bounds the number of weight rows where it is known (strategies x months x top n).
+    The bars meet the basket before anything is shuffled, so only its own bars are.
     """
     baskets = weights if basket_rows is None else bounded_broadcast(weights, basket_rows)
-    end = F.coalesce("px_end", "px_start")
-    return (
-        prices.join(baskets, ["month", "symbol"])
-        .withColumn("ret", F.try_divide(end - F.col("px_start"), F.col("px_start")))
-        .select("strategy", "month", "symbol", "weight", "px_start", end.alias("px_end"), "ret")
+    held = (
+        edges.join(baskets, ["month", "symbol"])
+        .groupBy("strategy", "month", "symbol")
+        .agg(
+            F.max("weight").alias("weight"),
+            F.max("px_start").alias("px_start"),
+            F.max("px_end").alias("last_close"),
+        )
+        .filter(F.col("px_start").isNotNull())
+    )
+    end = F.coalesce("last_close", "px_start")
+    return held.select(
+        "strategy", "month", "symbol", "weight", "px_start", end.alias("px_end"),
+        F.try_divide(end - F.col("px_start"), F.col("px_start")).alias("ret"),
     )
 
 
@@ -84,7 +90,7 @@ def holding_returns(
     month; `(0, 0)` where nothing is tradable. With `price_check`, positions with unusable
     prices are dropped after renormalising, so their weight earns nothing.
     """
-    held = holding_positions(weights, holding_prices(panel, schedule), basket_rows)
+    held = holding_positions(weights, edge_bars(panel, schedule), basket_rows)
     counts = F.lit(True)
     if price_check:
         counts = finite(F.col("px_start")) & finite(F.col("px_end")) & (F.col("px_start") > 0)

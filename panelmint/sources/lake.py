@@ -16,11 +16,11 @@ def partition_columns(candles: DataFrame) -> DataFrame:
 
 
 def write_lake(candles: DataFrame, path: str) -> None:
-    """Replace the lake. Rows are brought together by month and hash of the row key first, so
-    a month is written as a handful of files and a large symbol is spread over several."""
-    spread = F.pmod(F.xxhash64("symbol", "timestamp"), F.lit(8))
+    """Replace the lake. Rows are rebalanced by month: small months share a task and a large one
+    is split by size, so files come out even whatever a month or a symbol holds."""
     rows = partition_columns(candles.filter(F.col("close").isNotNull())).select(*CANDLE, "year", "month")
-    rows.repartition("year", "month", spread).write.mode("overwrite").partitionBy("year", "month").parquet(path)
+    even = rows.hint("rebalance", F.col("year"), F.col("month"))
+    even.write.mode("overwrite").partitionBy("year", "month").parquet(path)
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
