@@ -119,7 +119,7 @@ def principal_components(moments: DataFrame, rows: DataFrame, settings: Settings
     """Loadings of the leading components per month: `month, component, explained_variance, ord, loading`.
 
     All months are decomposed in one job. A month has at most `max_symbols` squared / 2 moment
-    rows. The sign of a component is fixed by making its largest entry positive.
+    rows, and a dense matrix of that size must fit a task: some thousand symbols. The sign of a component is fixed by making its largest entry positive.
     """
     # A covariance needs two observations.
     ready = moments.join(F.broadcast(rows.filter(F.col("t") > 1)), "month")

@@ -1,7 +1,9 @@
 """Choosing symbols. Ties are broken by symbol, so every choice is reproducible.
 
 Rankings are written as `row_number() <= n`: Spark cuts each map partition down to its own top
-`n` before the shuffle, so a month with any number of symbols sends only `n` rows per task.
+`n` before the shuffle, so a month with any number of symbols sends only `n` rows per task. It
+does so for limits below `spark.sql.optimizer.windowGroupLimitThreshold`; larger selections are
+first cut within shards of the symbols.
 """
 
 from __future__ import annotations
@@ -14,8 +16,17 @@ from panelmint.functions.expressions import valid_risk
 from panelmint.operators.metrics import observation_counts
 
 
+# Spark's default threshold for cutting rankings early, and the shards used beyond it.
+GROUP_LIMIT = 1000
+SHARDS = 64
+
+
 def ranked_top(frame: DataFrame, n: int, order: list[Column], by: tuple[str, ...] = ("month",)) -> DataFrame:
     """First `n` rows per group in the given order, with their `rank` from 1."""
+    if n >= GROUP_LIMIT:
+        shard = Window.partitionBy(*by, "shard").orderBy(*order)
+        sharded = frame.withColumn("shard", F.pmod(F.xxhash64("symbol"), F.lit(SHARDS)))
+        frame = sharded.withColumn("rank", F.row_number().over(shard)).filter(F.col("rank") <= n).drop("shard", "rank")
     window = Window.partitionBy(*by).orderBy(*order)
     return frame.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= n)
 

@@ -40,6 +40,18 @@ def test_round_robin_equals_taking_turns(spark):
     assert got == {m: w for m, w in want.items() if w}
 
 
+def test_large_selections_are_exact(spark):
+    frame = spark.range(5000).select(
+        (F.col("id") % 2).cast("int").alias("month"), F.concat(F.lit("S"), "id").alias("symbol"), (F.col("id") % 97).alias("score")
+    )
+    order = [F.desc("score"), F.asc("symbol")]
+    got = selection.ranked_top(frame, 1200, order).collect()
+    rows = {m: sorted(((r["symbol"], r["score"]) for r in frame.collect() if r["month"] == m), key=lambda x: (-x[1], x[0])) for m in (0, 1)}
+    assert {(r["month"], r["rank"], r["symbol"]) for r in got} == {
+        (m, k, s) for m, ranked in rows.items() for k, (s, _) in enumerate(ranked[:1200], start=1)
+    }
+
+
 def test_forecast_weights(spark):
     rows = [(1, "A", 0.02), (1, "B", 0.01), (1, "C", -0.01)]
     got = weights.forecast_weights(spark.createDataFrame(rows, "month int, symbol string, prediction double"), SETTINGS)
