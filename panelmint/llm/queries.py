@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmint.llm import chat, exact_dedup, packing
+from panelmint.llm import chat, exact_dedup, packing, quality
 from panelmint.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,20 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM n JOIN g USING (t)
 """
+
+
+def fold(column: str = "doc_id"):
+    return F.crc32(F.col(column).cast("string")) % 5
+
+
+@query
+def op10_quality_mil(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.learn_quality(docs, labels.where(fold() != 0))
+    scored = quality.score_quality(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        (fold() == 0).alias("held_out"),
+        F.col("__score").alias("score"),
+        (F.col("__score") >= 0.3).cast("int").alias("predicted"),
+    )
