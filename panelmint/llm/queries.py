@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmint.llm import chat, exact_dedup, packing, quality
+from panelmint.llm import chat, exact_dedup, near_dedup, packing, quality
 from panelmint.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op3_bestfit_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
 
 
+@query
+def op4_setsketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, folder, "documents"))
+
+
 @query
 def op6_block_naming(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents")).drop("row")
