@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmint.llm import chat, exact_dedup, near_dedup, packing, quality
+from panelmint.llm import chat, exact_dedup, mixing, near_dedup, packing, quality
 from panelmint.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,26 @@ def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.place_turns(segments))
 
 
+@query
+def op2_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.poisson_mix(table(spark, folder, "documents"))
+
+
+ORACLES["op2_poisson_mix"] = """
+WITH RECURSIVE c AS (SELECT source, count(*) AS n, pow(count(*)::DOUBLE, 0.5) AS share FROM documents GROUP BY source),
+r AS (SELECT source, share / (SELECT sum(share) FROM c) * (SELECT sum(n)::DOUBLE FROM c) / n AS rate FROM c),
+s AS (SELECT source, greatest(1, ceil(rate / 16.0)::INT) AS parts, rate / greatest(1, ceil(rate / 16.0)::INT) AS mean FROM r),
+p(source, parts, mean, k, p, cdf) AS (
+  SELECT source, parts, mean, 0, exp(-mean), exp(-mean) FROM s
+  UNION ALL SELECT source, parts, mean, k + 1, p * mean / (k + 1), cdf + p * mean / (k + 1) FROM p WHERE k < 96),
+steps AS (SELECT source, any_value(parts) AS parts, list(cdf ORDER BY k) AS cdf FROM p GROUP BY source),
+draws AS (SELECT d.*, steps.cdf, unnest(range(1, steps.parts + 1)) AS part FROM documents d JOIN steps ON d.source IS NOT DISTINCT FROM steps.source),
+counted AS (SELECT doc_id, sum(len(list_filter(cdf, lambda x: x < (('0x' || substr(md5('0:' || doc_id || ':' || part), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0))) AS n
+  FROM draws GROUP BY doc_id)
+SELECT d.*, unnest(range(0, n::BIGINT))::INT AS copy FROM documents d JOIN counted USING (doc_id)
+"""
+
+
 @query
 def op3_bestfit_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
