@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmint.llm import chat, exact_dedup, mixing, near_dedup, packing, quality
+from panelmint.llm import chat, exact_dedup, mixing, near_dedup, packing, quality, secrets
 from panelmint.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 
+@query
+def op9_secret_grammar(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, folder, "documents"))
+
+
 def fold(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string")) % 5
 
