@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmint.llm import chat, exact_dedup, mixing, near_dedup, packing, quality, secrets
+from panelmint.llm import chat, context_mixing, exact_dedup, mixing, near_dedup, packing, quality, secrets
 from panelmint.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,11 @@ def op4_setsketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, folder, "documents"))
 
 
+@query
+def op5_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return context_mixing.score_documents(table(spark, folder, "documents"))
+
+
 @query
 def op6_block_naming(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents")).drop("row")
