@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from panelmint.llm import chat, context_mixing, exact_dedup, mixing, near_dedup, packing, quality, secrets
 from panelmint.llm.common import table
 
@@ -102,3 +103,8 @@ def op10_quality_mil(spark: SparkSession, folder: str) -> DataFrame:
         F.col("__score").alias("score"),
         (F.col("__score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
