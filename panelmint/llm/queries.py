@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelmint.llm import chat, context_mixing, exact_dedup, mixing, near_dedup, packing, quality, secrets
+from panelmint.llm import chat, context_mixing, exact_dedup, mixing, near_dedup, nn_descent, packing, quality, secrets
 from panelmint.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 
+@query
+def op8_nn_descent(spark: SparkSession, folder: str) -> DataFrame:
+    return nn_descent.near_vectors(table(spark, folder, "embeddings"))
+
+
 @query
 def op9_secret_grammar(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find_secrets(table(spark, folder, "documents"))
