@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from panelmint.llm.common import components, land, stream_groups
 
+BITS = 32
 EDGE = "u long, v long, sim double"
 
 
@@ -33,14 +34,17 @@ def _units(column: pd.Series) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _adjacent(nodes: DataFrame, sweeps: int, reach: int, seed: int) -> DataFrame:
-    """First edges: neighbours in the order of random projections, `reach` to each side, in `sweeps` orders."""
+def _adjacent(nodes: DataFrame, sweeps: int, reach: int, seed: int, threshold: float) -> DataFrame:
+    """First edges: `reach` neighbours to each side in `sweeps` sorted orders. The key of an order is the signs of BITS random
+    projections, most significant first: close vectors share a prefix, and a prefix is as long as it takes to tell
+    neighbours apart, whatever the number of vectors."""
 
     def project(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for size, some in frame.groupby(frame["vec"].map(len)):
-                lines = np.random.default_rng([seed, size]).normal(size=(size, sweeps))
-                place = _units(some["vec"]) @ lines
+                lines = np.random.default_rng([seed, size]).normal(size=(size, sweeps * BITS))
+                signs = (_units(some["vec"]) @ lines > 0).reshape(len(some), sweeps, BITS)
+                place = signs @ (1 << np.arange(BITS)[::-1])
                 for k in range(sweeps):
                     yield pd.DataFrame({"sweep": k, "realm": some["realm"], "place": place[:, k], "node": some["node"], "vec": some["vec"]})
 
@@ -56,11 +60,11 @@ def _adjacent(nodes: DataFrame, sweeps: int, reach: int, seed: int) -> DataFrame
             for a, b in zip(cuts, cuts[1:]):
                 unit = _units(frame["vec"].iloc[a:b])
                 for d in range(1, min(reach, b - a - 1) + 1):
-                    sim = (unit[:-d] * unit[d:]).sum(axis=1)
+                    sim = (unit[:-d] * unit[d:]).sum(axis=1).clip(max=threshold)
                     u, v = node[a : b - d], node[a + d : b]
                     yield pd.DataFrame({"u": np.r_[u, v], "v": np.r_[v, u], "sim": np.r_[sim, sim]})
 
-    lined = nodes.select("realm", "node", "vec").mapInPandas(project, "sweep int, realm string, place double, node long, vec array<double>")
+    lined = nodes.select("realm", "node", "vec").mapInPandas(project, "sweep int, realm string, place long, node long, vec array<double>")
     order = ["sweep", "realm", "place", "node"]
     return lined.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(walk, EDGE)
 
@@ -68,18 +72,19 @@ def _adjacent(nodes: DataFrame, sweeps: int, reach: int, seed: int) -> DataFrame
 def _nearest(edges: DataFrame, room: DataFrame | None, least: int) -> DataFrame:
     """The best edges of each node: `least` of them, or as many as `room` (node, k) says. Keeps the fresh flag."""
     once = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
-    ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v")))
+    ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), F.xxhash64("u", "v"), "v")))
     if room is None:
         return ranked.where(F.col("rank") <= least).drop("rank")
     sized = ranked.join(room.select(F.col("node").alias("u"), "k"), "u", "left")
     return sized.where(F.col("rank") <= F.coalesce("k", F.lit(least))).drop("rank", "k")
 
 
-def _local_join(edges: DataFrame, nodes: DataFrame, neighbours: int, chunk: int = 256) -> DataFrame:
+def _local_join(edges: DataFrame, nodes: DataFrame, neighbours: int, threshold: float, chunk: int = 256) -> DataFrame:
     """Neighbours of neighbours: all who share a pivot are compared, pairs of two old edges excepted.
 
     A pivot's neighbours stream in chunks of bounded size in an order that changes with the pivot; each gets at most `neighbours`
-    proposals per chunk, so a hub adds rows in proportion to its edges.
+    proposals per chunk, so a hub adds rows in proportion to its edges. Similarities
+    above the threshold count alike: once a list holds links only, there is nothing better to look for.
     """
     both = edges.select(F.col("u").alias("p"), F.col("v").alias("q"), "fresh").union(edges.select(F.col("v").alias("p"), F.col("u").alias("q"), "fresh"))
     both = both.groupBy("p", "q").agg(F.max("fresh").alias("fresh"))
@@ -95,7 +100,7 @@ def _local_join(edges: DataFrame, nodes: DataFrame, neighbours: int, chunk: int
                 if len(some) < 2:
                     continue
                 unit, q, fresh = _units(some["vec"]), some["q"].to_numpy(), some["fresh"].to_numpy(bool)
-                sim = unit @ unit.T
+                sim = (unit @ unit.T).clip(max=threshold)
                 sim[~(fresh[:, None] | fresh[None, :])] = -2
                 np.fill_diagonal(sim, -2)
                 sim[sim <= some["worst"].fillna(-2).to_numpy()[:, None]] = -2
@@ -171,7 +176,7 @@ def near_vectors(
     sweeps: int = 8,
     recall: float = 0.99,
     audits: int = 512,
-    rounds: int = 6,
+    rounds: int = 5,
     seed: int = 7,
 ) -> DataFrame:
     """Vectors of one label linked by cosine >= threshold (double precision).
@@ -189,11 +194,11 @@ def near_vectors(
     nodes = land(usable(vectors), "vectors")
     edges, room, groups, size = None, None, None, neighbours
     for attempt in range(4):
-        first = _adjacent(nodes, sweeps, max(2, size // 2), seed + attempt).withColumn("fresh", F.lit(True))
+        first = _adjacent(nodes, sweeps, max(2, size // 2), seed + attempt, threshold).withColumn("fresh", F.lit(True))
         edges = land(_nearest(first if edges is None else edges.unionByName(first), room, size), "neighbours")
         total, before = max(1, nodes.count()), None
         for _ in range(rounds):
-            better = _local_join(edges, nodes, size).withColumn("fresh", F.lit(True))
+            better = _local_join(edges, nodes, size, threshold).withColumn("fresh", F.lit(True))
             edges = land(_nearest(edges.withColumn("fresh", F.lit(False)).unionByName(better), room, size), "neighbours")
             moved = edges.where("fresh").select("u").distinct().count()
             close = edges.where(F.col("sim") >= threshold)
