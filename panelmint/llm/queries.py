@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelmint.llm import chat, context_mixing, exact_dedup, mixing, near_dedup, nn_descent, packing, quality, secrets
+from panelmint.llm import chat, context_mixing, exact_dedup, line_templates, mixing, near_dedup, nn_descent, packing, quality, secrets
 from panelmint.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,39 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 
+@query
+def op7_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    clean = line_templates.drop_lines(table(spark, folder, "documents"))
+    return clean.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
+ORACLES["op7_line_templates"] = r"""
+WITH l AS (SELECT doc_id, row_number() OVER () AS row, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+u AS (SELECT doc_id, row, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM l),
+t AS (SELECT *, list_filter(string_split_regex(regexp_replace(line, '[^ 	-
+]*[0-9][^ 	-
+]*', '<*>', 'g'), '[ 	-
+]+'), lambda x: x <> '') AS tokens FROM u),
+p AS (SELECT *, tokens[1:2] AS head, len(tokens) AS size FROM t WHERE len(tokens) >= 4),
+busy AS (SELECT size, head FROM p GROUP BY size, head HAVING count(DISTINCT row) >= 3),
+kinds AS (SELECT size, head, tokens, count(*) AS n FROM p JOIN busy USING (size, head) GROUP BY ALL),
+total AS (SELECT size, head, sum(n) AS total FROM kinds GROUP BY ALL),
+cells AS (SELECT size, head, tokens, n, unnest(range(1, size + 1)) AS place, unnest(tokens) AS token FROM kinds),
+fixed AS (SELECT size, head, place, token FROM cells JOIN total USING (size, head) GROUP BY ALL HAVING sum(n) >= 0.5 * any_value(total) AND token <> '<*>'),
+marked AS (SELECT c.size, c.head, c.tokens, c.place, c.token, f.place IS NOT NULL AS is_fixed FROM cells c LEFT JOIN fixed f
+  ON c.size = f.size AND c.head = f.head AND c.place = f.place AND c.token = f.token),
+shaped AS (SELECT size, head, tokens, list(CASE WHEN is_fixed THEN token ELSE '<*>' END ORDER BY place) AS shape, sum(is_fixed::INT) AS n_fixed FROM marked GROUP BY ALL),
+templates AS (SELECT size, head, tokens, n_fixed < 0.6 * size AS literal, CASE WHEN n_fixed < 0.6 * size THEN tokens ELSE shape END AS template FROM shaped),
+known AS (SELECT p.doc_id, p.row, p.pos, size, head, literal, template FROM p JOIN templates USING (size, head, tokens)),
+spread AS (SELECT size, head, literal, template, min(doc_id) AS first_doc FROM known GROUP BY ALL HAVING count(DISTINCT row) >= 3),
+gone AS (SELECT DISTINCT row, pos FROM known JOIN spread USING (size, head, literal, template) WHERE doc_id <> first_doc),
+lists AS (SELECT row, list(pos) AS gone FROM gone GROUP BY row)
+SELECT doc_id, len(lines)::INT AS n_lines, coalesce(len(gone), 0)::INT AS n_dropped,
+  sha256(array_to_string(list_filter(lines, lambda x, i: NOT list_contains(coalesce(gone, []), i - 1)), chr(10))) AS text_sha256
+FROM l LEFT JOIN lists USING (row)
+"""
+
+
 @query
 def op8_nn_descent(spark: SparkSession, folder: str) -> DataFrame:
     return nn_descent.near_vectors(table(spark, folder, "embeddings"))
