@@ -12,7 +12,7 @@ from panelmint.operators.features import forecast_frame, windowed_forecast_frame
 from panelmint.operators.models import mean_prediction, regression_metrics as score_metrics
 from panelmint.operators.splits import chronological_split
 
-STATIC = (sql.EVENT_BARS, sql.RETURNS, sql.EVENT_METRICS, sql.universe(EVENTS.max_symbols), sql.EDGES)
+STATIC = (sql.EVENT_BARS, sql.RETURNS, sql.EVENT_METRICS, sql.universe(), sql.EDGES)
 STATIC_WALK = (*STATIC, sql.STATIC_RANKED, sql.walk(EVENTS.theta, "edges0"))
 WINDOW = (sql.BRAND_BARS, sql.WINDOWS, sql.LOOKBACK, sql.WINDOW_RETURNS, sql.WINDOW_METRICS)
 WINDOW_WALK = (*WINDOW, sql.CANDIDATES, sql.WINDOW_EDGES, sql.walk(BRANDS.theta, "wedges"))

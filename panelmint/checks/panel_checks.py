@@ -268,6 +268,7 @@ def forecast_frame(spark, folder):
 
 
 DIGEST = "md5(concat_ws('|', symbol, CAST(epoch_us(timestamp) AS VARCHAR)))"
+CAP_DIGEST = "md5(concat_ws('|', 'cap', symbol, CAST(epoch_us(timestamp) AS VARCHAR)))"
 
 
 @query(
@@ -286,7 +287,7 @@ def hash_split(spark, folder):
     "row_cap",
     sql.build(
         sql.EVENT_BARS, sql.features("symbol", "bars", "feats"),
-        select=f"SELECT symbol, timestamp, round(target, 6) AS target FROM feats_full ORDER BY {DIGEST} LIMIT 2000",
+        select=f"SELECT symbol, timestamp, round(target, 6) AS target FROM feats_full ORDER BY {CAP_DIGEST} LIMIT 2000",
     ),
 )
 def row_cap(spark, folder):

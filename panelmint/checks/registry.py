@@ -21,12 +21,14 @@ ORACLES: dict[str, str] = {}
 
 # 4-hour event bars: short chunks, so that the checks cross chunk and block borders; a threshold
 # that some pairs of this weakly correlated data reach.
-EVENTS = Settings(theta=0.25, chunk_bars=64)
+EVENTS = Settings(theta=0.25, chunk_bars=64, gram_block=64)
 
 # Daily brand bars, rebalanced monthly through 1997.
 DAY = timedelta(days=1)
 BRANDS = Settings(bar=DAY, periods_per_year=365, min_obs=30, theta=0.3, top_n=8)
 YEAR = Schedule(first=date(1997, 1, 1), months=12, lookback_days=90, bar=DAY)
+# All months that have a full lookback and a full holding month.
+SPAN = Schedule(first=date(1995, 5, 1), months=78, lookback_days=90, bar=DAY)
 BENCHMARK = "Brand#1"
 
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from panelmint.checks.registry import BRANDS, EVENTS, YEAR
+from panelmint.config import Schedule
 
 EVENT_BARS = """
 bars AS (
   SELECT time_bucket(INTERVAL '4 hours', ts) AS timestamp, CAST(user_id AS VARCHAR) AS symbol,
          arg_max(value, ts) AS close
-  FROM events GROUP BY 1, 2 HAVING arg_max(value, ts) > 0
+  FROM events GROUP BY 1, 2 HAVING arg_max(value, ts) IS NOT NULL
 )"""
 
 
@@ -17,7 +18,7 @@ def part_bars(label: str) -> str:
 bars AS (
   SELECT l_shipdate AS timestamp, {label} AS symbol, sum(l_extendedprice) / sum(l_quantity) AS close
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2
-  HAVING sum(l_extendedprice) / sum(l_quantity) > 0
+  HAVING sum(l_extendedprice) / sum(l_quantity) IS NOT NULL
 )"""
 
 
@@ -27,15 +28,19 @@ RETURNS = """
 lagged AS (
   SELECT symbol, timestamp, close, lag(close) OVER (PARTITION BY symbol ORDER BY timestamp) AS prev FROM bars
 ),
-rets AS (SELECT symbol, timestamp, ln(close / prev) AS ret FROM lagged WHERE prev IS NOT NULL)"""
+rets AS (SELECT symbol, timestamp, ln(close / prev) AS ret FROM lagged WHERE prev > 0 AND close > 0)"""
 
-WINDOWS = f"""
+def windows(schedule: Schedule) -> str:
+    return f"""
 windows AS (
-  SELECT CAST(k AS INTEGER) AS month, s - INTERVAL {YEAR.lookback_days} DAY AS lb_start, s AS lb_end,
+  SELECT CAST(k AS INTEGER) AS month, s - INTERVAL {schedule.lookback_days} DAY AS lb_start, s AS lb_end,
          s AS hold_start, s + INTERVAL 1 MONTH AS hold_end
-  FROM (SELECT k, TIMESTAMP '1997-01-01' + to_months(CAST(k - 1 AS INTEGER)) AS s FROM range(1, 13) AS r(k))
+  FROM (SELECT k, TIMESTAMP '{schedule.first}' + to_months(CAST(k - 1 AS INTEGER)) AS s FROM range(1, {schedule.months + 1}) AS r(k))
 )"""
 
+
+WINDOWS = windows(YEAR)
+
 LOOKBACK = """
 lookback AS (
   SELECT month, symbol, timestamp, close FROM bars JOIN windows ON timestamp >= lb_start AND timestamp < lb_end
@@ -45,7 +50,7 @@ WINDOW_RETURNS = """
 wlag AS (
   SELECT *, lag(close) OVER (PARTITION BY month, symbol ORDER BY timestamp) AS prev FROM lookback
 ),
-wrets AS (SELECT month, symbol, timestamp, ln(close / prev) AS ret FROM wlag WHERE prev IS NOT NULL)"""
+wrets AS (SELECT month, symbol, timestamp, ln(close / prev) AS ret FROM wlag WHERE prev > 0 AND close > 0)"""
 
 
 def metrics(source: str, periods: float, min_obs: int, keys: str = "symbol", name: str = "metrics") -> str:
@@ -63,11 +68,12 @@ EVENT_METRICS = metrics("rets", EVENTS.periods_per_year, EVENTS.min_obs)
 WINDOW_METRICS = metrics("wrets", BRANDS.periods_per_year, BRANDS.min_obs, "month, symbol", "wmetrics")
 
 
-def universe(cap: int) -> str:
+def universe(cap: int | None = None) -> str:
+    limit = "" if cap is None else f"QUALIFY row_number() OVER (ORDER BY count(*) DESC, symbol) <= {cap}"
     return f"""
 universe AS (
   SELECT symbol, count(*) AS n_obs, row_number() OVER (ORDER BY count(*) DESC, symbol) AS rank
-  FROM bars GROUP BY symbol QUALIFY row_number() OVER (ORDER BY count(*) DESC, symbol) <= {cap}
+  FROM bars GROUP BY symbol {limit}
 )"""
 
 
@@ -119,11 +125,10 @@ ranked AS (
   FROM universe u LEFT JOIN metrics m USING (symbol)
 )"""
 
-CANDIDATES = f"""
+CANDIDATES = """
 ranked AS (
   SELECT month, symbol, annual_vol, sharpe, row_number() OVER (PARTITION BY month ORDER BY sharpe DESC, symbol) - 1 AS ord
   FROM wmetrics WHERE annual_vol > 0 AND sharpe IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY month ORDER BY sharpe DESC, symbol) <= {BRANDS.max_symbols}
 )"""
 
 # Candidates' matrix per month; its rows are all timestamps at which any symbol has a return.
@@ -183,7 +188,8 @@ results AS (
 def features(keys: str, source: str, name: str) -> str:
     w = f"PARTITION BY {keys} ORDER BY timestamp"
     return f"""
-{name}_lag AS (SELECT *, ln(close / lag(close) OVER ({w})) AS log_ret FROM {source}),
+{name}_prev AS (SELECT *, lag(close) OVER ({w}) AS prev FROM {source}),
+{name}_lag AS (SELECT *, CASE WHEN close > 0 AND prev > 0 THEN ln(close / prev) END AS log_ret FROM {name}_prev),
 {name} AS (
   SELECT *, ma7 / ma30 AS ma_ratio FROM (
     SELECT {keys}, timestamp, close, log_ret,

@@ -101,9 +101,14 @@ def active_symbols(spark, folder):
     return universe.active_symbols(_exchange_info(spark, folder), QUOTE)
 
 
-@query("volume_rank", f"WITH {NAMES_SQL} SELECT symbol, round(quote_volume, 2) AS quote_volume FROM ranked")
+@query(
+    "volume_rank",
+    f"""WITH {NAMES_SQL} SELECT symbol, round(quote_volume, 2) AS quote_volume,
+        CAST(row_number() OVER (ORDER BY ranked.quote_volume DESC, symbol) AS INTEGER) AS position FROM ranked""",
+)
 def volume_rank(spark, folder):
-    return rounded(universe.volume_ranked(_ticker(spark, folder), QUOTE), "quote_volume", digits=2)
+    ranked = universe.volume_positions(universe.volume_ranked(_ticker(spark, folder), QUOTE))
+    return rounded(ranked, "quote_volume", digits=2)
 
 
 @query(
@@ -148,3 +153,23 @@ def historical_universe(spark, folder):
         "historical-usdt", QUOTE, fallback=_pairs(spark, folder).select("symbol"),
         listing=_listing(spark, folder), include_leveraged=True,
     )
+
+
+def _resolved(spark, folder, mode, **sources):
+    return universe.resolve_universe(mode, QUOTE, fallback=_pairs(spark, folder).select("symbol"), **sources)
+
+
+@query("top100_universe", f"WITH {NAMES_SQL} SELECT symbol FROM pairs WHERE symbol LIKE '%USDT'")
+def top100_universe(spark, folder):
+    return _resolved(spark, folder, "top100", exchange_info=_exchange_info(spark, folder))
+
+
+@query("all_usdt_universe", f"WITH {NAMES_SQL} SELECT symbol FROM active")
+def all_usdt_universe(spark, folder):
+    return _resolved(spark, folder, "ALL-usdt", exchange_info=_exchange_info(spark, folder))
+
+
+@query("universe_fallthrough", f"WITH {NAMES_SQL} SELECT symbol FROM pairs WHERE symbol LIKE '%USDT'")
+def universe_fallthrough(spark, folder):
+    """Without a listing and without exchange data the fixed list is what is left."""
+    return _resolved(spark, folder, "historical-usdt")

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from panelmint.checks import sql
 from panelmint.checks.basket_checks import WINDOW, WINDOW_WALK
-from panelmint.checks.registry import BENCHMARK, BRANDS, YEAR, brand_year, query, rounded
+from panelmint.checks.registry import BENCHMARK, BRANDS, SPAN, YEAR, brand_year, brands, query, rounded
 from panelmint.operators import holding, performance
 from panelmint.operators.returns import lookback_bars
 from panelmint.operators.weights import share_of_total
-from panelmint.plans.walk_forward import DECLARATIVE
+from panelmint.plans.walk_forward import DECLARATIVE, WalkForward
+from panelmint.sources.exports import weights_from_rows
 
 PLAIN = sql.top_weights("wmetrics", BRANDS.top_n, "plain")
 PLAIN_WEIGHTS = "weights AS (SELECT 'top_sharpe' AS strategy, month, symbol, weight FROM plain)"
@@ -243,3 +244,35 @@ def performance_report(spark, folder):
 )
 def monthly_report(spark, folder):
     return rounded(performance.labelled_results(_walk(spark, folder), YEAR), "month_return")
+
+
+@query(
+    "walk_forward_span",
+    sql.build(*[sql.windows(SPAN) if block == sql.WINDOWS else block for block in WALK], select=RESULT_SELECT, recursive=True),
+)
+def walk_forward_span(spark, folder):
+    """The walk-forward over every month of the data."""
+    return rounded(WalkForward(brands(spark, folder), SPAN, BRANDS, BENCHMARK).run(DECLARATIVE), "month_return")
+
+
+# A basket given by hand beside one without rows.
+GIVEN = [(m, f"Brand#{b}", w) for m in range(1, 13) for b, w in ((1, 0.5), (2, 0.25), (99, 0.25))]
+
+
+@query(
+    "given_baskets",
+    sql.build(
+        sql.BRAND_BARS,
+        sql.WINDOWS,
+        "weights AS (SELECT 'given' AS strategy, * FROM (VALUES " + ", ".join(map(str, GIVEN)) + ") AS g(month, symbol, weight))",
+        sql.held("weights"),
+        sql.results(["given", "empty"]),
+        select=RESULT_SELECT,
+    ),
+)
+def given_baskets(spark, folder):
+    run = brand_year(spark, folder)
+    given = weights_from_rows(spark, GIVEN).withColumn("strategy", F.lit("given"))
+    none = weights_from_rows(spark, []).withColumn("strategy", F.lit("empty"))
+    held = holding.holding_returns(given.unionByName(none), run.prices, YEAR, ["given", "empty"], basket_rows=len(GIVEN))
+    return rounded(held, "month_return")

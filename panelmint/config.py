@@ -16,7 +16,7 @@ class Settings:
     min_obs: int = 50
     theta: float = 0.85
     top_n: int = 20
-    max_symbols: int = 150
+    max_symbols: int | None = None  # only on request: the symbols with most bars, or the best ratios
     clusters: int = 5
     components: int = 10
     variance_target: float = 0.90
@@ -25,7 +25,8 @@ class Settings:
     prediction_floor: float = 0.001
     initial_capital: float = 10_000.0
 
-    # Boosted trees: the static model is lighter than the one fitted per rebalance month.
+    # Boosted trees: the static model is lighter than the one fitted per rebalance month. The cap
+    # bounds training rows only; every held-out row is scored.
     row_cap: int = 400_000
     static_trees: int = 12
     static_depth: int = 4
@@ -38,7 +39,7 @@ class Settings:
     # `chunk_bars` rows into it, however long its history is.
     chunk_bars: int = 512
     gram_block: int = 256
-    fit_partitions: int | None = None  # None: as many as the session shuffles into
+    fit_partitions: int | None = None  # None: as many as `rows_per_fit_task` asks for
     rows_per_fit_task: int = 100_000
     parallel_fits: int = 8
 

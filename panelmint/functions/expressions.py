@@ -37,7 +37,8 @@ def month_start(ts: Column) -> Column:
 
 
 def log_ratio(value: Column, previous: Column) -> Column:
-    return F.ln(F.try_divide(value, previous))
+    """Log of the ratio of two prices; null unless both are positive."""
+    return F.when((value > 0) & (previous > 0), F.ln(F.try_divide(value, previous)))
 
 
 def finite(value: Column) -> Column:
@@ -64,6 +65,6 @@ def row_digest(*columns: Column) -> Column:
     return F.md5(F.concat_ws("|", *columns))
 
 
-def bounded_broadcast(frame: DataFrame, rows_at_most: int, limit: int = 200_000) -> DataFrame:
+def bounded_broadcast(frame: DataFrame, rows_at_most: int | None, limit: int = 200_000) -> DataFrame:
     """Broadcast a frame whose row count has a known bound; otherwise leave the choice to Spark."""
-    return F.broadcast(frame) if rows_at_most <= limit else frame
+    return F.broadcast(frame) if rows_at_most is not None and rows_at_most <= limit else frame

@@ -22,10 +22,10 @@ SUMS = ("sxy", "sx", "sy", "sxx", "syy")
 def chosen_returns(returns: DataFrame, members: DataFrame, settings: Settings, months: int = 1) -> DataFrame:
     """Returns of the chosen symbols, with their matrix position.
 
-    `members` has `month, symbol, ord, size`: at most `max_symbols` rows per month.
+    `members` has `month, symbol, ord, size`; it is broadcast only where `max_symbols` bounds it.
     """
     columns = members.select("month", "symbol", "ord", "size")
-    bound = months * settings.max_symbols
+    bound = None if settings.max_symbols is None else months * settings.max_symbols
     return returns.join(bounded_broadcast(columns, bound), ["month", "symbol"])
 
 
@@ -37,17 +37,12 @@ def pair_moments(chosen: DataFrame, settings: Settings) -> DataFrame:
         "month", "chunk", "timestamp", "ret", "size",
         own.alias("block"), (F.col("ord") % block).cast("int").alias("slot"),
     )
-    if settings.max_symbols <= block:
-        sided = cells.withColumns({"left": F.lit(0), "right": F.lit(0)})
-    else:
-        last_block = F.floor((F.col("size") - 1) / block).cast("int")
-        partners = F.transform(
-            F.sequence(F.lit(0), last_block),
-            lambda other: F.struct(
-                F.least("block", other).alias("left"), F.greatest("block", other).alias("right")
-            ),
-        )
-        sided = cells.withColumn("pair", F.explode(partners)).select("*", "pair.left", "pair.right").drop("pair")
+    last_block = F.floor((F.col("size") - 1) / block).cast("int")
+    partners = F.transform(
+        F.sequence(F.lit(0), last_block),
+        lambda other: F.struct(F.least("block", other).alias("left"), F.greatest("block", other).alias("right")),
+    )
+    sided = cells.withColumn("pair", F.explode(partners)).select("*", "pair.left", "pair.right").drop("pair")
     partial = sided.groupBy("month", "chunk", "left", "right").applyInPandas(
         block_products(block),
         "month int, i int, j int, " + ", ".join(f"{s} double" for s in SUMS),
@@ -97,7 +92,7 @@ def correlations(moments: DataFrame, rows: DataFrame) -> DataFrame:
 
 def named_edges(edges: DataFrame, members: DataFrame, settings: Settings, months: int = 1) -> DataFrame:
     """Replace matrix positions by symbols: `month, i, j, symbol_i, symbol_j, rho`."""
-    bound = months * settings.max_symbols
+    bound = None if settings.max_symbols is None else months * settings.max_symbols
     for side in ("i", "j"):
         names = members.select("month", F.col("ord").alias(side), F.col("symbol").alias(f"symbol_{side}"))
         edges = edges.join(bounded_broadcast(names, bound), ["month", side])
@@ -118,8 +113,8 @@ def matrix_summary(edges: DataFrame) -> DataFrame:
 def principal_components(moments: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
     """Loadings of the leading components per month: `month, component, explained_variance, ord, loading`.
 
-    All months are decomposed in one job. A month has at most `max_symbols` squared / 2 moment
-    rows, and a dense matrix of that size must fit a task: some thousand symbols. The sign of a component is fixed by making its largest entry positive.
+    All months are decomposed in one job. A month's moments and a dense
+    matrix over its symbols must fit a task: some thousand symbols (see README). The sign of a component is fixed by making its largest entry positive.
     """
     # A covariance needs two observations.
     ready = moments.join(F.broadcast(rows.filter(F.col("t") > 1)), "month")
@@ -142,7 +137,7 @@ def explained_variance(loadings: DataFrame, settings: Settings) -> DataFrame:
 
 def component_scores(chosen: DataFrame, loadings: DataFrame, settings: Settings, months: int = 1) -> DataFrame:
     """Project each matrix row on the components: `month, timestamp, component, score`."""
-    bound = months * settings.max_symbols * settings.components
+    bound = None if settings.max_symbols is None else months * settings.max_symbols * settings.components
     axes = loadings.select("month", "ord", "component", "loading")
     return (
         chosen.join(bounded_broadcast(axes, bound), ["month", "ord"])

@@ -9,6 +9,7 @@ from panelmint.config import Schedule, Settings
 from panelmint.functions.expressions import log_ratio
 from panelmint.operators.returns import chunked_bars, lookback_bars
 
+# The names of the features.
 FEATURES = ["ret_lag1", "ret_lag2", "ret_lag3", "ma_ratio", "volatility_7d"]
 
 # Rows a feature looks back over (the long average) and ahead (the target).

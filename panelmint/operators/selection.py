@@ -1,9 +1,8 @@
 """Choosing symbols. Ties are broken by symbol, so every choice is reproducible.
 
-Rankings are written as `row_number() <= n`: Spark cuts each map partition down to its own top
-`n` before the shuffle, so a month with any number of symbols sends only `n` rows per task. It
-does so for limits below `spark.sql.optimizer.windowGroupLimitThreshold`; larger selections are
-first cut within shards of the symbols.
+Rankings are written as `row_number() <= n`: below `spark.sql.optimizer.windowGroupLimitThreshold` Spark cuts each map
+partition down to its own top `n` before the shuffle, so a month with any number of symbols sends only `n` rows per
+task. Without a limit a month's ranking sorts one narrow row per symbol.
 """
 
 from __future__ import annotations
@@ -16,19 +15,10 @@ from panelmint.functions.expressions import valid_risk
 from panelmint.operators.metrics import observation_counts
 
 
-# Spark's default threshold for cutting rankings early, and the shards used beyond it.
-GROUP_LIMIT = 1000
-SHARDS = 64
-
-
-def ranked_top(frame: DataFrame, n: int, order: list[Column], by: tuple[str, ...] = ("month",)) -> DataFrame:
-    """First `n` rows per group in the given order, with their `rank` from 1."""
-    if n >= GROUP_LIMIT:
-        shard = Window.partitionBy(*by, "shard").orderBy(*order)
-        sharded = frame.withColumn("shard", F.pmod(F.xxhash64("symbol"), F.lit(SHARDS)))
-        frame = sharded.withColumn("rank", F.row_number().over(shard)).filter(F.col("rank") <= n).drop("shard", "rank")
-    window = Window.partitionBy(*by).orderBy(*order)
-    return frame.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= n)
+def ranked_top(frame: DataFrame, n: int | None, order: list[Column], by: tuple[str, ...] = ("month",)) -> DataFrame:
+    """First `n` rows per group in the given order (all of them without `n`), with their `rank` from 1."""
+    ranked = frame.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    return ranked if n is None else ranked.filter(F.col("rank") <= n)
 
 
 def as_members(ranked: DataFrame) -> DataFrame:
@@ -38,13 +28,13 @@ def as_members(ranked: DataFrame) -> DataFrame:
 
 
 def universe_cap(panel: DataFrame, settings: Settings) -> DataFrame:
-    """The `max_symbols` symbols with most bars: `month (0), symbol, n_obs, rank`."""
+    """All symbols, or the `max_symbols` with most bars: `month (0), symbol, n_obs, rank`."""
     counts = observation_counts(panel).withColumn("month", F.lit(0))
     return ranked_top(counts, settings.max_symbols, [F.desc("n_obs"), F.asc("symbol")])
 
 
 def candidate_cap(metrics: DataFrame, settings: Settings) -> DataFrame:
-    """Per month the `max_symbols` best Sharpe ratios among symbols with usable risk numbers."""
+    """Per month the symbols with usable risk numbers, best Sharpe ratio first; `max_symbols` of them if that is set."""
     usable = metrics.filter(valid_risk(F.col("annual_vol"), F.col("sharpe")))
     return ranked_top(usable, settings.max_symbols, [F.desc("sharpe"), F.asc("symbol")])
 

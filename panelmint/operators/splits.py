@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from panelmint.functions.expressions import epoch_micros, row_digest
 
-# Leading hex digits of the digest that form the histogram of the row cap: 65,536 cells.
+# Hex digits of the digest that form one histogram of the row cap (65,536 cells), and how many
+# histograms narrow the cut down before rows are ranked.
 CELL_DIGITS = 4
+CELL_LEVELS = 2
 
 
-def with_digest(frame: DataFrame) -> DataFrame:
-    return frame.withColumn("digest", row_digest(F.col("symbol"), epoch_micros(F.col("timestamp"))))
+def with_digest(frame: DataFrame, salt: str) -> DataFrame:
+    return frame.withColumn("digest", row_digest(F.lit(salt), F.col("symbol"), epoch_micros(F.col("timestamp"))))
 
 
 def hash_split(frame: DataFrame, train_share: float) -> DataFrame:
@@ -25,25 +27,28 @@ def hash_split(frame: DataFrame, train_share: float) -> DataFrame:
 def row_cap(frame: DataFrame, cap: int) -> DataFrame:
     """The `cap` rows with the smallest digests: a random sample of exactly that size.
 
-    A histogram over digest prefixes (a fixed number of cells) tells which cells fit whole; only
-    the rows of the one cell that straddles the cap are ranked.
+    The digest is salted: it says nothing about the side of `hash_split` a row is on. A histogram
+    over digest prefixes (a fixed number of cells) tells which cells fit whole. The one cell that
+    straddles the cap is divided the same way by the next digits, and only the rows of the cell
+    left open after that, one in four billion, are ranked.
     """
-    keyed = with_digest(frame).withColumn("cell", F.substring("digest", 1, CELL_DIGITS))
-    histogram = keyed.groupBy("cell").agg(F.count("*").alias("n"))
     running = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    room = (
-        histogram.withColumn("room", F.lit(cap) - F.sum("n").over(running) + F.col("n"))
-        .filter(F.col("room") > 0)
-        .select("cell", "room", (F.col("n") <= F.col("room")).alias("whole"))
-    )
-    placed = keyed.join(F.broadcast(room), "cell")
-    in_cell = Window.partitionBy("cell").orderBy("digest")
-    straddling = (
-        placed.filter(~F.col("whole"))
-        .withColumn("rank", F.row_number().over(in_cell))
-        .filter(F.col("rank") <= F.col("room"))
-    )
-    return placed.filter("whole").select(frame.columns).unionByName(straddling.select(frame.columns))
+    rest = with_digest(frame, "cap").withColumn("left", F.lit(cap).cast("long"))
+    kept = None
+    for level in range(CELL_LEVELS):
+        keyed = rest.withColumn("cell", F.substring("digest", 1 + level * CELL_DIGITS, CELL_DIGITS))
+        histogram = keyed.groupBy("cell").agg(F.count("*").alias("n"), F.max("left").alias("left"))
+        room = (
+            histogram.withColumn("room", F.col("left") - F.sum("n").over(running) + F.col("n"))
+            .filter(F.col("room") > 0)
+            .select("cell", "room", (F.col("n") <= F.col("room")).alias("whole"))
+        )
+        placed = keyed.join(F.broadcast(room), "cell")  # at most 65,536 cells
+        whole = placed.filter("whole").select(frame.columns)
+        kept = whole if kept is None else kept.unionByName(whole)
+        rest = placed.filter(~F.col("whole")).withColumn("left", F.col("room")).drop("cell", "room", "whole")
+    ranked = rest.withColumn("rank", F.row_number().over(Window.partitionBy("left").orderBy("digest")))
+    return kept.unionByName(ranked.filter(F.col("rank") <= F.col("left")).select(frame.columns))
 
 
 def chronological_split(frame: DataFrame, train_share: float) -> DataFrame:

@@ -6,20 +6,16 @@ have a known Sharpe ratio; the lower Sharpe loses, a tie drops the later symbol.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelmint.config import Settings
 from panelmint.functions.expressions import bounded_broadcast, finite
 from panelmint.session import ensure_checkpoint_dir
 
-# Up to this many symbols per month the pair list of a month is short enough to be one array.
-FOLD_SYMBOLS = 512
-
-
 def contests(edges: DataFrame, members: DataFrame, settings: Settings, months: int = 1) -> DataFrame:
     """Pairs above the threshold with their loser: `month, i, j, loser`."""
-    bound = months * settings.max_symbols
+    bound = None if settings.max_symbols is None else months * settings.max_symbols
     strong = edges.filter(F.abs("rho") > settings.theta)
     for side in ("i", "j"):
         known = members.filter(finite(F.col("sharpe"))).select(
@@ -30,46 +26,33 @@ def contests(edges: DataFrame, members: DataFrame, settings: Settings, months: i
     return strong.select("month", "i", "j", loser.alias("loser"))
 
 
-def losers_by_fold(pairs: DataFrame) -> DataFrame:
-    """Walk each month's pairs in one expression. For bounded pair lists only."""
-    walk = pairs.groupBy("month").agg(F.sort_array(F.collect_list(F.struct("i", "j", "loser"))).alias("walk"))
-    dropped = F.aggregate(
-        "walk",
-        F.array().cast("array<int>"),
-        lambda out, pair: F.when(
-            F.array_contains(out, pair["i"]) | F.array_contains(out, pair["j"]), out
-        ).otherwise(F.array_append(out, pair["loser"])),
-    )
-    return walk.select("month", F.explode(dropped).alias("ord"))
-
+def losers(pairs: DataFrame) -> DataFrame:
+    """The walk over all pairs of a month in parallel rounds: `month, ord`.
 
-def losers_by_rounds(pairs: DataFrame) -> DataFrame:
-    """The same walk as parallel rounds, for pair lists too long for one array.
-
-    A pair that comes first at both of its symbols cannot be affected by any other, so all such
-    pairs are settled at once; pairs touching a loser leave. Each round is a checkpoint.
+    A pair waits for the earlier pairs of its two symbols. A symbol that no earlier symbol still
+    contests can walk its own row of pairs, up to its first defeat or to the first opponent whom an
+    earlier symbol still contests. Each round settles all such stretches at once, and pairs that
+    touch a loser leave. A clique takes one round when its order is that of the ratios, and one
+    per new best ratio otherwise. Each round is written to the checkpoint folder.
     """
     ensure_checkpoint_dir(pairs.sparkSession)
     live = pairs.checkpoint()
     gone = live.select("month", F.col("loser").alias("ord")).limit(0)
+    row = Window.partitionBy("month", "i").orderBy("j")
+    before = row.rowsBetween(Window.unboundedPreceding, -1)
     while not live.isEmpty():
-        ends = live.select(
-            "month", F.explode(F.array("i", "j")).alias("ord"), F.struct("i", "j").alias("pair")
+        contested = live.groupBy("month", F.col("j").alias("ord")).agg(F.min("i").alias("first"))
+        own = contested.select("month", F.col("ord").alias("i"), F.lit(True).alias("waits"))
+        other = contested.select("month", F.col("ord").alias("j"), "first")
+        walked = (
+            live.join(own, ["month", "i"], "left")
+            .filter(F.col("waits").isNull())
+            .join(other, ["month", "j"])
+            .withColumn("halt", F.max((F.col("first") != F.col("i")).cast("int")).over(row.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("lost", F.coalesce(F.max((F.col("loser") == F.col("i")).cast("int")).over(before), F.lit(0)))
         )
-        first = ends.groupBy("month", "ord").agg(F.min("pair").alias("first"))
-        marked = live
-        for side in ("i", "j"):
-            marked = marked.join(
-                first.select("month", F.col("ord").alias(side), F.col("first").alias(f"first_{side}")),
-                ["month", side],
-            )
-        pair = F.struct("i", "j")
-        settled = (
-            marked.filter((pair == F.col("first_i")) & (pair == F.col("first_j")))
-            .select("month", F.col("loser").alias("ord"))
-            .distinct()
-        ).checkpoint()
-        gone = gone.unionByName(settled)
+        settled = walked.filter("halt = 0 AND lost = 0").select("month", F.col("loser").alias("ord")).distinct().checkpoint()
+        gone = gone.unionByName(settled).checkpoint()
         for side in ("i", "j"):
             live = live.join(settled.withColumnRenamed("ord", side), ["month", side], "left_anti")
         live = live.checkpoint()
@@ -78,6 +61,4 @@ def losers_by_rounds(pairs: DataFrame) -> DataFrame:
 
 def tournament(edges: DataFrame, members: DataFrame, settings: Settings, months: int = 1) -> DataFrame:
     """Members that survive: `members` without the losers."""
-    pairs = contests(edges, members, settings, months)
-    walk = losers_by_fold if settings.max_symbols <= FOLD_SYMBOLS else losers_by_rounds
-    return members.join(walk(pairs), ["month", "ord"], "left_anti")
+    return members.join(losers(contests(edges, members, settings, months)), ["month", "ord"], "left_anti")

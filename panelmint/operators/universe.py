@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelmint.functions.expressions import is_leveraged
 
+# The names of the modes.
 MODES = ("top100", "diversified", "all-usdt", "historical-usdt")
 
 
@@ -27,7 +28,7 @@ def active_symbols(exchange_info: DataFrame, quote: str) -> DataFrame:
 
 
 def volume_ranked(ticker: DataFrame, quote: str, zero_unparsed: bool = False) -> DataFrame:
-    """`symbol, volume` of the quote's pairs, largest volume first.
+    """`symbol, quote_volume` of the quote's pairs, in no order; volume_positions() ranks them.
 
     A volume that is no number drops its row, or counts as 0 with `zero_unparsed`. An absent
     volume is 0 either way.
@@ -39,7 +40,12 @@ def volume_ranked(ticker: DataFrame, quote: str, zero_unparsed: bool = False) ->
     )
     if zero_unparsed:
         parsed = parsed.withColumn("quote_volume", F.coalesce(volume, F.lit(0.0)))
-    return parsed.filter(volume.isNotNull()).orderBy(F.desc("quote_volume"), F.asc("symbol"))
+    return parsed.filter(volume.isNotNull())
+
+
+def volume_positions(ranked: DataFrame) -> DataFrame:
+    """Adds `position` from 1, largest volume first. One narrow row per listed pair is sorted."""
+    return ranked.withColumn("position", F.row_number().over(Window.orderBy(F.desc("quote_volume"), "symbol")))
 
 
 def diversified_universe(

@@ -36,10 +36,11 @@ def fallback_weights(metrics: DataFrame, settings: Settings) -> DataFrame:
 
 
 def with_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:
-    """`primary`, and `fallback` for the months in which `primary` has nothing."""
+    """`primary`, and `fallback` for the months in which `primary` has nothing. Each is evaluated once."""
     columns = ["month", "symbol", "weight"]
-    missing = fallback.join(primary.select("month").distinct(), "month", "left_anti")
-    return primary.select(columns).unionByName(missing.select(columns))
+    tagged = primary.select(*columns, F.lit(0).alias("tier")).unionByName(fallback.select(*columns, F.lit(1).alias("tier")))
+    best = F.min("tier").over(in_basket())
+    return tagged.withColumn("best", best).filter(F.col("tier") == F.col("best")).select(columns)
 
 
 def forecast_weights(predictions: DataFrame, settings: Settings) -> DataFrame:

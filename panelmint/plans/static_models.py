@@ -20,36 +20,43 @@ from panelmint.operators.selection import as_members, top_sharpe, universe_cap
 from panelmint.operators.splits import hash_split, row_cap
 from panelmint.operators.tournament import tournament
 from panelmint.operators.weights import inverse_vol_weights
+from panelmint.session import written_once
 
 
 @dataclass(frozen=True)
 class StaticModels:
     """The whole history is treated as one window, `month = 0`.
 
-    What several models share is kept: the universe (at most `max_symbols` rows), one row per
-    symbol for the metrics, the returns of the universe and one row per pair of it. The returns
-    of all symbols are not kept: the matrix reads the panel again, for the universe only.
+    The bars are written once to the checkpoint folder (far fewer rows than what they are made from) and every model
+    reads them there. What several models share is kept: the universe, one row per symbol for
+    the metrics, the returns of the universe and one row per pair of it.
     """
 
     panel: DataFrame
     settings: Settings
 
+    @cached_property
+    def bars(self) -> DataFrame:
+        return written_once(self.panel.select("symbol", "timestamp", "close"))
+
     @cached_property
     def universe(self) -> DataFrame:
-        return as_members(universe_cap(self.panel, self.settings)).persist(StorageLevel.MEMORY_AND_DISK)
+        return as_members(universe_cap(self.bars, self.settings)).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def metrics(self) -> DataFrame:
-        returns = log_returns(self.panel, self.settings)
+        returns = log_returns(self.bars, self.settings)
         return asset_metrics(returns, self.settings).withColumn("month", F.lit(0)).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def universe_panel(self) -> DataFrame:
-        return only_symbols(self.panel, self.universe, at_most=self.settings.max_symbols)
+        if self.settings.max_symbols is None:
+            return self.bars
+        return only_symbols(self.bars, self.universe, at_most=self.settings.max_symbols)
 
     @cached_property
     def chosen(self) -> DataFrame:
-        """Returns of the universe with their matrix positions: `max_symbols` series at most."""
+        """Returns of the universe with their matrix positions."""
         returns = log_returns(self.universe_panel, self.settings).withColumn("month", F.lit(0))
         chosen = corr.chosen_returns(returns, self.universe, self.settings)
         return chosen.persist(StorageLevel.MEMORY_AND_DISK)
@@ -70,7 +77,7 @@ class StaticModels:
         return tournament(self.edges(), members, self.settings)
 
     def smart_basket(self) -> DataFrame:
-        """Capped universe, correlation tournament, best Sharpe ratios, inverse-volatility weights."""
+        """The universe, correlation tournament, best Sharpe ratios, inverse-volatility weights."""
         return self._basket(self.survivors())
 
     def simple_basket(self) -> DataFrame:
@@ -92,13 +99,14 @@ class StaticModels:
         return corr.component_scores(self.chosen, self.components(), self.settings)
 
     def forecast(self) -> tuple[GBTRegressionModel, DataFrame]:
-        """Boosted trees on the universe: the model and the scored test rows."""
-        # Counted, ranked and split below; kept so that the features are built once.
+        """Boosted trees on the universe: the model and all held-out rows, scored."""
+        # Split, counted and ranked below; kept so that the features are built once.
         frame = forecast_frame(self.universe_panel, self.settings).persist(StorageLevel.MEMORY_AND_DISK)
-        split = hash_split(row_cap(frame, self.settings.row_cap), self.settings.train_share)
-        ready = fit_ready(vectors(split, FEATURES), self.settings, ["symbol", "timestamp"])
-        model = fit_static_forecast(ready.filter("is_train"), self.settings)
-        scored = model.transform(ready.filter(~F.col("is_train")))
+        split = hash_split(frame, self.settings.train_share)
+        train = row_cap(split.filter("is_train"), self.settings.row_cap)
+        ready = fit_ready(vectors(train, FEATURES), self.settings, ["symbol", "timestamp"])
+        model = fit_static_forecast(ready, self.settings)
+        scored = model.transform(vectors(split.filter(~F.col("is_train")), FEATURES))
         return model, settled(scored, ready, frame)
 
     def release(self) -> None:

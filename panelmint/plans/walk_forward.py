@@ -18,7 +18,7 @@ from panelmint.operators.features import windowed_forecast_frame
 from panelmint.operators.holding import holding_returns
 from panelmint.operators.metrics import annualised, series_stats
 from panelmint.operators.models import cluster_assets, monthly_predictions
-from panelmint.operators.returns import lookback_bars, only_symbols, window_bar_returns, windowed_returns
+from panelmint.operators.returns import lookback_bars, only_symbols, time_range, window_bar_returns, windowed_returns
 from panelmint.operators.selection import as_members, candidate_cap, round_robin, top_residual, top_sharpe
 from panelmint.operators.splits import chronological_split
 from panelmint.operators.tournament import tournament
@@ -29,6 +29,7 @@ from panelmint.operators.weights import (
     inverse_vol_weights,
     with_fallback,
 )
+from panelmint.session import written_once
 
 DECLARATIVE = ("benchmark", "top_sharpe", "tournament")
 FITTED = ("clusters", "pca_residual", "forecast")
@@ -38,8 +39,9 @@ FITTED = ("clusters", "pca_residual", "forecast")
 class WalkForward:
     """One panel with its calendar. Baskets are `month, symbol, weight`.
 
-    The panel is shuffled once, down to one row per month and symbol. That table, the candidates (at most `max_symbols` per month), their returns and pair moments are kept for all
-    strategies. The matrices read the panel again, but only for the candidates.
+    The bars of the calendar's time range are written once to the checkpoint folder, and every
+    strategy reads them there. One row per month and symbol, the candidates, their returns and
+    pair moments are kept for all strategies.
     """
 
     panel: DataFrame
@@ -48,16 +50,23 @@ class WalkForward:
     benchmark_symbol: str
 
     @property
-    def members_at_most(self) -> int:
-        return self.schedule.months * self.settings.max_symbols
+    def members_at_most(self) -> int | None:
+        cap = self.settings.max_symbols
+        return None if cap is None else self.schedule.months * cap
+
+    @cached_property
+    def prices(self) -> DataFrame:
+        """Bars of the lookbacks and of the holding months."""
+        covered = time_range(self.panel, self.schedule.begin, self.schedule.end)
+        return written_once(covered.select("symbol", "timestamp", "close"))
 
     def bars(self) -> DataFrame:
-        return lookback_bars(self.panel, self.schedule)
+        return lookback_bars(self.prices, self.schedule)
 
     @cached_property
     def series(self) -> DataFrame:
         """One row per month and symbol: return statistics and the first bar of the window."""
-        bars = window_bar_returns(self.panel, self.schedule, self.settings)
+        bars = window_bar_returns(self.prices, self.schedule, self.settings)
         stats = series_stats(bars, ("month",), F.min("timestamp").alias("first_bar"))
         return stats.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -66,14 +75,15 @@ class WalkForward:
 
     @cached_property
     def candidates(self) -> DataFrame:
-        """Capped candidates in matrix order: best Sharpe ratio first."""
+        """Candidates in matrix order: best Sharpe ratio first."""
         return as_members(candidate_cap(self.metrics(), self.settings)).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def chosen(self) -> DataFrame:
         """Returns of the candidates with their matrix positions."""
-        ever = self.candidates.select("symbol").distinct()
-        panel = only_symbols(self.panel, ever, at_most=self.members_at_most)
+        panel = self.prices
+        if self.settings.max_symbols is not None:
+            panel = only_symbols(panel, self.candidates.select("symbol").distinct(), at_most=self.members_at_most)
         returns = windowed_returns(panel, self.schedule, self.settings)
         chosen = corr.chosen_returns(returns, self.candidates, self.settings, self.schedule.months)
         return chosen.persist(StorageLevel.MEMORY_AND_DISK)
@@ -115,7 +125,7 @@ class WalkForward:
         return with_fallback(basket, self.top_sharpe())
 
     def predictions(self) -> DataFrame:
-        frame = windowed_forecast_frame(self.panel, self.schedule)
+        frame = windowed_forecast_frame(self.prices, self.schedule)
         return monthly_predictions(chronological_split(frame, self.settings.train_share), self.settings)
 
     def forecast(self) -> DataFrame:
@@ -133,7 +143,7 @@ class WalkForward:
         """`strategy, month, month_return, num_assets` for every strategy and month."""
         rows = len(strategies) * self.schedule.months * self.settings.top_n
         return holding_returns(
-            self.baskets(strategies), self.panel, self.schedule, list(strategies), basket_rows=rows
+            self.baskets(strategies), self.prices, self.schedule, list(strategies), basket_rows=rows
         )
 
     def release(self) -> None:

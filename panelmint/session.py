@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
@@ -39,3 +39,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if shared is None and not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="panelmint-checkpoint-"))
+
+
+def written_once(frame: DataFrame) -> DataFrame:
+    """Write a table that several plans read to the checkpoint folder; it is computed once."""
+    ensure_checkpoint_dir(frame.sparkSession)
+    return frame.checkpoint()

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 
 def write_report(report: DataFrame, path: str, columns: list[str] | None = None) -> None:
-    """One CSV file with a header. For report tables: a line per basket member, month or component."""
+    """One CSV file with a header. For report tables: a line per basket member, month or component.
+
+    The rows move to one task after they are computed, not before."""
     chosen = report.select(*columns) if columns else report
-    chosen.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    chosen.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def weights_from_rows(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelmint.sources.klines import read_processed
 
+# The columns of the lake.
 CANDLE = ["timestamp", "symbol", "open", "high", "low", "close", "volume"]
 
 
@@ -39,13 +40,13 @@ def load_candles(spark: SparkSession, lake: str, csv: str, quote: str | None = N
 
 
 def price_panel(candles: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The long panel `timestamp, symbol, close`; bars without a positive close are left out.
+    """The long panel `timestamp, symbol, close`; bars without a close are left out.
 
-    A zero or negative close has no logarithm: dropped here, it cannot break a return later.
+    A zero or negative close stays: it is a bar, and both returns that touch it are undefined.
     """
     return candles.select(
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
         "symbol",
         F.col("close").cast("double").alias("close"),
         *keep,
-    ).filter(F.col("close").isNotNull() & (F.col("close") > 0))
+    ).filter(F.col("close").isNotNull())

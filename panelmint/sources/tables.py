@@ -20,7 +20,7 @@ def event_bars(spark: SparkSession, folder: str) -> DataFrame:
     return (
         events.groupBy(F.window("ts", "4 hours").start.alias("timestamp"), F.col("user_id").cast("string").alias("symbol"))
         .agg(F.max_by("value", "ts").alias("close"))
-        .filter(F.col("close") > 0)
+        .filter(F.col("close").isNotNull())
     )
 
 
@@ -36,5 +36,5 @@ def part_bars(spark: SparkSession, folder: str, label: str) -> DataFrame:
         lines.join(parts, "l_partkey")
         .groupBy(F.col("l_shipdate").alias("timestamp"), "symbol")
         .agg(F.try_divide(F.sum("l_extendedprice"), F.sum("l_quantity")).alias("close"))
-        .filter(F.col("close") > 0)
+        .filter(F.col("close").isNotNull())
     )

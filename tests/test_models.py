@@ -41,8 +41,9 @@ def test_clusters(spark, walk):
     again = {r["symbol"]: r["cluster"] for r in StaticModels(walk.panel, SETTINGS).clusters().collect()}
     assert first == again and set(first.values()) <= {0, 1, 2} and len(first) == 10
     assert -1 <= models.silhouette(clustered) <= 1
-    stats = models.cluster_stats(clustered).collect()
-    assert sum(r["n_assets"] for r in stats) == 10
+    profile = models.cluster_profile(clustered).collect()
+    assert sum(r["size"] for r in profile) == 10 and all(r["sd_sharpe"] >= 0 for r in profile)
+    assert models.nearest_centres(clustered).filter("own_distance > least_distance + 0.05").count() == 0
 
 
 def test_few_symbols_get_fewer_clusters(spark):
@@ -107,6 +108,17 @@ def test_row_cap_is_exact_and_nested(walk):
     assert picks[1] <= picks[77]
 
 
+def test_row_cap_bounds_training_rows_only(walk):
+    """The cap bites, and every held-out row is still scored."""
+    frame = forecast_frame(walk.panel, SETTINGS)
+    split = splits.hash_split(frame, SETTINGS.train_share).persist()
+    held, total = split.filter("not is_train").count(), split.count()
+    capped = splits.row_cap(split, total // 10)
+    assert 0 < capped.filter("not is_train").count() < capped.count() == total // 10
+    _, scored = StaticModels(walk.panel, replace(SETTINGS, row_cap=total // 10)).forecast()
+    assert scored.count() == held
+
+
 def test_hash_split_does_not_depend_on_partitions(walk):
     frame = forecast_frame(walk.panel, SETTINGS)
     one, many = (

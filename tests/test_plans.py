@@ -30,6 +30,12 @@ def test_lookback_filter_reaches_the_scan(spark):
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_shipdate", plan)
 
 
+@pytest.mark.parametrize("name", ["walk_forward", "smart_basket"])
+def test_raw_tables_are_read_once(spark, name):
+    """Bars are written once; the plan behind the result starts from them."""
+    assert executed(spark, name).count("FileScan") == 0
+
+
 def test_ranking_is_cut_before_the_shuffle(spark):
     plan = executed(spark, "candidate_cap")
     assert len(re.findall(r"WindowGroupLimit.*Partial", plan)) == 1

@@ -34,6 +34,14 @@ def test_gap_return_spans_the_gap(make_panel):
     assert got == pytest.approx([np.log(1.1)] * 2)
 
 
+@pytest.mark.parametrize("chunk_bars", [1, 512])
+def test_a_non_positive_close_voids_both_returns(make_panel, chunk_bars):
+    prices = [100.0, 110.0, 0.0, 120.0, -5.0, -6.0, 60.0, 66.0]
+    panel = make_panel([("A", START + k * BAR, p) for k, p in enumerate(prices)])
+    got = [(r["timestamp"], r["ret"]) for r in returns.log_returns(panel, Settings(chunk_bars=chunk_bars)).collect()]
+    assert sorted(got) == [(START + BAR, pytest.approx(np.log(1.1))), (START + 7 * BAR, pytest.approx(np.log(1.1)))]
+
+
 @pytest.mark.parametrize("chunk_bars", [32, 64, 512])
 def test_features_match_a_whole_history_window(ragged, chunk_bars):
     panel, rows = ragged

@@ -1,11 +1,12 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelmint.config import Settings
 from panelmint.operators import tournament as t
 
-SETTINGS = Settings(theta=0.85, max_symbols=150)
+SETTINGS = Settings(theta=0.85)
 
 
 def sequential(pairs):
@@ -28,15 +29,29 @@ def graphs():
     return out
 
 
-@pytest.mark.parametrize("walk", [t.losers_by_fold, t.losers_by_rounds])
-def test_parallel_walks_equal_the_sequential_one(spark, graphs, walk):
+def test_rounds_equal_the_sequential_walk(spark, graphs):
     rows = [(m, *p) for m, pairs in graphs.items() for p in pairs]
     got = {m: set() for m in graphs}
-    for r in walk(spark.createDataFrame(rows, "month int, i int, j int, loser int")).collect():
+    for r in t.losers(spark.createDataFrame(rows, "month int, i int, j int, loser int")).collect():
         got[r["month"]].add(r["ord"])
     assert got == {m: sequential(pairs) for m, pairs in graphs.items()}
 
 
+@pytest.mark.parametrize("ordered, most", [(True, 1), (False, 12)])
+def test_a_clique_takes_few_rounds(spark, monkeypatch, ordered, most):
+    n = 200
+    rank = list(range(n)) if ordered else random.Random(5).sample(range(n), n)
+    pairs = spark.range(n).selectExpr("CAST(id AS INT) AS i").join(spark.range(n).selectExpr("CAST(id AS INT) AS j"), F.col("i") < F.col("j"))
+    order = F.array(*[F.lit(r) for r in rank])
+    better = order[F.col("i")] < order[F.col("j")]
+    contests = pairs.select(F.lit(0).alias("month"), "i", "j", F.when(better, F.col("j")).otherwise(F.col("i")).alias("loser"))
+    rounds = []
+    empty = type(contests).isEmpty
+    monkeypatch.setattr(type(contests), "isEmpty", lambda self: rounds.append(1) or empty(self))
+    assert t.losers(contests).count() == n - 1
+    assert len(rounds) - 1 <= most
+
+
 def survivors(spark, sharpes, edges, settings=SETTINGS):
     members = spark.createDataFrame(
         [(0, f"S{k}", k, len(sharpes), s) for k, s in enumerate(sharpes)],
@@ -65,8 +80,3 @@ def test_missing_sharpe_skips_the_pair(spark, missing):
 
 def test_threshold_is_strict(spark):
     assert survivors(spark, [1.0, 2.0], [(0, 1, 0.85)]) == [0, 1]
-
-
-def test_many_symbols_take_the_rounds(spark):
-    wide = Settings(theta=0.85, max_symbols=100_000)
-    assert survivors(spark, [3.0, 2.0, 1.0], [(0, 1, 0.9), (1, 2, 0.9)], wide) == [0, 2]
