@@ -61,7 +61,8 @@ def test_secrets_base_and_added(spark, odd, empty):
     rng = np.random.default_rng(4)
     key = lambda n: "".join(rng.choice(list("0123456789abcdef"), n))
     rows = [(k, f"é password = \"{key(20)}\" then AKIA{'Q7' * 9} and plain text {key(40)}.") for k in range(60)]
-    rows += [(60, f"secret: token: {key(5)}"), (61, None), (62, "ſecret=abcdefghijklmnop TOKEN='AbCdEfGhIjKlMnOp'"), (63, f"found {key(13)}=="), (64, "documentation.html and extraordinarily-long.words")]
+    rows += [(60, f"secret: token: {key(5)}"), (61, None), (62, "ſecret=abcdefghijklmnop TOKEN='AbCdEfGhIjKlMnOp'"), (63, f"found {key(14)} there"), (64, "documentation.html and extraordinarily-long.words")]
+    rows += [(100 + k, f"see www.page{k % 9}.example.org or 10.20.30.{k + 100} today") for k in range(40)]
     got = {r.doc_id: r for r in find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for doc, text in rows:
         base = ",".join(s for s in got[doc].spans.split(",") if s and not s.startswith("format"))
