@@ -77,6 +77,9 @@ def require_converted(spark: SparkSession, normalised: DataFrame, paths: str | l
         raise ValueError(f"no rows converted from: {', '.join(failed)}")
 
 
+SALTS = 64
+
+
 def times_by_column(rows: DataFrame, key: str, text: str) -> DataFrame:
     """Read a time column whose unit is common to all rows of a file (or other key).
 
@@ -124,8 +127,8 @@ def times_by_column(rows: DataFrame, key: str, text: str) -> DataFrame:
         .otherwise(F.try_to_timestamp(text))
         .cast("timestamp_ntz")
     )
-    return (
-        keyed.join(stats.select(key, unit.alias("unit")), key)
-        .withColumn("timestamp", stamp)
-        .drop("number")
-    )
+    # A few keys may own all rows: each meets its unit in SALTS places.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    units = stats.select(key, unit.alias("unit")).withColumn("salt", salts)
+    salted = keyed.withColumn("salt", F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int"))
+    return salted.join(units, [key, "salt"]).withColumn("timestamp", stamp).drop("number", "salt")
