@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import bisect
 import os
-import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -16,8 +15,7 @@ from pyspark.sql import functions as F
 
 from panelmint.llm.common import land, texts
 
-GLUED = re.compile(r"\s\s|\s \S|\S \s|^\s|\s$")
-CACHE_WORDS = 600_000
+CACHE_WORDS = 500_000
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -26,6 +24,7 @@ class WordEncoder:
 
     The vocabulary's pre-tokeniser always cuts before a single space that stands between two other characters, so
     a text whose spaces are all like that is the concatenation of its words' ids. Any other text is encoded whole.
+    Two generations of words are kept: what the younger one no longer holds is taken over from the older or encoded anew.
     """
 
     def __init__(self, path: str):
@@ -33,6 +32,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, strings: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
@@ -40,28 +40,29 @@ class WordEncoder:
     def encode(self, batch: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.kept) > CACHE_WORDS:
-            self.kept.clear()
-        out: list[bytes | None] = [None] * len(batch)
-        words: dict[int, list[str]] = {}
-        whole: list[int] = []
+            self.older, self.kept = self.kept, {}
+        split = [text.split(" ") for text in batch]
         fresh: set[str] = set()
-        for k, text in enumerate(batch):
-            if not text:
-                out[k] = b""
-            elif GLUED.search(text):
-                whole.append(k)
-            else:
-                first, *rest = text.split(" ")
-                words[k] = [first, *[" " + w for w in rest]]
-                fresh.update(words[k])
+        for words in split:
+            fresh.update(words[1:])
         fresh -= self.kept.keys()
-        new = list(fresh)
-        self.kept.update(zip(new, self._ids(new)))
+        self.kept.update((w, self.older[w]) for w in fresh & self.older.keys())
+        new = [w for w in fresh - self.older.keys() if w and not (w[0].isspace() or w[-1].isspace())]
+        self.kept.update(zip(new, self._ids([" " + w for w in new])))
+
+        alone = [w[0] if w[0] and not (w[0][0].isspace() or w[0][-1].isspace()) else "" for w in split]
+        out: list[bytes | None] = []
+        get, whole = self.kept.__getitem__, []
+        for k, (text, words, first) in enumerate(zip(batch, split, self._ids(alone))):
+            try:
+                if text and not alone[k]:
+                    raise KeyError(words[0])
+                out.append(first + b"".join(map(get, words[1:])))
+            except KeyError:  # a space beside another white space
+                whole.append(k)
+                out.append(None)
         for k, ids in zip(whole, self._ids([batch[k] for k in whole])):
             out[k] = ids
-        get = self.kept.__getitem__
-        for k, split in words.items():
-            out[k] = b"".join(map(get, split))
         return out
 
 
