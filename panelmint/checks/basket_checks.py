@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from panelmint.checks import sql
@@ -11,6 +13,7 @@ from panelmint.operators import selection, weights
 from panelmint.operators.features import forecast_frame, windowed_forecast_frame
 from panelmint.operators.models import mean_prediction, regression_metrics as score_metrics
 from panelmint.operators.splits import chronological_split
+from panelmint.plans.static_models import StaticModels
 
 STATIC = (sql.EVENT_BARS, sql.RETURNS, sql.EVENT_METRICS, sql.universe(), sql.EDGES)
 STATIC_WALK = (*STATIC, sql.STATIC_RANKED, sql.walk(EVENTS.theta, "edges0"))
@@ -39,7 +42,9 @@ def correlation_edges(spark, folder):
     ),
 )
 def correlation_summary(spark, folder):
-    summary = corr.matrix_summary(static(spark, folder).edges())
+    # Small blocks, so that the matrix has several of them at any scale.
+    model = StaticModels(events(spark, folder), replace(EVENTS, gram_block=64))
+    summary = corr.matrix_summary(model.edges())
     return rounded(summary, "min_rho", "max_rho", "mean_abs_rho")
 
 
