@@ -42,6 +42,17 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def sieved(rows: DataFrame, wanted: DataFrame, column: str, bits: int = 24) -> DataFrame:
+    """Rows whose `column` may be among `wanted`, found without a shuffle of `rows`: a bitmap of 2^bits hashed values, broadcast
+    as at most 2^(bits - 6) words whatever the corpus. A full bitmap lets everything pass to the exact join that follows."""
+    place = F.pmod(F.xxhash64(column), F.lit(1 << bits))
+    bit = F.expr("shiftleft(1L, cast(__place & 63 as int))")
+    words = wanted.withColumn("__place", place).groupBy(F.shiftright("__place", 6).alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    words = land(words, "sieve")
+    met = rows.withColumn("__place", place).withColumn("__word", F.shiftright("__place", 6)).join(F.broadcast(words), "__word")
+    return met.where(F.col("__bits").bitwiseAND(bit) != 0).select(*rows.columns)
+
+
 def stream_groups(frames: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """Consecutive rows with equal keys as one frame each. Rows must come sorted by the keys; one group is held at a time."""
     held: list[pd.DataFrame] = []

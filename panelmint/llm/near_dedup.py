@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmint.llm.common import components, land, stream_groups, texts
+from panelmint.llm.common import components, land, sieved, stream_groups, texts
 
 CACHE_WORDS = 400_000
 _WORDS: dict[bytes, int] = {}
@@ -153,7 +153,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, size: int = 5) -> DataFrame:
                 yield pd.DataFrame({"node": some["doc_id"].to_numpy(), "shingles": [s.astype("<u8").tobytes() for s in shingle_sets(some["text"].tolist(), size)]})
 
     wanted = nodes.select(F.col("node").alias("doc_id"))
-    return texts(docs).join(wanted, "doc_id", "left_semi").mapInPandas(work, "node long, shingles binary")
+    return sieved(texts(docs), wanted, "doc_id").join(wanted, "doc_id", "left_semi").mapInPandas(work, "node long, shingles binary")
 
 
 def _shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -197,22 +197,27 @@ def _blocks(members: DataFrame, block: int) -> DataFrame:
     )
 
 
-def _group_pairs(group: pd.DataFrame, sketch: SetSketch, percent: int) -> Iterable[tuple[int, np.ndarray]]:
+def _group_pairs(group: pd.DataFrame, sketch: SetSketch, percent: int, slack: float = 16.0) -> Iterable[tuple[int, np.ndarray]]:
     """(i, js): members of different components that the sketch can't rule out, each pair in the first band it shares."""
-    registers = np.stack([np.frombuffer(r, "<u2") for r in group["registers"]])
+    registers = np.frombuffer(b"".join(group["registers"]), "<u2").reshape(len(group), -1)
     own, n, piece = group["component"].to_numpy(), group["n_shingles"].to_numpy(), group["piece"].to_numpy()
-    bands, key = sketch.keys(registers), group["key"].iloc[0]
-    band = int(np.flatnonzero(bands[0] == key)[0])
-    x, y = group["x"].iloc[0], group["y"].iloc[0]
+    band, across = int(group["band"].iloc[0]), group["x"].iloc[0] != group["y"].iloc[0]
+    # Equal registers have a share of about J. Fewer of them than this make the threshold as unlikely as `slack` says.
+    m, share = sketch.registers, percent / 100
+    counts = np.arange(1, m) / m
+    divergence = m * (counts * np.log(counts / share) + (1 - counts) * np.log((1 - counts) / (1 - share)))
+    least = int(np.argmax((divergence <= slack) | (counts >= share))) + 1
     for i in range(len(group) - 1):
-        js = np.arange(i + 1, len(group))
-        js = js[own[js] != own[i]]
-        if x != y:
-            js = js[piece[js] != piece[i]]
+        js = np.flatnonzero((own[i + 1 :] != own[i]) & (piece[i + 1 :] != piece[i] if across else True)) + i + 1
+        if not len(js):
+            continue
+        equal = registers[js] == registers[i]
+        near = equal.sum(1) >= least
+        js, equal = js[near], equal[near]
         if band and len(js):
-            js = js[~(bands[js, :band] == bands[i, :band]).any(1)]
+            js = js[~equal[:, : band * sketch.rows].reshape(len(js), band, sketch.rows).all(2).any(1)]
         if len(js):
-            js = js[sketch.likely(registers[i], registers[js], n[i], n[js], percent / 100)]
+            js = js[sketch.likely(registers[i], registers[js], n[i], n[js], share, slack)]
         if len(js):
             yield i, js
 
@@ -293,7 +298,7 @@ def near_groups(docs: DataFrame, percent: int = 75, size: int = 5, sketch: SetSk
     reps = named.join(leaders, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "n_shingles", "registers", "keys")
 
     # Buckets of two or more nodes.
-    banded = reps.select("node", F.explode("keys").alias("key"))
+    banded = reps.select("node", F.posexplode("keys").alias("band", "key"))
     shared = land(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     members = land(banded.join(shared, "key"), "members")
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
@@ -308,7 +313,7 @@ def near_groups(docs: DataFrame, percent: int = 75, size: int = 5, sketch: SetSk
 
     # Links that the stars did not find.
     grouped = components(first)
-    owner = members.join(grouped, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    owner = members.join(grouped, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component"))
     owner = land(owner, "owned")
     mixed = owner.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     detail = reps.select("node", "n_shingles", "registers")
