@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmint.llm.common import land
+from panelmint.llm.common import land, sieved
 
 GAP = r"[\x20\x09-\x0D]+"
 FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
@@ -40,7 +40,8 @@ def recurring_lines(docs: DataFrame, lead: int = 2, min_tokens: int = 4, min_doc
     placed = placed.join(busy, "leaf", "left_semi")
 
     # Distinct lines of these leaves with the number of lines each stands for.
-    full = _lines(docs).where(long).withColumn("leaf", _leaf(lead)).join(busy, "leaf", "left_semi")
+    # Most lines of prose are alone in their leaf: they are sieved out where they lie.
+    full = sieved(_lines(docs).where(long).withColumn("leaf", _leaf(lead)), busy, "leaf").join(busy, "leaf", "left_semi")
     kinds = land(full.groupBy("leaf", "tokens").agg(F.count(F.lit(1)).alias("n")).withColumn("line", F.xxhash64("tokens")), "kinds")
     total = kinds.groupBy("leaf").agg(F.sum("n").alias("total"))
     cells = kinds.select("leaf", "line", "n", F.size("tokens").alias("size"), F.posexplode("tokens").alias("at", "token"))
