@@ -33,10 +33,29 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        # In a byte-level vocabulary a token's string has one character for each byte it stands for.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.width[number] = len(token)
 
     def _ids(self, strings: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
 
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words behind a space each. They are encoded as one text and cut where the bytes of a word end."""
+        if not words:
+            return []
+        joined = " " + " ".join(words)
+        ids = np.asarray(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum([1 + len(w.encode("utf-8", "surrogatepass")) for w in words])
+        reached = np.cumsum(self.width[ids])
+        cuts = np.searchsorted(reached, ends) + 1
+        if len(ids) != cuts[-1] or (reached[cuts - 1] != ends).any():
+            return self._ids([" " + w for w in words])
+        flat = ids.tobytes()
+        return [flat[4 * a : 4 * b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+
     def encode(self, batch: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.kept) > CACHE_WORDS:
@@ -48,7 +67,7 @@ class WordEncoder:
         fresh -= self.kept.keys()
         self.kept.update((w, self.older[w]) for w in fresh & self.older.keys())
         new = [w for w in fresh - self.older.keys() if w and not (w[0].isspace() or w[-1].isspace())]
-        self.kept.update(zip(new, self._ids([" " + w for w in new])))
+        self.kept.update(zip(new, self._word_ids(new)))
 
         alone = [w[0] if w[0] and not (w[0][0].isspace() or w[0][-1].isspace()) else "" for w in split]
         out: list[bytes | None] = []
