@@ -70,27 +70,29 @@ def _adjacent(nodes: DataFrame, sweeps: int, reach: int, seed: int, threshold: f
 
 
 def _nearest(edges: DataFrame, room: DataFrame | None, least: int) -> DataFrame:
-    """The best edges of each node: `least` of them, or as many as `room` (node, k) says. Keeps the fresh flag."""
+    """The best edges of each node: `least` of them, or as many as `room` (node, k) says if that is more. Keeps the fresh flag."""
     once = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
     ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), F.xxhash64("u", "v"), "v")))
     if room is None:
         return ranked.where(F.col("rank") <= least).drop("rank")
     sized = ranked.join(room.select(F.col("node").alias("u"), "k"), "u", "left")
-    return sized.where(F.col("rank") <= F.coalesce("k", F.lit(least))).drop("rank", "k")
+    return sized.where(F.col("rank") <= F.greatest(F.coalesce("k", F.lit(least)), F.lit(least))).drop("rank", "k")
 
 
-def _local_join(edges: DataFrame, nodes: DataFrame, neighbours: int, threshold: float, chunk: int = 256) -> DataFrame:
+def _local_join(edges: DataFrame, nodes: DataFrame, groups: DataFrame, neighbours: int, threshold: float, chunk: int = 256) -> DataFrame:
     """Neighbours of neighbours: all who share a pivot are compared, pairs of two old edges excepted.
 
     A pivot's neighbours stream in chunks of bounded size in an order that changes with the pivot; each gets at most `neighbours`
     proposals per chunk, so a hub adds rows in proportion to its edges. Similarities
-    above the threshold count alike: once a list holds links only, there is nothing better to look for.
+    above the threshold count alike: once a list holds links only, there is nothing better to look for, except
+    links to nodes of other groups: these come first and pass any list.
     """
     both = edges.select(F.col("u").alias("p"), F.col("v").alias("q"), "fresh").union(edges.select(F.col("v").alias("p"), F.col("u").alias("q"), "fresh"))
     both = both.groupBy("p", "q").agg(F.max("fresh").alias("fresh"))
     active = both.groupBy("p").agg(F.max("fresh").alias("any")).where("any").select("p")
     worst = edges.groupBy("u").agg(F.min("sim").alias("worst")).withColumnRenamed("u", "q")
     sent = both.join(active, "p").join(nodes.select(F.col("node").alias("q"), "vec"), "q").join(worst, "q", "left")
+    sent = sent.join(groups.withColumnRenamed("node", "q"), "q", "left").withColumn("component", F.coalesce("component", "q"))
 
     def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, held = [], 0
@@ -101,15 +103,18 @@ def _local_join(edges: DataFrame, nodes: DataFrame, neighbours: int, threshold:
                     continue
                 unit, q, fresh = _units(some["vec"]), some["q"].to_numpy(), some["fresh"].to_numpy(bool)
                 sim = (unit @ unit.T).clip(max=threshold)
+                own = some["component"].to_numpy()
+                bridge = (sim >= threshold) & (own[:, None] != own[None, :])
                 sim[~(fresh[:, None] | fresh[None, :])] = -2
                 np.fill_diagonal(sim, -2)
                 sim[sim <= some["worst"].fillna(-2).to_numpy()[:, None]] = -2
+                sim[bridge] = threshold + 1
                 k = min(neighbours, len(some) - 1)
                 best = np.argpartition(-sim, k - 1, axis=1)[:, :k]
                 value = np.take_along_axis(sim, best, 1)
                 i, j = np.nonzero(value > -2)
                 if len(i):
-                    out.append((q[i], q[best[i, j]], value[i, j]))
+                    out.append((q[i], q[best[i, j]], value[i, j].clip(max=threshold)))
                     held += len(i)
             if held > 50_000:
                 yield pd.DataFrame({n: np.concatenate([o[c] for o in out]) for c, n in enumerate(("u", "v", "sim"))})
@@ -120,6 +125,69 @@ def _local_join(edges: DataFrame, nodes: DataFrame, neighbours: int, threshold:
     return sent.repartition("p").sortWithinPartitions("p", F.xxhash64("p", "q")).mapInPandas(meet, EDGE)
 
 
+def _merge(groups: DataFrame | None, links: DataFrame) -> tuple[DataFrame, bool]:
+    """Groups (node, component) after more links (u, v), and whether these joined any. Nodes may be named by their component."""
+    if groups is None:
+        return components(links, "u", "v"), True
+    own = lambda c, n: groups.select(F.col("node").alias(c), F.col("component").alias(n))
+    met = links.join(own("u", "x"), "u", "left").join(own("v", "y"), "v", "left")
+    joins = land(met.select(F.coalesce("x", "u").alias("a"), F.coalesce("y", "v").alias("b")).where("a <> b").distinct(), "joins")
+    if joins.isEmpty():
+        return groups, False
+    moved = components(joins).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    every = groups.select("node", "component").union(moved.select(F.col("component").alias("node"), "component")).distinct()
+    return land(every.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "groups"), True
+
+
+def _grid(rows: DataFrame, others: DataFrame | None = None, block: int = 8192) -> DataFrame:
+    """Each piece of a realm of `rows` beside each piece of the same realm of `others` (of `rows` without them, each two once):
+    columns of both, x, y, side, sorted by realm, x, y. Pieces have about `block` vectors."""
+    parts = lambda frame, n: frame.groupBy("realm").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(n))
+    second = rows if others is None else others
+    sizes = parts(rows, "xs").join(parts(second, "ys"), "realm")
+    piece = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.join(sizes, "realm").withColumn("x", piece("xs")).withColumn("y", each("ys")).withColumn("side", F.lit(0))
+    right = second.join(sizes, "realm").withColumn("y", piece("ys")).withColumn("x", each("xs")).withColumn("side", F.lit(1))
+    met = left.unionByName(right).drop("xs", "ys")
+    keys = ["realm", "x", "y"]
+    return (met.where("x <= y") if others is None else met).repartition(*keys).sortWithinPartitions(*keys)
+
+
+def _unite(root: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Roots (the smallest of each set) after uniting pairs of roots."""
+    while len(pairs):
+        np.minimum.at(root, pairs[:, 1], pairs[:, 0])
+        while (root[root] != root).any():
+            root = root[root]
+        pairs = np.sort(root[pairs], axis=1)
+        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+    return root
+
+
+def exact_joins(rows: DataFrame, threshold: float) -> DataFrame:
+    """(u, v): components joined by a link between two of these rows (realm, node, component, vec), every pair compared. A block
+    returns a forest over its components, never its pairs."""
+
+    def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block in stream_groups(frames, ["realm", "x", "y"]):
+            names, own = np.unique(block["component"].to_numpy(), return_inverse=True)
+            if len(names) < 2:
+                continue
+            unit, side = _units(block["vec"]), block["side"].to_numpy()
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            root = np.arange(len(names))
+            for a in range(0, len(left), 256):
+                some = left[a : a + 256]
+                i, j = np.nonzero(unit[some] @ unit[right].T >= threshold)
+                pairs = np.sort(root[np.stack([own[some[i]], own[right[j]]], axis=1)], axis=1)
+                root = _unite(root, np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0))
+            moved = np.flatnonzero(root != np.arange(len(names)))
+            yield pd.DataFrame({"u": names[moved], "v": names[root[moved]]})
+
+    return _grid(rows.select("realm", "node", "component", "vec")).mapInPandas(meet, "u long, v long")
+
+
 def audit_recall(nodes: DataFrame, groups: DataFrame, threshold: float, queries: int, seed: int) -> float:
     """Share of the true links of a bounded random set of query vectors whose two ends share a group. The queries meet all rows, in blocks."""
     drawn = nodes.orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(queries).collect()
@@ -181,10 +249,12 @@ def near_vectors(
 ) -> DataFrame:
     """Vectors of one label linked by cosine >= threshold (double precision).
 
-    Copies of a vector collapse first. The neighbour graph starts from random projections; rounds of local joins improve it until fewer than 1
-    in 200 nodes still change or a round joins no more nodes by links. A node whose whole list lies above the threshold is saturated: its list doubles, as long as that still
-    joins groups. An audit searches a bounded set of queries exactly; below `recall` the descent goes on with new
-    projections and longer lists. Edges above the threshold give the groups; inside groups links are
+    Copies of a vector collapse first. The neighbour graph starts from random projections; rounds of local joins improve it as long as
+    they join groups or more than 1 in 200 nodes still change. A node whose whole list lies above the threshold is saturated: its
+    list doubles once a round joins nothing, until a doubling joins nothing either. Every link that was met counts for the groups,
+    whether or not a list keeps it, and saturated nodes of different groups are then compared exactly, in blocks. An audit
+    searches a bounded set of queries exactly; below `recall` the descent goes on with new
+    projections and longer lists. Inside groups links are
     counted exactly, in blocks, so no list length bounds a count.
 
     Returns one row per input row: vec_id, n_links, component_id, kept. A vector that is null, zero or not finite, or
@@ -192,24 +262,39 @@ def near_vectors(
     link. Rows that repeat a vec_id count as separate vectors, and share the group of that id.
     """
     nodes = land(usable(vectors), "vectors")
+    total = max(1, nodes.count())
     edges, room, groups, size = None, None, None, neighbours
+    links = lambda found: found.where(F.col("sim") >= threshold).select("u", "v")
+    lists = lambda close: close.groupBy("u").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("u", "node")
     for attempt in range(4):
-        first = _adjacent(nodes, sweeps, max(2, size // 2), seed + attempt, threshold).withColumn("fresh", F.lit(True))
+        first = land(_adjacent(nodes, sweeps, max(2, size // 2), seed + attempt, threshold), "adjacent")
+        groups, _ = _merge(groups, links(first))
+        first = first.withColumn("fresh", F.lit(True))
         edges = land(_nearest(first if edges is None else edges.unionByName(first), room, size), "neighbours")
-        total, before = max(1, nodes.count()), None
-        for _ in range(rounds):
-            better = _local_join(edges, nodes, size, threshold).withColumn("fresh", F.lit(True))
+        step, doubled = 0, False
+        while True:
+            step += 1
+            better = land(_local_join(edges, nodes, groups, size, threshold), "proposals")
+            groups, joined = _merge(groups, links(better))
+            better = better.withColumn("fresh", F.lit(True))
             edges = land(_nearest(edges.withColumn("fresh", F.lit(False)).unionByName(better), room, size), "neighbours")
-            moved = edges.where("fresh").select("u").distinct().count()
-            close = edges.where(F.col("sim") >= threshold)
-            full = close.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= size)
-            pieces = close.select(F.least("u", "v").alias("a")).distinct().count()
-            if moved * 200 < total or pieces == before:
+            if joined:
+                doubled = False
+                continue
+            if doubled:
+                break
+            full = lists(links(edges))
+            full = (full if room is None else full.join(room, "node", "left")).withColumn("k", F.lit(size) if room is None else F.greatest(F.coalesce("k", F.lit(size)), F.lit(size)))
+            full = land(full.where("n >= k").select("node", (2 * F.col("k")).cast("int").alias("k")), "full")
+            if not full.isEmpty():
+                room = full if room is None else land(room.unionByName(full).groupBy("node").agg(F.max("k").alias("k")), "room")
+                again = full.select(F.col("node").alias("u"), F.lit(True).alias("again"))
+                edges = edges.join(again, "u", "left").withColumn("fresh", F.col("fresh") | F.coalesce("again", F.lit(False))).drop("again")
+                doubled = True
+            elif edges.where("fresh").select("u").distinct().count() * 200 < total or step >= rounds:
                 break
-            if before is not None and pieces < before:
-                room = land(full.select(F.col("u").alias("node"), (2 * F.col("n")).cast("int").alias("k")), "room")
-            before = pieces
-        groups = land(components(edges.where(F.col("sim") >= threshold).select(F.col("u").alias("a"), F.col("v").alias("b"))), "groups")
+        saturated = lists(links(edges)).where(F.col("n") >= neighbours).join(groups, "node").join(nodes, "node")
+        groups, _ = _merge(groups, exact_joins(saturated, threshold))
         if audit_recall(nodes, groups, threshold, audits, seed + attempt) >= recall:
             break
         size *= 2

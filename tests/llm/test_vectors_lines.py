@@ -34,6 +34,23 @@ def test_vectors_match_brute_force(spark):
     assert all(r.kept == (r.vec_id is None or r.vec_id == r.component_id) for r in got)
 
 
+def test_bridges_between_dense_clumps(spark):
+    """Clumps of 80 whose members have many links inside; one pair ties two of them."""
+    rng = np.random.default_rng(3)
+    rows, pairs = [], []
+    for g in range(12):
+        e, f, *_ = np.linalg.qr(rng.normal(size=(32, 2)))[0].T
+        at = lambda degrees: np.cos(np.radians(degrees)) * e + np.sin(np.radians(degrees)) * f  # noqa: E731, B023
+        clumps = [[at(c) + rng.normal(size=32) * 0.022 for _ in range(80)] + [at(b)] for c, b in ((0, 10), (39, 29))]
+        pairs.append((len(rows), len(rows) + 81))
+        rows += [(len(rows) + k, v.tolist(), 0, "x") for k, v in enumerate(clumps[0] + clumps[1])]
+    got = {r.vec_id: r.component_id for r in near_vectors(spark.createDataFrame(rows, VEC)).collect()}
+    unit = np.array([r[1] for r in rows]) / np.linalg.norm([r[1] for r in rows], axis=1)[:, None]
+    linked = unit @ unit.T >= 0.93
+    assert all(linked[a : a + 81, b : b + 81].sum() == 1 for a, b in pairs)
+    assert {k: v for k, v in got.items() if v != next(a for a, b in pairs if a <= k < b + 81)} == {}
+
+
 def test_no_vectors(spark):
     assert near_vectors(spark.createDataFrame([], VEC)).count() == 0
 
