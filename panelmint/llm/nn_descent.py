@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,8 @@ EDGE = "u long, v long, sim double"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(node, realm, vec, copies): distinct vectors that can link, with the smallest vec_id and the number of copies.
+    """(node, realm, vec, copies, draw): distinct vectors that can link, with the smallest vec_id, the number of copies and the
+    audit draw: 50 if a copy has a vec_id divisible by 50, else 5 if one has a vec_id divisible by 5, else 1.
 
     A realm is a label and a dimension. Null, zero and non-finite vectors, null labels and null ids are left out.
     """
@@ -25,7 +27,9 @@ def usable(vectors: DataFrame) -> DataFrame:
     whole = vectors.where("vec_id is not null and label is not null and embedding is not null").where(sound)
     unsigned = F.transform(e, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double")))  # -0.0 as 0.0
     realm = F.concat_ws(":", F.col("label").cast("string"), F.size(e).cast("string"))
-    return whole.groupBy(realm.alias("realm"), unsigned.alias("vec")).agg(F.min(F.col("vec_id").cast("long")).alias("node"), F.count(F.lit(1)).alias("copies"))
+    name = F.col("vec_id").cast("long")
+    draw = F.when(name % 50 == 0, F.lit(50)).when(name % 5 == 0, F.lit(5)).otherwise(F.lit(1))
+    return whole.groupBy(realm.alias("realm"), unsigned.alias("vec")).agg(F.min(name).alias("node"), F.count(F.lit(1)).alias("copies"), F.max(draw).alias("draw"))
 
 
 def _units(column: pd.Series) -> np.ndarray:
@@ -188,27 +192,33 @@ def exact_joins(rows: DataFrame, threshold: float) -> DataFrame:
     return _grid(rows.select("realm", "node", "component", "vec")).mapInPandas(meet, "u long, v long")
 
 
-def audit_recall(nodes: DataFrame, groups: DataFrame, threshold: float, queries: int, seed: int) -> float:
-    """Share of the true links of a bounded random set of query vectors whose two ends share a group. The queries meet all rows, in blocks."""
-    drawn = nodes.orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(queries).collect()
-    shared = nodes.sparkSession.sparkContext.broadcast([(r["node"], r["realm"], list(r["vec"])) for r in drawn])
+def audit_recall(nodes: DataFrame, groups: DataFrame, threshold: float, evidence: int = 100) -> float:
+    """Recall of the groups: for each query the share of its true links whose other end shares its group, averaged within each
+    group, then over groups, so that large groups weigh no more than pairs.
 
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        asked = pd.DataFrame(shared.value, columns=["node", "realm", "vec"])
-        by = {realm: (some["node"].to_numpy(), _units(some["vec"])) for realm, some in asked.groupby("realm")}
-        for frame in frames:
-            for realm, some in frame.groupby("realm"):
-                if realm in by:
-                    u, units = by[realm]
-                    i, j = np.nonzero(units @ _units(some["vec"]).T >= threshold)
-                    v = some["node"].to_numpy()[j]
-                    yield pd.DataFrame({"u": u[i], "v": v})[u[i] != v]
+    Queries are the vectors with a vec_id divisible by 50; they meet all rows of their realm, in blocks. Where fewer than `evidence` of them have
+    a true link, those divisible by 5 are asked, then all.
+    """
+    named = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")).select("realm", "node", "component", "vec", "draw")
 
-    true = nodes.select("realm", "node", "vec").mapInPandas(search, "u long, v long")
-    group = lambda c, n: groups.select(F.col("node").alias(c), F.col("component").alias(n))
-    met = true.join(group("u", "x"), "u", "left").join(group("v", "y"), "v", "left")
-    r = met.agg(F.count(F.lit(1)).alias("n"), F.sum((F.coalesce("x", "u") == F.coalesce("y", "v")).cast("int")).alias("hit")).first()
-    return 1.0 if not r["n"] else r["hit"] / r["n"]
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block in stream_groups(frames, ["realm", "x", "y"]):
+            unit, side, node, own = _units(block["vec"]), block["side"].to_numpy(), block["node"].to_numpy(), block["component"].to_numpy()
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            for a in range(0, len(left), 256):
+                some = left[a : a + 256]
+                linked = (unit[some] @ unit[right].T >= threshold) & (node[some][:, None] != node[right][None, :])
+                hit = linked & (own[some][:, None] == own[right][None, :])
+                yield pd.DataFrame({"node": node[some], "component": own[some], "n": linked.sum(axis=1), "hit": hit.sum(axis=1)})
+
+    for every in (50, 5, 1):
+        met = _grid(named.where(F.col("draw") >= every), named).mapInPandas(search, "node long, component long, n long, hit long")
+        per_query = met.groupBy("node", "component").agg(F.sum("n").alias("n"), F.sum("hit").alias("hit")).where("n > 0")
+        per_group = per_query.groupBy("component").agg(F.count(F.lit(1)).alias("queries"), F.avg(F.col("hit") / F.col("n")).alias("recall"))
+        r = per_group.agg(F.sum("queries").alias("queries"), F.avg("recall").alias("recall")).first()
+        if (r["queries"] or 0) >= evidence:
+            break
+    return 1.0 if r["recall"] is None else r["recall"]
 
 
 def count_links(nodes: DataFrame, groups: DataFrame, threshold: float, chunk: int = 512) -> DataFrame:
@@ -243,8 +253,8 @@ def near_vectors(
     neighbours: int = 8,
     sweeps: int = 8,
     recall: float = 0.99,
-    audits: int = 512,
     rounds: int = 5,
+    attempts: int = 4,
     seed: int = 7,
 ) -> DataFrame:
     """Vectors of one label linked by cosine >= threshold (double precision).
@@ -252,9 +262,10 @@ def near_vectors(
     Copies of a vector collapse first. The neighbour graph starts from random projections; rounds of local joins improve it as long as
     they join groups or more than 1 in 200 nodes still change. A node whose whole list lies above the threshold is saturated: its
     list doubles once a round joins nothing, until a doubling joins nothing either. Every link that was met counts for the groups,
-    whether or not a list keeps it, and saturated nodes of different groups are then compared exactly, in blocks. An audit
-    searches a bounded set of queries exactly; below `recall` the descent goes on with new
-    projections and longer lists. Inside groups links are
+    whether or not a list keeps it, and saturated nodes of different groups are then compared exactly, in blocks. Orders grow with the
+    logarithm of the number of vectors. An audit searches a set of queries exactly; below `recall` the descent goes on with twice
+    as many new projections and longer lists, and after `attempts` all vectors of a label are compared exactly, in blocks: no
+    failed recall is accepted. Inside groups links are
     counted exactly, in blocks, so no list length bounds a count.
 
     Returns one row per input row: vec_id, n_links, component_id, kept. A vector that is null, zero or not finite, or
@@ -263,10 +274,11 @@ def near_vectors(
     """
     nodes = land(usable(vectors), "vectors")
     total = max(1, nodes.count())
+    sweeps = max(sweeps, math.ceil(math.log2(total)))
     edges, room, groups, size = None, None, None, neighbours
     links = lambda found: found.where(F.col("sim") >= threshold).select("u", "v")
     lists = lambda close: close.groupBy("u").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("u", "node")
-    for attempt in range(4):
+    for attempt in range(attempts):
         first = land(_adjacent(nodes, sweeps, max(2, size // 2), seed + attempt, threshold), "adjacent")
         groups, _ = _merge(groups, links(first))
         first = first.withColumn("fresh", F.lit(True))
@@ -295,9 +307,12 @@ def near_vectors(
                 break
         saturated = lists(links(edges)).where(F.col("n") >= neighbours).join(groups, "node").join(nodes, "node")
         groups, _ = _merge(groups, exact_joins(saturated, threshold))
-        if audit_recall(nodes, groups, threshold, audits, seed + attempt) >= recall:
+        if audit_recall(nodes, groups, threshold) >= recall:
             break
-        size *= 2
+        size, sweeps = 2 * size, 2 * sweeps
+    else:
+        named = nodes.join(groups, "node", "left") if groups is not None else nodes.withColumn("component", F.col("node"))
+        groups, _ = _merge(groups, exact_joins(named.withColumn("component", F.coalesce("component", "node")), threshold))
 
     counted = count_links(nodes, groups, threshold)
     known = nodes.select("node", "realm", "vec", "copies").join(groups, "node", "left").join(counted, "node", "left")

@@ -4,7 +4,7 @@ import numpy as np
 
 from panelmint.llm.common import components
 from panelmint.llm.line_templates import drop_lines
-from panelmint.llm.nn_descent import near_vectors
+from panelmint.llm.nn_descent import audit_recall, near_vectors, usable
 from tests.llm.conftest import ODD
 
 VEC = "vec_id long, embedding array<float>, label int, node string"
@@ -51,6 +51,26 @@ def test_bridges_between_dense_clumps(spark):
     assert {k: v for k, v in got.items() if v != next(a for a, b in pairs if a <= k < b + 81)} == {}
 
 
+def test_failed_recall_is_not_accepted(spark):
+    """Pairs near the threshold among many single vectors; one short order leaves most of them unmet."""
+    rng = np.random.default_rng(11)
+    rows = [(k, rng.normal(size=64).tolist(), 0, "x") for k in range(600)]
+    for k in range(60):
+        v = np.array(rows[k][1])
+        w = rng.normal(size=64)
+        w -= (w @ v) / (v @ v) * v
+        rows.append((len(rows), (v / np.linalg.norm(v) + w / np.linalg.norm(w) * np.tan(np.radians(20))).tolist(), 0, "x"))
+    frame = spark.createDataFrame(rows, VEC)
+    for attempts in (0, 1):
+        got = {r.vec_id: r.component_id for r in near_vectors(frame, neighbours=1, sweeps=1, rounds=1, attempts=attempts).collect()}
+        assert got == {k: k - 600 if k >= 600 else k for k in range(660)}
+    nodes = usable(frame)
+    lost = spark.createDataFrame([(k, 0) for k in range(5)], "node long, component long")
+    assert audit_recall(nodes, lost, 0.93) == 0.0
+    whole = spark.createDataFrame([(k + d, k) for k in range(60) for d in (0, 600)], "node long, component long")
+    assert audit_recall(nodes, whole, 0.93) == 1.0
+
+
 def test_no_vectors(spark):
     assert near_vectors(spark.createDataFrame([], VEC)).count() == 0
 
