@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ def candidates(text: str, base: list[tuple[int, int, str, str]]) -> list[tuple[i
         while start < end and text[start] in ".-=":
             start += 1
         run = text[start:end]
-        if end - start >= 12 and not run.isalpha() and not any(s < end and start < e for s, e, _, _ in base):
+        if end - start >= 12 and not any(s < end and start < e for s, e, _, _ in base):
             out.append((start, end, run.translate(SYMBOLS)))
     return out
 
@@ -157,13 +158,29 @@ def format_bits(model: list[dict[str, tuple[float, int]]], word: str) -> float:
     return bits
 
 
+def count_pairs(words: pd.Series, times: pd.Series) -> pd.DataFrame:
+    """(a, b, n): adjacent symbols of formats, END at both ends, each format as often as `times` says."""
+    text = np.frombuffer("".join(END + w + END for w in words).encode("ascii"), np.uint8).astype(np.int64)
+    weight = np.repeat(times.to_numpy(np.int64), words.str.len().to_numpy(np.int64) + 2)
+    inside = np.ones(len(text), bool)
+    inside[np.cumsum(words.str.len().to_numpy(np.int64) + 2) - 1] = False  # no pair starts at the last END
+    at = np.flatnonzero(inside)
+    n = np.bincount(text[at] * 128 + text[at + 1], weight[at], 128 * 128).astype(np.int64)
+    met = np.flatnonzero(n)
+    return pd.DataFrame({"a": [chr(k // 128) for k in met], "b": [chr(k % 128) for k in met], "n": n[met]})
+
+
+def background_of(pairs: dict[tuple[str, str], int]) -> dict[str, dict[str, float]]:
+    """Plain first-order model of the unlabelled runs, from the counts of adjacent symbols."""
+    rows: dict[str, Counter] = defaultdict(Counter)
+    for (a, b), n in pairs.items():
+        rows[a][b] += n
+    return {a: {b: math.log2((n + 0.5) / (sum(c.values()) + 8)) for b, n in c.items()} for a, c in rows.items()}
+
+
 def background(words: Counter) -> dict[str, dict[str, float]]:
-    """Plain first-order model of the unlabelled runs."""
-    pairs: dict[str, Counter] = defaultdict(Counter)
-    for word, n in words.items():
-        for a, b in zip(END + word, word + END):
-            pairs[a][b] += n
-    return {a: {b: math.log2((n + 0.5) / (sum(c.values()) + 8)) for b, n in c.items()} for a, c in pairs.items()}
+    """The same from formats."""
+    return background_of({(r.a, r.b): r.n for r in count_pairs(pd.Series(list(words), dtype=object), pd.Series(list(words.values()), dtype="int64")).itertuples()})
 
 
 def background_bits(model: dict[str, dict[str, float]], word: str) -> float:
@@ -178,9 +195,9 @@ def find_secrets(docs: DataFrame, sample: int = 800, odds_bits: float = 12.0, al
     """Secrets of every whole text: base spans as the patterns say, and spans whose format looks like a labelled credential.
 
     One automaton per kind is inferred from the formats (character classes) of the base matches of the whole corpus: counts
-    are taken over all documents; at most `sample` distinct formats per kind, those with the smallest hash, enter inference (documented
-    bound). Every other run of 12 or more credential characters that is not plain letters is scored: it is added as
-    kind `format` when its log2 likelihood under the best automaton exceeds that of the background model by `odds_bits`.
+    are taken over all documents; at most `sample` distinct formats per kind, drawn by count, enter inference (documented
+    bound). The background model counts adjacent symbols of all unlabelled runs. Every other run of 12 or more credential characters
+    is scored: it is added as kind `format` when its log2 likelihood under the best automaton exceeds that of the background model by `odds_bits`.
 
     Returns one row per input row: doc_id, n_assign, n_access, n_hex, n_format, base_sha256, spans. Null or empty text has
     no spans; rows that repeat a doc_id are scanned one by one; without labelled credentials nothing is added.
@@ -200,14 +217,22 @@ def find_secrets(docs: DataFrame, sample: int = 800, odds_bits: float = 12.0, al
     rest = found.select(F.explode("runs").alias("m")).groupBy("m.format").agg(F.count(F.lit(1)).alias("n"))
     formats = land(labelled.unionByName(rest.withColumn("kind", F.lit("")).select("kind", "format", "n")), "formats")
 
-    models, ground = {}, {}
-    for kind in ("", *PATTERNS):  # each a bounded list of formats
-        some = formats.where(F.col("kind") == kind).orderBy(F.xxhash64("format", F.lit(seed)), "format").limit(sample).collect()
+    def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                yield count_pairs(frame["format"], frame["n"])
+
+    # Unlabelled runs are counted whole: one row per pair of symbols reaches the driver.
+    met = formats.where("kind = ''").select("format", "n").mapInPandas(pairs, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    ground = background_of({(r["a"], r["b"]): r["n"] for r in met.collect()})
+
+    models = {}
+    even = (F.pmod(F.xxhash64("format", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    for kind in PATTERNS:  # each a bounded list of formats, drawn by count
+        some = formats.where(F.col("kind") == kind).orderBy(-F.log(even) / F.col("n"), "format").limit(sample).collect()
         words = Counter({r["format"]: r["n"] for r in some})
-        if kind and words:
+        if words:
             models[kind] = FormatAutomaton(words, alpha).model()
-        elif not kind:
-            ground = background(words)
     shared = docs.sparkSession.sparkContext.broadcast((models, ground))
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -71,6 +71,21 @@ def test_secrets_base_and_added(spark, odd, empty):
     assert find_secrets(odd).count() == len(ODD) and find_secrets(empty).count() == 0
 
 
+def test_background_counts_all_runs_and_letters_are_scored(spark):
+    """A clean format frequent in the corpus counts whatever the sample of labelled formats; runs of letters only are scored."""
+    rng = np.random.default_rng(8)
+    draw = lambda symbols, n: "".join(rng.choice(list(symbols), n))
+    rows = [(k, f"token={draw('GHJKLMNPQ', 32)} AKIA{draw('GHJK', 8)}{draw('234567', 8)}") for k in range(60)]
+    rows += [(100 + k, f"run {draw('ghjkabc0123', 14)} of {draw('xyz-/', 12)}q{k}q") for k in range(300)]
+    rows += [(1000 + k, f"part {draw('234567', 4)}-{draw('234567', 4)}-{draw('234567', 4)} in stock") for k in range(600)]
+    rows.append((5000, f"left over {draw('GHJKLMNPQ', 32)} here"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    few, many = ({r.doc_id: r.spans for r in find_secrets(docs, sample=n).collect()} for n in (2, 5000))
+    assert few == many
+    assert few[5000] == "format:10:42" and not any(few[1000 + k] for k in range(600))
+    assert background(Counter({"a0": 3})) == {"$": {"a": math.log2(3.5 / 11)}, "a": {"0": math.log2(3.5 / 11)}, "0": {"$": math.log2(3.5 / 11)}}
+
+
 def test_automaton_accepts_its_format():
     rng = np.random.default_rng(0)
     words = Counter(("AKIA" + "".join(rng.choice(list("QWERTYUIOP234567"), 16))).translate(SYMBOLS) for _ in range(200))
