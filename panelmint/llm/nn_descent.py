@@ -145,15 +145,16 @@ def _merge(groups: DataFrame | None, links: DataFrame) -> tuple[DataFrame, bool]
 
 def _grid(rows: DataFrame, others: DataFrame | None = None, block: int = 8192) -> DataFrame:
     """Each piece of a realm of `rows` beside each piece of the same realm of `others` (of `rows` without them, each two once):
-    columns of both, x, y, side, sorted by realm, x, y. Pieces have about `block` vectors."""
+    columns of both, x, y, side, sorted by realm, x, y. Pieces have about `block` vectors. Sizes meet a realm in salted places."""
     parts = lambda frame, n: frame.groupBy("realm").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(n))
     second = rows if others is None else others
-    sizes = parts(rows, "xs").join(parts(second, "ys"), "realm")
+    sizes = parts(rows, "xs").join(parts(second, "ys"), "realm").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(63))))
+    salted = lambda frame: frame.withColumn("salt", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(64)).cast("int")).join(sizes, ["realm", "salt"])
     piece = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = rows.join(sizes, "realm").withColumn("x", piece("xs")).withColumn("y", each("ys")).withColumn("side", F.lit(0))
-    right = second.join(sizes, "realm").withColumn("y", piece("ys")).withColumn("x", each("xs")).withColumn("side", F.lit(1))
-    met = left.unionByName(right).drop("xs", "ys")
+    left = salted(rows).withColumn("x", piece("xs")).withColumn("y", each("ys")).withColumn("side", F.lit(0))
+    right = salted(second).withColumn("y", piece("ys")).withColumn("x", each("xs")).withColumn("side", F.lit(1))
+    met = left.unionByName(right).drop("xs", "ys", "salt")
     keys = ["realm", "x", "y"]
     return (met.where("x <= y") if others is None else met).repartition(*keys).sortWithinPartitions(*keys)
 
