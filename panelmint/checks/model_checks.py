@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from panelmint.checks import sql
 from panelmint.checks.panel_checks import DIGEST
-from panelmint.checks.registry import BRANDS, EVENTS, brand_year, query, rounded, static
+from panelmint.checks.registry import BENCHMARK, BRANDS, EVENTS, SPAN, brand_year, brands, query, rounded, static
 from panelmint.functions.expressions import finite
 from panelmint.operators import correlation as corr
 from panelmint.operators import models, selection
 from panelmint.operators.features import FEATURES
-from panelmint.plans.walk_forward import FITTED
+from panelmint.plans.walk_forward import FITTED, WalkForward
 
 EVENT = (sql.EVENT_BARS, sql.RETURNS, sql.EVENT_METRICS)
 USABLE = "usable AS (SELECT * FROM metrics WHERE annual_vol > 0 AND sharpe IS NOT NULL)"
@@ -213,19 +213,29 @@ def gbt_basket(spark, folder):
     return basket_properties(run.forecast(), run.bars())
 
 
-@query(
-    "walk_forward_ml",
-    sql.build(
-        sql.WINDOWS,
+def _fitted_grid(calendar: str) -> str:
+    return sql.build(
+        calendar,
         select="SELECT strategy, month, true AS earns, true AS sized FROM windows CROSS JOIN (VALUES "
         + ", ".join(f"('{s}')" for s in FITTED)
         + ") AS s(strategy)",
-    ),
-)
-def walk_forward_ml(spark, folder):
-    held = brand_year(spark, folder).run(FITTED)
+    )
+
+
+def _fitted_grid_met(held):
     return held.select(
         "strategy", "month",
         (finite(F.col("month_return")) & (F.col("month_return") > -1)).alias("earns"),
         F.col("num_assets").between(1, BRANDS.top_n).alias("sized"),
     )
+
+
+@query("walk_forward_ml", _fitted_grid(sql.WINDOWS))
+def walk_forward_ml(spark, folder):
+    return _fitted_grid_met(brand_year(spark, folder).run(FITTED))
+
+
+@query("walk_forward_ml_span", _fitted_grid(sql.windows(SPAN)))
+def walk_forward_ml_span(spark, folder):
+    """The fitted strategies over every month that has a full lookback and a full holding month."""
+    return _fitted_grid_met(WalkForward(brands(spark, folder), SPAN, BRANDS, BENCHMARK).run(FITTED))

@@ -25,3 +25,11 @@ def test_entry(spark):
 
     assert contract.entry(spark).count() > 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_fitted_span_asks_for_every_month(con):
+    from panelmint.checks.registry import SPAN
+
+    want = con.sql(ORACLES["walk_forward_ml_span"]).df()
+    assert set(want["month"]) == set(range(1, SPAN.months + 1)) and len(want) == 3 * SPAN.months
+    assert "walk_forward_ml_span" in QUERIES
