@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -43,14 +43,36 @@ def texts(docs: DataFrame) -> DataFrame:
 
 
 def sieved(rows: DataFrame, wanted: DataFrame, column: str, bits: int = 24) -> DataFrame:
-    """Rows whose `column` may be among `wanted`, found without a shuffle of `rows`: a bitmap of 2^bits hashed values, broadcast
-    as at most 2^(bits - 6) words whatever the corpus. A full bitmap lets everything pass to the exact join that follows."""
+    """Rows whose `column` is among the values of `wanted`, found with a shuffle of few others: a bitmap of 2^bits hashed values,
+    broadcast as at most 2^(bits - 6) words whatever the corpus, lets rows pass to the exact join. That join is an inner one on distinct
+    values: Spark moves a semi join below the sieve, and would shuffle all rows first."""
     place = F.pmod(F.xxhash64(column), F.lit(1 << bits))
     bit = F.expr("shiftleft(1L, cast(__place & 63 as int))")
     words = wanted.withColumn("__place", place).groupBy(F.shiftright("__place", 6).alias("__word")).agg(F.bit_or(bit).alias("__bits"))
     words = land(words, "sieve")
     met = rows.withColumn("__place", place).withColumn("__word", F.shiftright("__place", 6)).join(F.broadcast(words), "__word")
-    return met.where(F.col("__bits").bitwiseAND(bit) != 0).select(*rows.columns)
+    passed = met.where(F.col("__bits").bitwiseAND(bit) != 0).select(*rows.columns)
+    return passed.join(wanted.select(column).distinct(), column)
+
+
+class WordCache:
+    """What `make` gives for each word, kept for words seen before. Owned by one task and emptied when its keys
+    take more than `limit` bytes (an entry counts 150 bytes besides its word)."""
+
+    def __init__(self, make: Callable[[bytes], int], limit: int = 48 << 20):
+        self.make, self.limit = make, limit
+        self.known: dict[bytes, int] = {}
+        self.held = 0
+
+    def learn(self, words: set[bytes]) -> Callable[[bytes], int]:
+        """Look-up that knows all of `words`."""
+        if self.held > self.limit:
+            self.known.clear()
+            self.held = 0
+        for w in words - self.known.keys():
+            self.known[w] = self.make(w)
+            self.held += len(w) + 150
+        return self.known.__getitem__
 
 
 def stream_groups(frames: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:

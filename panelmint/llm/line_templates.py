@@ -41,7 +41,7 @@ def recurring_lines(docs: DataFrame, lead: int = 2, min_tokens: int = 4, min_doc
 
     # Distinct lines of these leaves with the number of lines each stands for.
     # Most lines of prose are alone in their leaf: they are sieved out where they lie.
-    full = sieved(_lines(docs).where(long).withColumn("leaf", _leaf(lead)), busy, "leaf").join(busy, "leaf", "left_semi")
+    full = sieved(_lines(docs).where(long).withColumn("leaf", _leaf(lead)), busy, "leaf")
     kinds = land(full.groupBy("leaf", "tokens").agg(F.count(F.lit(1)).alias("n")).withColumn("line", F.xxhash64("tokens")), "kinds")
     total = kinds.groupBy("leaf").agg(F.sum("n").alias("total"))
     cells = kinds.select("leaf", "line", "n", F.size("tokens").alias("size"), F.posexplode("tokens").alias("at", "token"))

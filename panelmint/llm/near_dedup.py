@@ -11,10 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmint.llm.common import components, land, sieved, stream_groups, texts
+from panelmint.llm.common import WordCache, components, land, sieved, stream_groups, texts
 
-CACHE_WORDS = 400_000
-_WORDS: dict[bytes, int] = {}
 _POWERS = np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -24,17 +22,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_sets(batch: list[str], size: int = 5) -> list[np.ndarray]:
+def word_hashes() -> WordCache:
+    return WordCache(xxhash.xxh3_64_intdigest)
+
+
+def shingle_sets(batch: list[str], size: int = 5, cache: WordCache | None = None) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of the shingles of each text: `size` words each, or the whole sequence of a
     shorter text. Words are runs of non-space bytes, A-Z lower-cased. A text without words has an empty set."""
-    if len(_WORDS) > CACHE_WORDS:
-        _WORDS.clear()
     split = [t.encode("utf-8", "surrogatepass").lower().split() for t in batch]
-    for w in {w for words in split for w in words} - _WORDS.keys():
-        _WORDS[w] = xxhash.xxh3_64_intdigest(w)
+    code_of = (cache or word_hashes()).learn({w for words in split for w in words})
     out = []
     for words in split:
-        code = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+        code = np.fromiter(map(code_of, words), np.uint64, len(words))
         n = min(size, len(words))
         if not n:
             out.append(code)
@@ -120,10 +119,11 @@ def sketch_documents(docs: DataFrame, sketch: SetSketch, size: int = 5) -> DataF
     """One row per document: size and 128-bit digest of its shingle set, registers and band keys (null for an empty set)."""
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = word_hashes()
         for frame in frames:
             for k in range(0, len(frame), 128):
                 some = frame.iloc[k : k + 128]
-                sets = shingle_sets(some["text"].tolist(), size)
+                sets = shingle_sets(some["text"].tolist(), size, cache)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 registers: list = [None] * len(sets)
                 keys: list = [None] * len(sets)
@@ -147,13 +147,14 @@ def full_sets(docs: DataFrame, nodes: DataFrame, size: int = 5) -> DataFrame:
     """(node, shingles) for the documents in `nodes`: sorted 64-bit hashes, little-endian."""
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = word_hashes()
         for frame in frames:
             for k in range(0, len(frame), 256):
                 some = frame.iloc[k : k + 256]
-                yield pd.DataFrame({"node": some["doc_id"].to_numpy(), "shingles": [s.astype("<u8").tobytes() for s in shingle_sets(some["text"].tolist(), size)]})
+                yield pd.DataFrame({"node": some["doc_id"].to_numpy(), "shingles": [s.astype("<u8").tobytes() for s in shingle_sets(some["text"].tolist(), size, cache)]})
 
     wanted = nodes.select(F.col("node").alias("doc_id"))
-    return sieved(texts(docs), wanted, "doc_id").join(wanted, "doc_id", "left_semi").mapInPandas(work, "node long, shingles binary")
+    return sieved(texts(docs), wanted, "doc_id").mapInPandas(work, "node long, shingles binary")
 
 
 def _shared(a: np.ndarray, b: np.ndarray) -> int:

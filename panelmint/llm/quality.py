@@ -11,12 +11,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmint.llm.common import texts
+from panelmint.llm.common import WordCache, texts
 
 SHAPES, ENDINGS, RATES = 96, 96, 6
 WIDTH = SHAPES + ENDINGS + RATES
-CACHE_WORDS = 400_000
-_WORDS: dict[bytes, int] = {}
 
 
 def word_code(word: bytes) -> int:
@@ -42,15 +40,11 @@ def word_code(word: bytes) -> int:
     return shape * ENDINGS + xxhash.xxh3_64_intdigest(word[-3:]) % ENDINGS
 
 
-def passages(batch: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+def passages(batch: list[str], size: int, cache: WordCache) -> tuple[np.ndarray, np.ndarray]:
     """Feature rows of all passages of `size` words, and the number of passages of each text (at least one)."""
-    if len(_WORDS) > CACHE_WORDS:
-        _WORDS.clear()
     split = [t.encode("utf-8", "replace").split() for t in batch]
     flat = [w for words in split for w in words]
-    for w in set(flat) - _WORDS.keys():
-        _WORDS[w] = word_code(w)
-    code = np.fromiter(map(_WORDS.__getitem__, flat), np.int64, len(flat))
+    code = np.fromiter(map(cache.learn(set(flat)), flat), np.int64, len(flat))
     lengths = np.fromiter(map(len, flat), np.float64, len(flat))
     mark = np.fromiter(map(hash, flat), np.int64, len(flat))  # equal words inside this batch
     counts = np.array([len(s) for s in split], np.int64)
@@ -157,10 +151,11 @@ def learn_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, passag
     chosen = texts(docs).join(F.broadcast(known), "doc_id")  # at most `sample` rows
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = WordCache(word_code)
         for frame in frames:
             for k in range(0, len(frame), 32):
                 some = frame.iloc[k : k + 32]
-                x, bags = passages(some["text"].tolist(), passage)
+                x, bags = passages(some["text"].tolist(), passage, cache)
                 cuts = np.cumsum(bags)[:-1]
                 yield pd.DataFrame({"doc_id": some["doc_id"].to_numpy(), "quality": some["quality"].to_numpy(), "rows": [p.astype("<f2").tobytes() for p in np.split(x, cuts)]})
 
@@ -182,11 +177,12 @@ def score_quality(docs: DataFrame, model: GatedAttention | None, passage: int =
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cache = WordCache(word_code)
         for batch in batches:
             out = []
             for k in range(0, len(batch), 64):
                 some = batch.iloc[k : k + 64].fillna("").tolist()
-                out.append(np.full(len(some), 0.5) if weights.value is None else GatedAttention(weights.value).forward(*passages(some, passage))["p"])
+                out.append(np.full(len(some), 0.5) if weights.value is None else GatedAttention(weights.value).forward(*passages(some, passage, cache))["p"])
             yield pd.Series(np.concatenate(out) if out else np.empty(0), dtype="float64")
 
     return docs.withColumn("__score", score(F.col("text")))
