@@ -16,7 +16,7 @@ def normalised(frame: pd.DataFrame) -> list[tuple]:
     """Rows as comparable tuples, columns by name, in a fixed order."""
 
     def plain(value):
-        if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
             return None
         if isinstance(value, float):
             return round(value, 6) + 0.0
@@ -29,6 +29,9 @@ def normalised(frame: pd.DataFrame) -> list[tuple]:
 def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
+    # A whole-number column with nulls is a float column on one side only.
+    mixed = [c for c in got.columns if pd.api.types.is_numeric_dtype(got[c]) and got[c].dtype != want[c].dtype and pd.api.types.is_numeric_dtype(want[c])]
+    got, want = (f.assign(**{c: f[c].astype("Float64").astype(object) for c in mixed if not pd.api.types.is_bool_dtype(f[c])}) for f in (got, want))
     a, b = normalised(got), normalised(want)
     if len(a) != len(b):
         return f"rows {len(a)} != {len(b)}"
