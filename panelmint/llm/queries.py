@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelmint.llm import chat, context_mixing, exact_dedup, line_templates, mixing, near_dedup, nn_descent, packing, quality, secrets
+from panelmint.llm import chat, context_mixing, exact_dedup, line_templates, mixing, near_dedup, nn_descent, packing, prefix_trie, quality, secrets
 from panelmint.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +143,33 @@ def op10_quality_mil(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_tree(table(spark, folder, "conversations"))
+
+
+ORACLES["op13_prefix_trie"] = r"""
+WITH ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT c, c - c % 20 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda s, b: list_reduce(list_prepend(xor(s, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 4 AS h FROM ids),
+o AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+size AS (SELECT c AS base, count(*) AS size FROM o GROUP BY c),
+r AS (SELECT h.c, pos, role, text FROM h JOIN o ON o.c = h.base AND pos <= h
+  UNION ALL SELECT h.c, pos - h + least(h, coalesce(size, 0)), role, text FROM h JOIN o ON o.c = h.c LEFT JOIN size USING (base) WHERE pos > h),
+m AS (SELECT c, pos AS d, text, string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY c ORDER BY pos) AS k FROM r
+  UNION ALL SELECT c, 0, '', '' FROM ids),
+p AS (SELECT *, lag(k) OVER w AS pk, row_number() OVER (PARTITION BY c ORDER BY d DESC) = 1 AS is_end FROM m WINDOW w AS (PARTITION BY c ORDER BY d)),
+n AS (SELECT k, d, any_value(pk) AS pk, min(c) AS conv_id, count(*) AS n_convs, any_value(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))) AS words,
+  coalesce(sha256(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (is_end)), sha256('')) AS ends_sha256 FROM p GROUP BY k, d),
+kids AS (SELECT pk AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY pk),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (k)),
+s AS (SELECT m.k, m.d, sum((n_convs - 1) * words) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM f JOIN m ON m.c = f.conv_id AND m.d <= f.d GROUP BY m.k, m.d)
+SELECT f.conv_id, f.d AS depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN s USING (k, d) LEFT JOIN n q ON q.k = f.pk AND q.d = f.d - 1
+"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

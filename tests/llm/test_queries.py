@@ -19,11 +19,12 @@ COLUMNS = {
     "op8": {"vec_id", "n_links", "component_id", "kept"},
     "op9": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"},
     "op10": {"doc_id", "held_out", "score", "predicted"},
+    "op12": {"doc_id", "held_out", "lang_pred", "score"},
 }
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact", "near", "mix", "pack"]
 
 
