@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelmint.llm import chat, context_mixing, exact_dedup, line_templates, mixing, near_dedup, nn_descent, packing, prefix_trie, quality, secrets
+from panelmint.llm import chat, context_mixing, exact_dedup, language_id, line_templates, mixing, near_dedup, nn_descent, packing, prefix_trie, quality, secrets
 from panelmint.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +143,15 @@ def op10_quality_mil(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op12_byte_gru(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language_id.learn_language(docs.where(~held_out).select("text", "lang"))
+    scored = language_id.predict_language(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_tree(table(spark, folder, "conversations"))
