@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelmint.llm import chat, context_mixing, exact_dedup, language_id, line_templates, mixing, near_dedup, nn_descent, packing, prefix_trie, quality, secrets
+from panelmint.llm import chat, collocations, context_mixing, exact_dedup, language_id, line_templates, mixing, near_dedup, nn_descent, packing, prefix_trie, quality, secrets
 from panelmint.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +143,30 @@ def op10_quality_mil(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_phrase_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op11_phrase_tiles"] = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+t AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+total AS (SELECT lang, sum(len(ws)) AS n FROM t GROUP BY lang),
+g AS (SELECT lang, unnest(flatten(list_transform([1, 2, 3, 4], lambda k: list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])))) AS w FROM t),
+f AS (SELECT lang, w, count(*) AS f FROM g GROUP BY lang, w HAVING count(*) >= 30),
+c AS (SELECT lang, w, f AS a, unnest(range(1, len(w))) AS k FROM f WHERE len(w) >= 2),
+s AS (SELECT c.*, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.w = c.w[1:k] JOIN f y ON y.lang = c.lang AND y.w = c.w[k + 1:]),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, f, unnest(flatten(list_transform(range(2, len(w)), lambda k: list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])))) AS w FROM f WHERE len(w) >= 3),
+most AS (SELECT lang, w, max(f) AS f FROM inner_ GROUP BY lang, w),
+kept AS (SELECT best.*, array_to_string(best.w, ' ') AS phrase FROM best LEFT JOIN most USING (lang, w) WHERE most.f IS NULL OR 100::HUGEINT * most.f < 80::HUGEINT * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
 @query
 def op12_byte_gru(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
