@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -101,16 +102,15 @@ class ZFastTrie:
 
     `nodes`: one row per compacted node: rep (the sequence whose insertion made its path), low (depth of the parent's extent), high (depth of
     its own), the signature of the extent. A node is found by the signature of its handle, the beginning of its extent of the
-    two-fattest depth in (low, high], and its edge by the beginning of depth low + 1. `placed`: where each sequence ends. `hung`: where each
-    path leaves the path it hangs from, and the batch that brought it.
+    two-fattest depth in (low, high], and its edge by the beginning of depth low + 1. `placed()`: where each sequence ends. `hung()`: where
+    each path leaves the path it hangs from.
     """
 
     def __init__(self, paths: DataFrame, lengths: DataFrame):
         self.paths, self.lengths = paths, lengths
         spark = paths.sparkSession
         self.nodes = spark.createDataFrame([], "rep long, low long, high long, " + ", ".join(f"{s} long" for s in SIGNS))
-        self.placed = spark.createDataFrame([], "sid long, rep long, depth long")
-        self.hung = spark.createDataFrame([], "rep long, up_rep long, up_depth long, batch int")
+        self.turned: list[DataFrame] = []
 
     def _beginning(self, depth: str, suffix: str = "", rep: str = "sid") -> DataFrame:
         return self.paths.select(F.col("sid").alias(rep), F.col("depth").alias(depth), *[F.col(s).alias(s + suffix) for s in SIGNS])
@@ -122,76 +122,78 @@ class ZFastTrie:
         through moves l to that extent; a handle whose extent it leaves, or none, moves r below f.
         """
         handle = self.nodes.withColumn("f", F.expr(two_fattest("low", "high")))
-        handles = land(self._beginning("f", rep="rep").join(handle.select("rep", "f", "low", "high", *[F.col(s).alias(f"{s}e") for s in SIGNS]), ["rep", "f"]), "handles")
-        state = waiting.select("sid", "length", "l", "at", F.col("length").alias("r"))
-        widest = state.agg(F.max(F.col("r") - F.col("l"))).first()[0] or 0
-        extent = handles.select("f", *SIGNS, F.col("rep").alias("n_rep"), F.col("high").alias("n_high"), *[f"{s}e" for s in SIGNS])
+        handle = handle.select("rep", "f", F.col("high").alias("n_high"), *[F.col(s).alias(f"{s}e") for s in SIGNS])
+        extent = land(self._beginning("f", rep="rep").join(handle, ["rep", "f"]).withColumnRenamed("rep", "n_rep"), "handles")
+        state = waiting.withColumn("r", F.col("length"))
+        widest = state.agg(F.max(F.col("r") - F.col("l"))).first()[0]
+        reach = self._beginning("n_high", "x")
+        through = F.lit(True)
+        for s in SIGNS:
+            through = through & (F.col(f"{s}x") == F.col(f"{s}e"))
+        through = F.coalesce((F.col("n_high") <= F.col("length")) & through, F.lit(False))
         for step in range(int(widest).bit_length()):
             probe = state.withColumn("f", F.expr(f"case when l < r then {two_fattest('l', 'r')} end"))
             probe = probe.join(self._beginning("f"), ["sid", "f"], "left").join(extent, ["f", *SIGNS], "left")
-            reach = self._beginning("n_high", "x")
-            through = F.lit(True)
-            for s in SIGNS:
-                through = through & (F.col(f"{s}x") == F.col(f"{s}e"))
-            through = F.coalesce((F.col("n_high") <= F.col("length")) & through, F.lit(False))
-            met = probe.join(reach, ["sid", "n_high"], "left")
-            state = met.select(
+            state = probe.join(reach, ["sid", "n_high"], "left").select(
                 "sid",
                 "length",
                 F.when(through, F.col("n_high")).otherwise(F.col("l")).alias("l"),
                 F.when(through, F.col("n_rep")).otherwise(F.col("at")).alias("at"),
                 F.when(through | F.col("f").isNull(), F.col("r")).otherwise(F.col("f") - 1).alias("r"),
             )
-            if step % 2:
+            if step % 4 == 3:
                 state = land(state, "search")
-        return land(state.select("sid", "length", "l", "at"), "exits")
+        return state.select("sid", "length", "l", "at")
 
-    def insert(self, waiting: DataFrame, batch: int) -> DataFrame:
+    def insert(self, waiting: DataFrame) -> DataFrame:
         """One batch: every waiting sequence is located; one per new edge is inserted, those that end on the trie are placed, edges are cut
         where any leaves them. Returns the rest, which start from where they left."""
-        found = self.exits(waiting)
-        # The edge that goes on from there, if any, and how far the sequence follows it.
-        edge = self._beginning("first", rep="rep").join(self.nodes.withColumn("first", F.col("low") + 1).select("rep", "first", "high"), ["rep", "first"])
-        start = found.withColumn("first", F.col("l") + 1).join(self._beginning("first"), ["sid", "first"], "left")
-        on = start.join(edge.withColumnRenamed("rep", "e_rep").withColumnRenamed("high", "e_high"), ["first", *SIGNS], "left").drop(*SIGNS, "first")
-        on = land(on, "edges")
-        going = on.where("e_rep is not null")
-        steps = going.select("sid", "e_rep", "l", "e_high").join(self.paths, "sid").where("depth > l and depth <= e_high")
-        same = steps.join(self._beginning("depth", rep="e_rep"), ["e_rep", "depth", *SIGNS])
-        follow = same.groupBy("sid").agg(F.max("depth").alias("leaves"))
-        left = on.join(follow, "sid", "left").select(
-            "sid", "length", F.coalesce("e_rep", "at").alias("at"), F.coalesce("leaves", "l").alias("l"), "e_rep", "e_high"
-        )
-        left = land(left, "left")
-        ended = left.where("l = length").select("sid", F.col("at").alias("rep"), F.col("l").alias("depth"))
+        left = waiting.withColumn("e_rep", F.lit(None).cast("long")).withColumn("e_high", F.lit(None).cast("long"))
+        if self.turned:
+            # The edge that goes on from there, if any, and how far the sequence follows it.
+            edge = self.nodes.select(F.col("rep").alias("e_rep"), (F.col("low") + 1).alias("first"), F.col("high").alias("e_high"))
+            edge = edge.join(self._beginning("first", rep="e_rep"), ["e_rep", "first"])
+            start = self.exits(waiting).withColumn("first", F.col("l") + 1).join(self._beginning("first"), ["sid", "first"], "left")
+            on = land(start.join(edge, ["first", *SIGNS], "left").select("sid", "length", "l", "at", "e_rep", "e_high"), "edges")
+            steps = on.where("e_rep is not null").select("sid", "e_rep", "l", "e_high").join(self.paths, "sid").where("depth > l and depth <= e_high")
+            same = steps.join(self._beginning("depth", rep="e_rep"), ["e_rep", "depth", *SIGNS])
+            follow = same.groupBy("sid").agg(F.max("depth").alias("leaves"))
+            left = on.join(follow, "sid", "left").select(
+                "sid", "length", F.coalesce("leaves", "l").alias("l"), F.coalesce("e_rep", "at").alias("at"), "e_rep", "e_high"
+            )
         # Sequences that leave at one place by one turn form a group; a digest picks the one that is inserted.
-        out = left.where("l < length").withColumn("first", F.col("l") + 1).join(self._beginning("first"), ["sid", "first"])
+        out = left.withColumn("first", F.col("l") + 1).join(self._beginning("first"), ["sid", "first"])
         draw = F.min(F.struct(F.xxhash64("sid").alias("lot"), "sid"))
-        chosen = out.groupBy("first", *SIGNS).agg(draw.alias("lot")).select(F.col("lot.sid").alias("sid"))
-        fresh = land(left.join(chosen, "sid").select("sid", "length", "l", "at"), "inserted")
-        cuts = left.where("e_rep is not null and l < e_high").select(F.col("e_rep").alias("rep"), F.col("l").alias("high")).distinct()
-        cuts = cuts.join(self._beginning("high", rep="rep"), ["rep", "high"])
-        leaf = fresh.select(F.col("sid").alias("rep"), F.col("l").alias("start"), F.col("length").alias("high"))
-        leaf = leaf.join(self._beginning("high", rep="rep"), ["rep", "high"])
+        chosen = out.where("l < length").groupBy("first", *SIGNS).agg(draw.alias("lot")).select(F.col("lot.sid").alias("sid"), F.lit(True).alias("fresh"))
+        turned = land(left.join(chosen, "sid", "left"), "turned")
+        self.turned.append(turned)
         # A path's nodes follow each other: the depth above a node is the extent before it, or where the path hangs.
-        hung = self.hung.unionByName(fresh.select(F.col("sid").alias("rep"), F.col("at").alias("up_rep"), F.col("l").alias("up_depth"), F.lit(batch).alias("batch")))
-        ends = self.nodes.select("rep", "high", *SIGNS).unionByName(cuts.select("rep", "high", *SIGNS)).unionByName(leaf.select("rep", "high", *SIGNS))
+        leaf = turned.where("fresh").select(F.col("sid").alias("rep"), F.col("l").alias("top"), F.col("length").alias("high"))
+        cuts = turned.where("e_rep is not null and l < e_high").select(F.col("e_rep").alias("rep"), F.lit(None).cast("long").alias("top"), F.col("l").alias("high"))
+        ends = leaf.unionByName(cuts.distinct()).join(self._beginning("high", rep="rep"), ["rep", "high"])
+        old = self.nodes.select("rep", F.col("low").alias("top"), "high", *SIGNS)
         along = Window.partitionBy("rep").orderBy("high")
-        placed = self.placed.unionByName(ended).unionByName(fresh.select("sid", F.col("sid").alias("rep"), F.col("length").alias("depth")))
-        self.hung = land(hung, "hung")
-        nodes = ends.join(self.hung.select("rep", "up_depth"), "rep").withColumn("low", F.coalesce(F.lag("high").over(along), "up_depth"))
+        nodes = ends.unionByName(old).withColumn("low", F.coalesce(F.lag("high").over(along), "top"))
         self.nodes = land(nodes.select("rep", "low", "high", *SIGNS), "nodes")
-        self.placed = land(placed, "placed")
-        return land(left.join(self.placed.select("sid"), "sid", "left_anti").select("sid", "length", "l", "at"), "waiting")
+        return turned.where("l < length and fresh is null").select("sid", "length", "l", "at")
 
     def grow(self) -> int:
-        """Insert all sequences; returns the number of batches. The lot makes the depth of a path's hanging logarithmic."""
-        waiting = land(self.lengths.select("sid", "length", F.lit(0).cast("long").alias("l"), F.lit(None).cast("long").alias("at")), "waiting")
-        batch = 0
+        """Insert all sequences; returns the number of batches. The lot keeps the nesting of paths logarithmic."""
+        nowhere = F.lit(None).cast("long")
+        waiting = self.lengths.select("sid", "length", F.lit(0).cast("long").alias("l"), nowhere.alias("at"))
         while not waiting.isEmpty():
-            waiting = self.insert(waiting, batch)
-            batch += 1
-        return batch
+            waiting = self.insert(waiting)
+        return len(self.turned)
+
+    def hung(self) -> DataFrame:
+        """(rep, up_rep, up_depth) of each path."""
+        parts = [t.where("fresh").select(F.col("sid").alias("rep"), F.col("at").alias("up_rep"), F.col("l").alias("up_depth")) for t in self.turned]
+        return land(reduce(DataFrame.unionByName, parts), "hung")
+
+    def placed(self) -> DataFrame:
+        """(sid, rep, depth): the path on which each sequence ends."""
+        done = [t.where("fresh or l = length").select("sid", F.when(F.col("fresh"), F.col("sid")).otherwise(F.col("at")).alias("rep"), F.col("length").alias("depth")) for t in self.turned]
+        return reduce(DataFrame.unionByName, done)
 
 
 def _digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -226,8 +228,8 @@ def prefix_tree(conversations: DataFrame, family: int = 20, heads: int = 4) -> D
     """One row per distinct beginning of the rebuilt conversations, the empty one included.
 
     Conversations that are equal turn by turn are one sequence. The sequences' compacted trie is grown in batches (see ZFastTrie); its paths
-    are then expanded to one row per depth, and members, leaves and saved tokens are summed up along each path, latest batch first, because a
-    path hangs from one of an earlier batch.
+    are then expanded to one row per depth, and members, leaves and saved tokens are summed up along each path; what a path holds also counts at
+    the places above it, at most one for each batch.
 
     Order inside a conversation: turn (null first), then role, then text, so rows that tie have a fixed place and repeated rows count twice.
     Null role or text is empty. Rows without conv_id belong to no conversation and are left out. No rows: no conversation, no
@@ -249,55 +251,61 @@ def prefix_tree(conversations: DataFrame, family: int = 20, heads: int = 4) -> D
     trie = ZFastTrie(paths, sequence.select("sid", F.col("depth").alias("length")))
     batches = trie.grow()
 
-    # Expanded paths: one row per depth below the place where a path hangs.
-    rows = paths.withColumnRenamed("sid", "rep").join(trie.hung, "rep").where("depth > up_depth").select("rep", "depth", "words", "up_depth", "up_rep", "batch")
-    ended = trie.placed.join(sequence.select("sid", "ends"), "sid").groupBy("rep", "depth").agg(F.sum("ends").alias("ends"), F.min("sid").alias("low_end"))
-    rows = land(rows.join(ended, ["rep", "depth"], "left"), "rows")
-    longest = sequence.select(F.col("sid").alias("rep"), F.col("depth").alias("bottom"))
-    tops = spark.createDataFrame([], "up_rep long, up_depth long, n long, leaves long, least long, saved long")
-    done = None
-    for batch in range(batches - 1, -1, -1):
-        hanging = tops.groupBy(F.col("up_rep").alias("rep"), F.col("up_depth").alias("depth")).agg(
-            F.sum("n").alias("h_n"), F.sum("leaves").alias("h_leaves"), F.min("least").alias("h_least"), F.sum("saved").alias("h_saved"), F.count(F.lit(1)).alias("paths")
-        )
-        here = rows.where(F.col("batch") == batch).join(hanging, ["rep", "depth"], "left").join(longest, "rep")
-        none = F.lit(0)
-        children = F.coalesce("paths", none) + (F.col("depth") < F.col("bottom")).cast("long")
-        here = here.withColumn("n_children", children)
-        here = running(
-            here,
-            "rep",
-            "depth",
-            {
-                "n_convs": F.coalesce("ends", none) + F.coalesce("h_n", none),
-                "n_leaves": F.coalesce("h_leaves", none) + (F.col("n_children") == 0).cast("long"),
-                "least_conv": F.least("low_end", "h_least"),
-            },
-            descending=True,
-        )
-        here = running(
-            here, "rep", "depth", {"saved_tokens": (F.col("n_convs") - 1) * F.col("words") + F.coalesce("h_saved", none)}, descending=True
-        )
-        here = land(here.select("rep", "depth", "up_rep", "up_depth", "n_convs", "n_children", "n_leaves", "least_conv", "saved_tokens"), "settled")
-        done = here if done is None else done.unionByName(here)
-        top = here.where("depth = up_depth + 1").select(
-            "up_rep", "up_depth", F.col("n_convs").alias("n"), F.col("n_leaves").alias("leaves"), F.col("least_conv").alias("least"), F.col("saved_tokens").alias("saved")
-        )
-        tops = tops.unionByName(top)
     columns = [c.split()[0] for c in TREE.split(", ")]
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     least, n_convs = ids.agg(F.min("conv_id"), F.count(F.lit(1))).first()
     if not n_convs:
         return spark.createDataFrame([], TREE)
-    under = tops.where("up_depth = 0").agg(F.count(F.lit(1)), F.sum("leaves"), F.sum("saved")).first()
-    root = spark.createDataFrame([(least, 0, None, n_convs, under[0], under[1] or 1, under[2] or 0)], TREE.rpartition(",")[0])
     silent = ids.join(of, "conv_id", "left_anti").select(F.lit(0).cast("long").alias("rep"), F.lit(0).cast("long").alias("depth"), "conv_id")
-    root = root.join(end_digests(silent).select("depth", "ends_sha256"), "depth", "left")
-    root = root.withColumn("ends_sha256", F.coalesce("ends_sha256", nothing))
-    if done is None:
-        return root.select(columns)
-    done = land(done, "all-rows")
-    members = of.join(trie.placed, "sid").select("rep", "depth", "conv_id")
+    root_ends = end_digests(silent).select("depth", "ends_sha256")
+
+    def root(n_children: int, n_leaves: int, saved: int) -> DataFrame:
+        row = spark.createDataFrame([(least, 0, None, n_convs, n_children, n_leaves, saved)], TREE.rpartition(",")[0])
+        return row.join(root_ends, "depth", "left").withColumn("ends_sha256", F.coalesce("ends_sha256", nothing)).select(columns)
+
+    if not batches:
+        return root(0, 1, 0)
+    hung = trie.hung()
+    # A path and all places above it where its sequences pass: (rep, a_rep, a_depth), at most one per batch.
+    step = hung.where("up_rep is not null").select("rep", F.col("up_rep").alias("a_rep"), F.col("up_depth").alias("a_depth"))
+    above = [step]
+    further = hung.where("up_rep is not null").select(F.col("rep").alias("a_rep"), F.col("up_rep").alias("next"), F.col("up_depth").alias("a_depth"))
+    for _ in range(batches - 2):
+        step = step.drop("a_depth").join(further, "a_rep").select("rep", F.col("next").alias("a_rep"), "a_depth")
+        above.append(step)
+    above = land(reduce(DataFrame.unionByName, above), "above")
+
+    def with_places_above(frame: DataFrame) -> DataFrame:
+        """Rows of (rep, depth, ...) and a copy of each at all places above its path."""
+        copies = frame.drop("depth").join(above, "rep").drop("rep").withColumnsRenamed({"a_rep": "rep", "a_depth": "depth"})
+        return frame.unionByName(copies)
+
+    placed = trie.placed().join(sequence.select("sid", "ends"), "sid")
+    branches = hung.where("up_rep is not null").groupBy(F.col("up_rep").alias("rep"), F.col("up_depth").alias("depth")).agg(F.count(F.lit(1)).alias("branches"))
+    bottoms = sequence.join(hung.select(F.col("rep").alias("sid")), "sid").select(F.col("sid").alias("rep"), F.col("depth").alias("depth"))
+    leaf = bottoms.join(branches, ["rep", "depth"], "left_anti").select("rep", "depth", F.lit(0).cast("long").alias("ends"), F.lit(None).cast("long").alias("low_end"), F.lit(1).cast("long").alias("leaf"))
+    ended = placed.select("rep", "depth", "ends", F.col("sid").alias("low_end"), F.lit(0).cast("long").alias("leaf"))
+    met = with_places_above(ended.unionByName(leaf)).groupBy("rep", "depth").agg(F.sum("ends").alias("ends"), F.min("low_end").alias("low_end"), F.sum("leaf").alias("leaf"))
+
+    # Expanded paths: one row per depth below the place where a path hangs; members and leaves are those at this depth or below.
+    none = F.lit(0)
+    rows = paths.withColumnRenamed("sid", "rep").join(hung, "rep").where("depth > up_depth").drop(*SIGNS)
+    rows = rows.join(met, ["rep", "depth"], "left")
+    counted = running(
+        rows, "rep", "depth", {"n_convs": F.coalesce("ends", none), "n_leaves": F.coalesce("leaf", none), "least_conv": F.col("low_end")}, descending=True
+    )
+    counted = land(counted.select("rep", "depth", "up_rep", "up_depth", "n_convs", "n_leaves", "least_conv", ((F.col("n_convs") - 1) * F.col("words")).alias("spared")), "counted")
+    whole_path = counted.groupBy("rep").agg(F.sum("spared").alias("passed")).join(above, "rep")
+    passed = whole_path.groupBy(F.col("a_rep").alias("rep"), F.col("a_depth").alias("depth")).agg(F.sum("passed").alias("passed"))
+    summed = running(
+        counted.join(passed, ["rep", "depth"], "left"), "rep", "depth", {"saved_tokens": F.col("spared") + F.coalesce("passed", none)}, descending=True
+    )
+    longest = sequence.select(F.col("sid").alias("rep"), F.col("depth").alias("bottom"))
+    children = F.coalesce("branches", none) + (F.col("depth") < F.col("bottom")).cast("long")
+    done = summed.join(longest, "rep").join(branches, ["rep", "depth"], "left").withColumn("n_children", children)
+    done = land(done.select("rep", "depth", "up_rep", "up_depth", "n_convs", "n_children", "n_leaves", "least_conv", "saved_tokens"), "settled")
+    under = done.where("up_rep is null and depth = 1").agg(F.count(F.lit(1)), F.sum("n_leaves"), F.sum("saved_tokens")).first()
+    members = of.join(placed.select("sid", "rep", "depth"), "sid").select("rep", "depth", "conv_id")
     up = F.col("depth") - 1
     inside = up > F.col("up_depth")
     named = done.withColumn("p_rep", F.when(inside, F.col("rep")).otherwise(F.col("up_rep"))).withColumn("p_depth", up)
@@ -316,4 +324,4 @@ def prefix_tree(conversations: DataFrame, family: int = 20, heads: int = 4) -> D
             F.coalesce("ends_sha256", nothing).alias("ends_sha256"),
         )
     )
-    return root.select(columns).unionByName(nodes.select(columns))
+    return root(*under).unionByName(nodes.select(columns))
