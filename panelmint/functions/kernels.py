@@ -84,3 +84,110 @@ def eigen(components: int):
         return pd.concat(frames)
 
     return decompose
+
+
+PACKED = "month int, block int, chunk long, ords binary, stamps binary, values binary, spreads binary, rests binary, t double"
+
+
+def _packed_row(pdf: pd.DataFrame, **columns) -> pd.DataFrame:
+    first = pdf.iloc[0]
+    row = {"month": np.int32(first["month"]), "block": np.int32(first["block"]), "chunk": np.int64(first["chunk"]), "t": np.nan}
+    row |= {c: None for c in ("ords", "stamps", "values", "spreads", "rests")} | columns
+    return pd.DataFrame([row])[[c.split()[0] for c in PACKED.split(", ")]]
+
+
+def pack_cells(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The cells of one block in one stretch of time as one row of bytes."""
+    return _packed_row(pdf, ords=pdf["slot"].to_numpy("<i8").tobytes(), stamps=pdf["stamp"].to_numpy("<i8").tobytes(), values=pdf["ret"].to_numpy("<f8").tobytes())
+
+
+def pack_series(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The series of one block, by slot."""
+    pdf = pdf.sort_values("slot")
+    column = lambda c: pdf[c].to_numpy("<f8").tobytes()
+    return _packed_row(pdf, ords=pdf["ord"].to_numpy("<i8").tobytes(), values=column("mean"), spreads=column("spread"), rests=column("rest"), t=float(pdf["t"].iloc[0]))
+
+
+class _Series:
+    def __init__(self, row):
+        self.ords = np.frombuffer(row.ords, "<i8")
+        self.mean, self.spread, self.rest = (np.frombuffer(v, "<f8") for v in (row.values_, row.spreads, row.rests))
+        self.t = row.t
+
+
+class _BlockPair:
+    """The growing product of two blocks of series; `head` and `cells` are by side (0 left, 1 right)."""
+
+    def __init__(self, key: tuple[int, int, int]):
+        self.key, self.head, self.cells, self.chunk = key, {}, {}, None
+        self.product: np.ndarray | None = None
+
+    def take(self, row) -> None:
+        if row.chunk == -1:
+            self.head[row.side] = _Series(row)
+            return
+        if row.chunk != self.chunk:
+            self.multiply()
+            self.chunk = row.chunk
+        self.cells[row.side] = (np.frombuffer(row.ords, "<i8"), np.frombuffer(row.stamps, "<i8"), np.frombuffer(row.values_, "<f8"))
+
+    def sides(self) -> tuple[int, int]:
+        # A block meets itself as one side only.
+        return (1, 1) if self.key[1] == self.key[2] else (0, 1)
+
+    def multiply(self) -> None:
+        a, b = self.sides()
+        if self.product is None and a in self.head and b in self.head:
+            self.product = np.zeros((len(self.head[a].ords), len(self.head[b].ords)))
+        if a in self.cells and b in self.cells:
+            stamps = np.unique(np.concatenate([self.cells[a][1], self.cells[b][1]]))
+            dense = {}
+            for side in {a, b}:
+                slots, at, values = self.cells[side]
+                dense[side] = np.zeros((len(stamps), len(self.head[side].ords)))
+                dense[side][np.searchsorted(stamps, at), slots] = values
+            self.product += dense[a].T @ dense[b]
+        self.cells = {}
+
+    def bound(self, screen: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(i, j, value) of all pairs: the correlation, or the most it can be in size."""
+        self.multiply()
+        x, y = (self.head[side] for side in self.sides())
+        value = self.product - x.t * np.outer(x.mean, y.mean)
+        if screen:
+            value = np.abs(value) + np.outer(x.rest, y.rest)
+        value = value / np.outer(x.spread, y.spread)
+        i, j = np.broadcast_arrays(x.ords[:, None], y.ords[None, :])
+        return i, j, value
+
+
+def block_pairs(theta: float, screen: bool):
+    """Rows of block pairs, sorted, to the strong pairs in them; or, as a screen, to the block pairs that may hold one."""
+
+    def closed(pair: _BlockPair) -> pd.DataFrame | None:
+        i, j, value = pair.bound(screen)
+        # A bound is rounded up, so no pair at the threshold is lost to the order of a sum.
+        strong = value * (1 + 1e-9) + 1e-9 > theta if screen else np.abs(value) > theta
+        if pair.key[1] == pair.key[2]:
+            strong &= np.arange(len(value))[:, None] < np.arange(len(value))[None, :]
+        if not strong.any():
+            return None
+        if screen:
+            return pd.DataFrame([pair.key], columns=["month", "left", "right"]).astype("int32")
+        i, j, rho = i[strong], j[strong], value[strong]
+        return pd.DataFrame({"month": np.int32(pair.key[0]), "i": np.minimum(i, j).astype("int32"), "j": np.maximum(i, j).astype("int32"), "rho": rho})
+
+    def work(frames):
+        pair = None
+        for frame in frames:
+            for row in frame.rename(columns={"values": "values_"}).itertuples(index=False):
+                key = (row.month, row.left, row.right)
+                if pair is None or pair.key != key:
+                    if pair is not None and (found := closed(pair)) is not None:
+                        yield found
+                    pair = _BlockPair(key)
+                pair.take(row)
+        if pair is not None and (found := closed(pair)) is not None:
+            yield found
+
+    return work

@@ -2,7 +2,7 @@
 
 Rankings are written as `row_number() <= n`: below `spark.sql.optimizer.windowGroupLimitThreshold` Spark cuts each map
 partition down to its own top `n` before the shuffle, so a month with any number of symbols sends only `n` rows per
-task. Without a limit a month's ranking sorts one narrow row per symbol.
+task. Without a limit the ranking is distributed (ranking.py).
 """
 
 from __future__ import annotations
@@ -13,18 +13,20 @@ from pyspark.sql import functions as F
 from panelmint.config import Settings
 from panelmint.functions.expressions import valid_risk
 from panelmint.operators.metrics import observation_counts
+from panelmint.operators.ranking import distributed_rank
 
 
 def ranked_top(frame: DataFrame, n: int | None, order: list[Column], by: tuple[str, ...] = ("month",)) -> DataFrame:
-    """First `n` rows per group in the given order (all of them without `n`), with their `rank` from 1."""
-    ranked = frame.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    return ranked if n is None else ranked.filter(F.col("rank") <= n)
+    """First `n` rows per group in the given order, with their `rank` from 1. All of them without `n`, ranked by ranges."""
+    if n is None:
+        return distributed_rank(frame, order, by)
+    return frame.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("rank") <= n)
 
 
 def as_members(ranked: DataFrame) -> DataFrame:
     """Turn the rank into a matrix position `ord` from 0 and add the member count `size`."""
-    counted = Window.partitionBy("month")
-    return ranked.withColumn("ord", F.col("rank") - 1).withColumn("size", F.count("*").over(counted).cast("int"))
+    sizes = ranked.groupBy("month").agg(F.count("*").cast("int").alias("size"))  # one line per month
+    return ranked.withColumn("ord", (F.col("rank") - 1).cast("int")).join(F.broadcast(sizes), "month")
 
 
 def universe_cap(panel: DataFrame, settings: Settings) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelmint.functions.expressions import is_leveraged
+from panelmint.operators.ranking import distributed_rank
 
 # The names of the modes.
 MODES = ("top100", "diversified", "all-usdt", "historical-usdt")
@@ -44,8 +45,8 @@ def volume_ranked(ticker: DataFrame, quote: str, zero_unparsed: bool = False) ->
 
 
 def volume_positions(ranked: DataFrame) -> DataFrame:
-    """Adds `position` from 1, largest volume first. One narrow row per listed pair is sorted."""
-    return ranked.withColumn("position", F.row_number().over(Window.orderBy(F.desc("quote_volume"), "symbol")))
+    """Adds `position` from 1, largest volume first."""
+    return distributed_rank(ranked, [F.desc("quote_volume"), F.asc("symbol")], name="position").withColumn("position", F.col("position").cast("int"))
 
 
 def diversified_universe(

@@ -18,6 +18,7 @@ from panelmint.operators.models import cluster_assets, fit_ready, fit_static_for
 from panelmint.operators.returns import log_returns, only_symbols
 from panelmint.operators.selection import as_members, top_sharpe, universe_cap
 from panelmint.operators.splits import hash_split, row_cap
+from panelmint.operators.strong_pairs import strong_pairs
 from panelmint.operators.tournament import tournament
 from panelmint.operators.weights import inverse_vol_weights
 from panelmint.session import written_once
@@ -71,10 +72,14 @@ class StaticModels:
     def named_edges(self) -> DataFrame:
         return corr.named_edges(self.edges(), self.universe, self.settings)
 
+    def strong_edges(self) -> DataFrame:
+        """The pairs above the threshold, without the matrix."""
+        return strong_pairs(self.chosen, corr.matrix_rows(self.chosen), self.settings)
+
     def survivors(self) -> DataFrame:
         """Universe in matrix order (most bars first), metrics where known, losers left out."""
         members = self.universe.join(self.metrics, ["month", "symbol"], "left")
-        return tournament(self.edges(), members, self.settings)
+        return tournament(self.strong_edges(), members, self.settings)
 
     def smart_basket(self) -> DataFrame:
         """The universe, correlation tournament, best Sharpe ratios, inverse-volatility weights."""

@@ -21,6 +21,7 @@ from panelmint.operators.models import cluster_assets, monthly_predictions
 from panelmint.operators.returns import lookback_bars, only_symbols, time_range, window_bar_returns, windowed_returns
 from panelmint.operators.selection import as_members, candidate_cap, round_robin, top_residual, top_sharpe
 from panelmint.operators.splits import chronological_split
+from panelmint.operators.strong_pairs import strong_pairs
 from panelmint.operators.tournament import tournament
 from panelmint.operators.weights import (
     benchmark_weights,
@@ -96,8 +97,12 @@ class WalkForward:
         """Correlations of the candidates; matrix rows are all timestamps with any return."""
         return corr.correlations(self.moments, corr.rows_with_any_return(self.bars(), self.series))
 
+    def strong_edges(self) -> DataFrame:
+        """The pairs above the threshold, without the matrix."""
+        return strong_pairs(self.chosen, corr.rows_with_any_return(self.bars(), self.series), self.settings)
+
     def survivors(self) -> DataFrame:
-        return tournament(self.edges(), self.candidates, self.settings, self.schedule.months)
+        return tournament(self.strong_edges(), self.candidates, self.settings, self.schedule.months)
 
     def benchmark(self) -> DataFrame:
         return benchmark_weights(self.panel.sparkSession, self.benchmark_symbol, self.schedule)
