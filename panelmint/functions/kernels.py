@@ -191,3 +191,40 @@ def block_pairs(theta: float, screen: bool):
             yield found
 
     return work
+
+
+def basis_products(frames):
+    """Outer products of basis and product vectors (`v`, `w`), summed over the symbols a task holds: one matrix per month."""
+    sums: dict = {}
+    for frame in frames:
+        for month, own in frame.groupby("month"):
+            v, w = (np.stack([np.frombuffer(x, "<f8") for x in own[c]]) for c in ("v", "w"))
+            sums[month] = sums.get(month, 0) + v.T @ w
+    for month, part in sums.items():
+        yield pd.DataFrame([(np.int32(month), np.int32(len(part)), np.ascontiguousarray(part, "<f8").tobytes())], columns=["month", "n", "product"])
+
+
+def combined(turns: dict, append: bool = True):
+    """Row by row, w - v A and then times B, for the matrices (A, B) of a month (None: left out). With `append` the result, or what B makes of a
+    row without `w`, becomes the end of `v`."""
+
+    def work(frames):
+        for frame in frames:
+            for month, own in frame.groupby("month"):
+                a, b = turns[month]
+                v = np.stack([np.frombuffer(x, "<f8") for x in own["v"]])
+                alone = "w" not in own
+                w = v if alone else np.stack([np.frombuffer(x, "<f8") for x in own["w"]])
+                if a is not None:
+                    w = w - v @ a
+                if b is not None:
+                    w = w @ b
+                pack = lambda rows: [np.ascontiguousarray(r, "<f8").tobytes() for r in rows]
+                out = pd.DataFrame({"month": own["month"].to_numpy("int32"), "ord": own["ord"].to_numpy("int32")})
+                if append:
+                    out["v"] = pack(w if alone else np.concatenate([v, w], axis=1))
+                else:
+                    out["v"], out["w"] = own["v"].to_numpy(), pack(w)
+                yield out
+
+    return work

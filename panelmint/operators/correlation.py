@@ -9,12 +9,15 @@ length and the block width, whatever the number of symbols or the length of the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelmint.config import Settings
 from panelmint.functions.expressions import bounded_broadcast, with_chunk
 from panelmint.functions.kernels import block_products, eigen
+from panelmint.operators.subspace import leading_components
 
 SUMS = ("sxy", "sx", "sy", "sxx", "syy")
 
@@ -114,7 +117,7 @@ def principal_components(moments: DataFrame, rows: DataFrame, settings: Settings
     """Loadings of the leading components per month: `month, component, explained_variance, ord, loading`.
 
     All months are decomposed in one job. A month's moments and a dense
-    matrix over its symbols must fit a task: some thousand symbols (see README). The sign of a component is fixed by making its largest entry positive.
+    matrix over its symbols must fit a task: `fitting_components` asks for it up to `dense_symbols`. The sign of a component is fixed by making its largest entry positive.
     """
     # A covariance needs two observations.
     ready = moments.join(F.broadcast(rows.filter(F.col("t") > 1)), "month")
@@ -124,6 +127,14 @@ def principal_components(moments: DataFrame, rows: DataFrame, settings: Settings
     )
 
 
+def fitting_components(chosen: DataFrame, members: DataFrame, moments: Callable[[], DataFrame], settings: Settings) -> DataFrame:
+    """Components by one dense matrix per month where every month has at most `dense_symbols` members, by iteration on the returns elsewhere."""
+    largest = members.agg(F.max("size")).first()[0] or 0
+    if largest <= settings.dense_symbols:
+        return principal_components(moments(), matrix_rows(chosen), settings)
+    return leading_components(chosen, matrix_rows(chosen), settings)
+
+
 def explained_variance(loadings: DataFrame, settings: Settings) -> DataFrame:
     """One row per component with the running share and whether it first reaches the target."""
     shares = loadings.groupBy("month", "component").agg(F.first("explained_variance").alias("explained_variance"))

@@ -97,7 +97,7 @@ class StaticModels:
         return cluster_assets(self.metrics, self.settings)
 
     def components(self) -> DataFrame:
-        return corr.principal_components(self.moments, corr.matrix_rows(self.chosen), self.settings)
+        return corr.fitting_components(self.chosen, self.universe, lambda: self.moments, self.settings)
 
     def scores(self) -> DataFrame:
         """Every timestamp projected on the components."""

@@ -122,7 +122,7 @@ class WalkForward:
     def loadings(self) -> DataFrame:
         """First component of each month; matrix rows are the candidates' own timestamps."""
         first_only = replace(self.settings, components=1)
-        return corr.principal_components(self.moments, corr.matrix_rows(self.chosen), first_only)
+        return corr.fitting_components(self.chosen, self.candidates, lambda: self.moments, first_only)
 
     def pca_residual(self) -> DataFrame:
         scored = self.candidates.join(corr.residual_scores(self.loadings()), ["month", "ord"])
