@@ -7,6 +7,7 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -54,16 +55,19 @@ class Template:
         """Walk the parts in order: content, attachments in order of their placeholders, characters of
         text, expanded tokens of the placeholders. Unknown kinds count as text."""
         out, attached, tokens, at = [], [], 0, 0
-        for part in parts:
-            kind = part.get("kind") or "text"
-            price = getattr(self, f"_{kind}", None)
-            piece = self.escape(part.get("text") or "") if price is None else f"<|{kind}|>"
-            if price is not None:
-                cost = price(part)
+        typed = ((part.get("kind") or "text", part) for part in parts)
+        # Neighbouring texts are one text: a control string that only their joint spells is escaped as well.
+        for is_text, run in groupby(typed, key=lambda x: getattr(self, f"_{x[0]}", None) is None):
+            if is_text:
+                out.append(self.escape("".join(part.get("text") or "" for _, part in run)))
+                at += len(out[-1])
+                continue
+            for kind, part in run:
+                cost = getattr(self, f"_{kind}")(part)
                 attached.append({"kind": kind, "ref": part.get("ref") or "", "start": at, "tokens": cost})
                 tokens += cost
-            out.append(piece)
-            at += len(piece)
+                out.append(f"<|{kind}|>")
+                at += len(out[-1])
         return "".join(out), attached, at, tokens
 
     def _image(self, part: dict) -> int:

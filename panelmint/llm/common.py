@@ -42,6 +42,18 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def unused(frame: DataFrame, *names: str) -> list[str]:
+    """Column names that the table does not have, made from these."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def sieved(rows: DataFrame, wanted: DataFrame, column: str, bits: int = 24) -> DataFrame:
     """Rows whose `column` is among the values of `wanted`, found with a shuffle of few others: a bitmap of 2^bits hashed values,
     broadcast as at most 2^(bits - 6) words whatever the corpus, lets rows pass to the exact join. That join is an inner one on distinct

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmint.llm.common import land
+from panelmint.llm.common import land, unused
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -110,7 +110,8 @@ def _bucket(block: Column, buckets: int | None) -> Column:
 
 
 def drop_exact(docs: DataFrame, **options) -> DataFrame:
-    """Rows of `docs`, all columns, without exact copies."""
-    kept = exact_groups(docs, **options).where("kept").select(F.col("row").alias("__row"))
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    return numbered.join(kept, "__row", "left_semi").drop("__row")
+    """Rows of `docs`, all columns, without exact copies. `docs` must be read from a table, so that row numbers hold."""
+    (row,) = unused(docs, "__row")
+    kept = exact_groups(docs, **options).where("kept").select(F.col("row").alias(row))
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    return numbered.join(kept, row, "left_semi").drop(row)

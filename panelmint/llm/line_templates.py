@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmint.llm.common import land, sieved
+from panelmint.llm.common import land, sieved, unused
 
 GAP = r"[\x20\x09-\x0D]+"
 FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
@@ -74,18 +74,18 @@ def drop_lines(docs: DataFrame, **options) -> DataFrame:
     `min_tokens` tokens and empty lines always stay.
 
     Null text is empty: one empty line. A line that repeats inside one document is no recurrence. Rows that repeat a doc_id are separate
-    documents. `docs` must be read from a table, so that row numbers hold; columns named like the added ones are replaced.
+    documents. `docs` must be read from a table, so that row numbers hold; columns named n_lines or n_dropped are replaced.
     """
     drops = land(recurring_lines(docs, **options), "dropped")
-    gone = drops.groupBy("row").agg(F.collect_set("pos").alias("__gone"))  # at most the lines of one text
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    met = numbered.join(gone.withColumnRenamed("row", "__row"), "__row", "left")
+    row, lost = unused(docs, "__row", "__gone")
+    gone = drops.groupBy(F.col("row").alias(row)).agg(F.collect_set("pos").alias(lost))  # at most the lines of one text
+    met = docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left")
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    gone_map = F.map_from_arrays("__gone", F.transform("__gone", lambda p: F.lit(True)))
+    gone_map = F.map_from_arrays(lost, F.transform(lost, lambda p: F.lit(True)))
     kept = F.filter(lines, lambda _, k: ~F.coalesce(F.element_at(gone_map, k), F.lit(False)))
     return (
         met.withColumn("n_lines", F.size(lines))
-        .withColumn("n_dropped", F.coalesce(F.size("__gone"), F.lit(0)))
-        .withColumn("text", F.when(F.col("__gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n")))
-        .drop("__row", "__gone")
+        .withColumn("n_dropped", F.coalesce(F.size(lost), F.lit(0)))
+        .withColumn("text", F.when(F.col(lost).isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n")))
+        .drop(row, lost)
     )

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelmint.llm.common import unused
+
 STEP = 16.0
 STEPS = 96
 DIGITS = 12
@@ -69,22 +71,24 @@ def poisson_mix(
     and orders each partition by it.
 
     Rows that repeat a doc_id get the same count each. A null source is a source of its own; a null doc_id hashes as
-    one value; null texts are kept. Rates are joined by broadcast where no more than `max_sources` exist (one
+    one value; null texts are kept. A column named `copy` is replaced. Rates are joined by broadcast where no more than `max_sources` exist (one
     row each), else by an ordinary join, whose hot sources adaptive execution splits. An empty table gives an empty result.
     """
     rates = _draws(source_rates(docs, weights, alpha, total))
     # The bound of the broadcast is proven before the hint is given.
     few = docs.select("source").distinct().limit(max_sources + 1).count() <= max_sources
-    rates = rates.select(F.col("source").alias("__source"), F.col("parts").alias("__parts"), F.col("cdf").alias("__cdf"))
-    joined = docs.join(F.broadcast(rates) if few else rates, docs["source"].eqNullSafe(F.col("__source")))
+    source, parts, cdf, n, order = unused(docs, "__source", "__parts", "__cdf", "__n", "__order")
+    rates = rates.select(F.col("source").alias(source), F.col("parts").alias(parts), F.col("cdf").alias(cdf))
+    joined = docs.join(F.broadcast(rates) if few else rates, docs["source"].eqNullSafe(F.col(source)))
     count = F.aggregate(
-        F.sequence(F.lit(1), F.col("__parts")),
+        F.sequence(F.lit(1), F.col(parts)),
         F.lit(0),
-        lambda s, k: s + F.size(F.filter("__cdf", lambda c: c < uniform(F.lit(seed), F.col("doc_id"), k))),
+        lambda s, k: s + F.size(F.filter(cdf, lambda c: c < uniform(F.lit(seed), F.col("doc_id"), k))),
     )
-    counted = joined.withColumn("__n", count).where("__n > 0")
-    out = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__source", "__parts", "__cdf", "__n")
+    counted = joined.withColumn(n, count).where(F.col(n) > 0)
+    out = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col(n) - 1))).drop(source, parts, cdf, n)
     if not shuffle:
         return out
-    order = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("copy"))
-    return out.withColumn("__order", order).repartition("__order").sortWithinPartitions("__order", "doc_id", "copy").drop("__order")
+    lot = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("copy"))
+    ties = [c for c in ("text", "source") if c in docs.columns]
+    return out.withColumn(order, lot).repartition(order).sortWithinPartitions(order, "doc_id", "copy", *ties).drop(order)
