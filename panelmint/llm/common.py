@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,19 @@ def shared_folder(spark: SparkSession) -> str:
     return LOCAL_SCRATCH[0]
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m"):
+    """Arrow batches of at most `size` bytes (a row more) in what is written inside; the session's own limit holds again afterwards.
+    Spark's limit of 64 MB is held several times over, by the JVM and by each Python worker."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def land(frame: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends here, so a lost executor costs
     nothing that came before, and values that depend on task order are settled."""
