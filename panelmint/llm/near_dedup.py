@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmint.llm.common import WordCache, components, land, sieved, stream_groups, texts
+from panelmint.llm.common import WordCache, components, land, sieved, small_batches, stream_groups, texts
 
 _POWERS = np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
@@ -290,7 +290,8 @@ def near_groups(docs: DataFrame, percent: int = 75, size: int = 5, sketch: SetSk
     them counts as kept. A row without doc_id can't be named: it is linked with nothing, component_id is null,
     kept is true. Null text is empty text.
     """
-    sketched = land(sketch_documents(docs, sketch, size), "sketches")
+    with small_batches(docs.sparkSession):
+        sketched = land(sketch_documents(docs, sketch, size), "sketches")
     named = sketched.where("doc_id is not null and n_shingles > 0")
     nodes = named.groupBy("set_high", "set_low").agg(F.min("doc_id").alias("node"))
     same = named.select("set_high", "set_low", "doc_id").join(nodes, ["set_high", "set_low"]).select("doc_id", "node").distinct()
@@ -310,7 +311,8 @@ def near_groups(docs: DataFrame, percent: int = 75, size: int = 5, sketch: SetSk
     best = star.groupBy("node").agg(F.max(F.struct("agree", (-F.col("centre")).alias("less"))).alias("top"))
     edges = land(best.select(F.col("node").alias("a"), (-F.col("top.less")).alias("b")), "star")
     ends = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
-    first = land(links(edges, full_sets(docs, ends, size), percent), "star-links")
+    with small_batches(docs.sparkSession):
+        first = land(links(edges, full_sets(docs, ends, size), percent), "star-links")
 
     # Links that the stars did not find.
     grouped = components(first)
@@ -319,10 +321,12 @@ def near_groups(docs: DataFrame, percent: int = 75, size: int = 5, sketch: SetSk
     mixed = owner.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     detail = reps.select("node", "n_shingles", "registers")
     doubtful = owner.join(mixed, "key").join(detail, "node")
-    still = land(_open_members(doubtful, sketch, percent, block), "open-members")
+    with small_batches(docs.sparkSession):
+        still = land(_open_members(doubtful, sketch, percent, block), "open-members")
     open_sets = full_sets(docs, still.select("node").distinct(), size)
     crossing = owner.join(still, ["key", "node"]).join(detail, "node").join(open_sets, "node")
-    second = land(_crossing_links(crossing, sketch, percent, block), "crossing-links")
+    with small_batches(docs.sparkSession):
+        second = land(_crossing_links(crossing, sketch, percent, block), "crossing-links")
 
     # Rows of one doc_id tie their sets together as well.
     tied = same.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
