@@ -43,6 +43,7 @@ class Settings:
     fit_partitions: int | None = None  # None: as many as `rows_per_fit_task` asks for
     rows_per_fit_task: int = 100_000
     parallel_fits: int = 8
+    months_one_by_one: int = 48  # longer calendars have their boosted models fitted together
 
     @property
     def chunk_micros(self) -> int:

@@ -1,6 +1,6 @@
 """Monthly walk-forward evaluation: baskets from the lookback, returns from the month after it.
 
-All months run in one plan. Only the MLlib fits, which have no grouped form, run month by month.
+All months run in one plan. Only the MLlib fits run month by month; boosted models of a long calendar are fitted together.
 """
 
 from __future__ import annotations
@@ -131,7 +131,7 @@ class WalkForward:
 
     def predictions(self) -> DataFrame:
         frame = windowed_forecast_frame(self.prices, self.schedule)
-        return monthly_predictions(chronological_split(frame, self.settings.train_share), self.settings)
+        return monthly_predictions(chronological_split(frame, self.settings.train_share), self.settings, self.schedule.months)
 
     def forecast(self) -> DataFrame:
         return forecast_weights(self.predictions(), self.settings)

@@ -84,6 +84,16 @@ def test_no_lookahead(walk, strategy):
     assert january(walk) == january(other)
 
 
+def test_months_fitted_together_forecast_the_same_rows(walk):
+    """Fitted together or one by one: the same months and symbols, and forecasts that go together."""
+    alone, joint = (
+        {(r["month"], r["symbol"]): r["prediction"] for r in replace(walk, settings=replace(SETTINGS, months_one_by_one=n)).predictions().collect()}
+        for n in (2, 1)
+    )
+    assert alone.keys() == joint.keys()
+    assert np.corrcoef([alone[k] for k in alone], [joint[k] for k in alone])[0, 1] > 0.9
+
+
 def test_results_cover_every_strategy_and_month(walk):
     quiet = replace(walk, schedule=Schedule(date(2025, 2, 1), months=4, lookback_days=30))
     names = ("benchmark", "top_sharpe", "forecast")
