@@ -45,12 +45,13 @@ def normalise_raw(spark: SparkSession, paths: str | list[str], quote: str | None
     Short rows, blank lines and rows whose first field holds a letter are skipped. Rows of a file
     that was already processed carry a text time in the first of eleven fields and pass through.
     """
-    lines = spark.read.text(paths).select(
-        F.split(F.trim("value"), ",").alias("fields"),
-        F.col("_metadata.file_name").alias("file"),
-        file_symbol(quote).alias("symbol"),
-    )
-    named = lines.filter(F.col("symbol") != "")
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("file"), file_symbol(quote).alias("symbol"))
+    return normalise_lines(lines.filter(F.col("symbol") != ""))
+
+
+def normalise_lines(lines: DataFrame) -> DataFrame:
+    """`file, symbol, value` (a line of a raw file) to processed columns; see normalise_raw()."""
+    named = lines.select("file", "symbol", F.split(F.trim("value"), ",").alias("fields"))
     fields = F.col("fields")
     first = F.trim(fields[0])
     raw = named.filter((F.size(fields) >= len(RAW_FIELDS)) & first.rlike("^-?[0-9]+$"))
