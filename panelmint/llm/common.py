@@ -68,17 +68,30 @@ def unused(frame: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def sieved(rows: DataFrame, wanted: DataFrame, column: str, bits: int = 24) -> DataFrame:
-    """Rows whose `column` is among the values of `wanted`, found with a shuffle of few others: a bitmap of 2^bits hashed values,
-    broadcast as at most 2^(bits - 6) words whatever the corpus, lets rows pass to the exact join. That join is an inner one on distinct
-    values: Spark moves a semi join below the sieve, and would shuffle all rows first."""
+def _sifted(rows: DataFrame, wanted: DataFrame, column: str, bits: int) -> tuple[DataFrame, str]:
+    """`rows` with one more column, and its name: false only where `column` is surely not among the values of `wanted`. A bitmap of
+    2^bits hashed values is broadcast as at most 2^(bits - 6) words whatever the corpus."""
+    word, have, passes = unused(rows, "__word", "__bits", "__passes")
     place = F.pmod(F.xxhash64(column), F.lit(1 << bits))
-    bit = F.expr("shiftleft(1L, cast(__place & 63 as int))")
-    words = wanted.withColumn("__place", place).groupBy(F.shiftright("__place", 6).alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({column}), {1 << bits}L) & 63 as int))")
+    words = wanted.groupBy(F.shiftright(place, 6).alias(word)).agg(F.bit_or(bit).alias(have))
     words = land(words, "sieve")
-    met = rows.withColumn("__place", place).withColumn("__word", F.shiftright("__place", 6)).join(F.broadcast(words), "__word")
-    passed = met.where(F.col("__bits").bitwiseAND(bit) != 0).select(*rows.columns)
-    return passed.join(wanted.select(column).distinct(), column)
+    met = rows.withColumn(word, F.shiftright(place, 6)).join(F.broadcast(words), word, "left")
+    return met.select(*rows.columns, (F.coalesce(have, F.lit(0)).bitwiseAND(bit) != 0).alias(passes)), passes
+
+
+def sieved(rows: DataFrame, wanted: DataFrame, column: str, bits: int = 24, unique: bool = False) -> DataFrame:
+    """Rows whose `column` is among the values of `wanted`, found with a shuffle of few others: a broadcast bitmap lets rows pass to the
+    exact join. That join is an inner one on distinct values: Spark moves a semi join below the sieve, and would shuffle all
+    rows first. With `unique` the values of `wanted` are distinct already, and its other columns come along."""
+    marked, passes = _sifted(rows, wanted, column, bits)
+    return marked.where(passes).drop(passes).join(wanted if unique else wanted.select(column).distinct(), column)
+
+
+def parted(rows: DataFrame, wanted: DataFrame, column: str, bits: int = 24) -> tuple[DataFrame, DataFrame]:
+    """`rows` in two parts: those whose `column` may be among the values of `wanted`, and those where it surely is not."""
+    marked, passes = _sifted(rows, wanted, column, bits)
+    return marked.where(passes).drop(passes), marked.where(f"NOT {passes}").drop(passes)
 
 
 class WordCache:

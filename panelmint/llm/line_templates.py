@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmint.llm.common import land, sieved, unused
+from panelmint.llm.common import land, parted, sieved, unused
 
 GAP = r"[\x20\x09-\x0D]+"
 FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
@@ -30,56 +30,69 @@ def _leaf(lead: int) -> Column:
     return F.xxhash64(F.size("tokens"), F.slice("tokens", 1, lead))
 
 
-def recurring_lines(docs: DataFrame, lead: int = 2, min_tokens: int = 4, min_docs: int = 3, share: float = 0.5, constant: float = 0.6) -> DataFrame:
-    """(row, pos) of the lines to drop. See drop_lines()."""
-    long = F.size("tokens") >= min_tokens
-    placed = land(_lines(docs).where(long).select("row", "doc_id", "pos", _leaf(lead).alias("leaf"), F.xxhash64("tokens").alias("line")), "lines")
+def _templates(lines: DataFrame, placed: DataFrame, min_docs: int, constant: float, least: int) -> DataFrame:
+    """(line, template) of the lines whose constant tokens may recur: a leaf holds as many templates as its lines make."""
     # Leaves that several documents reach. Rows are (leaf, document) before they meet by leaf, so a hot leaf is counted in parts.
-    busy = placed.select("leaf", "row").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs)
-    busy = land(busy.select("leaf"), "leaves")
-    placed = placed.join(busy, "leaf", "left_semi")
+    busy = placed.where(F.col("words") > least).select("leaf", "row").distinct()
+    busy = land(busy.groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select("leaf"), "leaves")
 
     # Distinct lines of these leaves with the number of lines each stands for.
     # Most lines of prose are alone in their leaf: they are sieved out where they lie.
-    full = sieved(_lines(docs).where(long).withColumn("leaf", _leaf(lead)), busy, "leaf")
-    kinds = land(full.groupBy("leaf", "tokens").agg(F.count(F.lit(1)).alias("n")).withColumn("line", F.xxhash64("tokens")), "kinds")
-    total = kinds.groupBy("leaf").agg(F.sum("n").alias("total"))
-    cells = kinds.select("leaf", "line", "n", F.size("tokens").alias("size"), F.posexplode("tokens").alias("at", "token"))
-    seen = cells.groupBy("leaf", "at", "token").agg(F.sum("n").alias("seen")).join(total, "leaf")
-    fixed = seen.where((F.col("token") != VARIABLE) & (F.col("seen") >= share * F.col("total"))).select("leaf", "at", "token")
-    marked = cells.join(fixed.withColumn("fixed", F.lit(1)), ["leaf", "at", "token"], "left")
-    shaped = marked.groupBy("leaf", "line").agg(
-        F.max("size").alias("size"),
-        F.sum(F.coalesce("fixed", F.lit(0))).alias("fixed"),
-        F.bit_xor(F.when(F.col("fixed") == 1, F.xxhash64("at", "token"))).alias("shape"),
-    )
-    loose = F.col("fixed") < constant * F.col("size")
-    templates = shaped.select("leaf", "line", F.when(loose, F.col("line")).otherwise(F.col("shape")).alias("template"), loose.alias("literal"))
-
-    known = land(placed.join(templates, ["leaf", "line"]).select("row", "doc_id", "pos", "leaf", "template", "literal"), "templates")
-    key = ["leaf", "template", "literal"]
+    full = sieved(lines.where(F.col("words") > least).select("leaf", "words", F.array_join("tokens", " ").alias("flat")), busy, "leaf")
+    kinds = land(full.groupBy("leaf", "words", "flat").agg(F.count(F.lit(1)).alias("n")), "kinds")
+    tokens = F.split("flat", " ", -1)
+    need = F.greatest(F.lit(least), F.ceil(F.lit(constant) * F.col("words")).cast("int"))
+    cells = kinds.select(F.xxhash64(tokens).alias("line"), "n", need.alias("need"), "leaf", F.posexplode(tokens).alias("at", "token"))
+    cells = cells.where(F.col("token") != VARIABLE).select("line", "n", "need", "at", F.xxhash64("leaf", "at", "token").alias("pair"))
+    # A template of several documents has no token that fewer lines have at its place.
+    seen = land(cells.groupBy("pair").agg(F.sum("n").alias("seen")).where(F.col("seen") >= min_docs), "pairs")
+    met = sieved(cells.drop("n"), seen, "pair", unique=True)
+    order = F.array_sort(F.collect_list(F.struct((-F.col("seen")).alias("less"), "at", "pair")))  # at most the tokens of one line
+    lined = met.groupBy("line", "need").agg(order.alias("pairs")).where(F.size("pairs") >= F.col("need"))
+    return lined.select("line", F.xxhash64(F.transform(F.slice("pairs", F.lit(1), F.col("need")), lambda p: p["pair"])).alias("template"))
+
+
+def _later(known: DataFrame, key: str, docs: Column, *also: str) -> DataFrame:
+    """(row, pos) of lines whose `key` occurs in `docs` documents or more, but for those of its first document. `docs` may use the
+    columns `also`, which follow from the key."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    spread = known.select(*key, "doc_id", "row").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("docs"), F.min(order).alias("first"))
-    spread = spread.where(F.col("docs") >= min_docs).select(*key, F.col("first.row").alias("first"))
-    return known.join(spread, key).where("row <> first").select("row", "pos")
+    spread = known.select(key, *also, "doc_id", "row").distinct().groupBy(key, *also).agg(F.count(F.lit(1)).alias("docs"), F.min(order).alias("first"))
+    spread = land(spread.where(F.col("docs") >= docs).select(key, F.col("first.row").alias("first")), "spread")
+    return sieved(known.select("row", "pos", key), spread, key, unique=True).where("row <> first").select("row", "pos")
+
+
+def recurring_lines(docs: DataFrame, lead: int = 2, min_tokens: int = 4, min_docs: int = 3, constant: float = 0.75, least: int = 5, passage: int = 20) -> DataFrame:
+    """(row, pos) of the lines to drop, some of them twice. See drop_lines()."""
+    words = F.size(F.filter("tokens", lambda t: t != VARIABLE))
+    lines = _lines(docs).where(F.size("tokens") >= min_tokens).withColumns({"leaf": _leaf(lead), "words": words})
+    placed = land(lines.select("row", "doc_id", "pos", "leaf", "words", F.xxhash64("tokens").alias("line")), "lines")
+    equal = _later(placed, "line", F.when(F.col("words") >= passage, 2).otherwise(min_docs), "words")
+    templates = land(_templates(lines, placed, min_docs, constant, least), "templates")
+    known = land(sieved(placed.drop("leaf"), templates, "line", unique=True), "known")
+    return equal.unionByName(_later(known, "template", F.lit(min_docs)))
 
 
 def drop_lines(docs: DataFrame, **options) -> DataFrame:
     """`docs` without lines whose template recurs in `min_docs` documents or more: all columns, text replaced, and n_lines, n_dropped.
 
     A line goes to a leaf of a tree of fixed depth: first its number of tokens, then its `lead` leading tokens; tokens with a
-    digit count as variable from the start. In a leaf, a token that fewer than `share` of the lines have at its place is a variable
-    field. A line whose other tokens are at least `constant` of all belongs to the template they make; any other line is its own
-    template. Recurring templates are dropped wherever they occur except in the document with the smallest doc_id that has them (documents without one come last). Lines below
+    digit count as variable from the start, the others are words. A token's frequency is the number of lines of the leaf that have it at its place. The
+    template of a line with more than `least` words are its most frequent words, `constant` of them (rounded up, `least` or more; of equal
+    ones the first); its other tokens are variable fields. So a leaf has as many templates as it needs, and lines that join a
+    leaf change a line's template only by the order of its own words. Lines are dropped where their template occurs in
+    `min_docs` documents or more; lines that are equal but for tokens with a digit also, from two documents on if they have `passage` words. The
+    document with the smallest doc_id that has the template or line keeps it (documents without one come last). Lines below
     `min_tokens` tokens and empty lines always stay.
 
     Null text is empty: one empty line. A line that repeats inside one document is no recurrence. Rows that repeat a doc_id are separate
     documents. `docs` must be read from a table, so that row numbers hold; columns named n_lines or n_dropped are replaced.
     """
-    drops = land(recurring_lines(docs, **options), "dropped")
+    drops = recurring_lines(docs, **options)
     row, lost = unused(docs, "__row", "__gone")
-    gone = drops.groupBy(F.col("row").alias(row)).agg(F.collect_set("pos").alias(lost))  # at most the lines of one text
-    met = docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left")
+    gone = land(drops.groupBy(F.col("row").alias(row)).agg(F.collect_set("pos").alias(lost)), "gone")  # at most the lines of one text
+    # Documents that lose nothing are not shuffled.
+    some, others = parted(docs.withColumn(row, F.monotonically_increasing_id()), gone, row)
+    met = some.join(gone, row, "left").unionByName(others.withColumn(lost, F.lit(None).cast("array<int>")))
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     gone_map = F.map_from_arrays(lost, F.transform(lost, lambda p: F.lit(True)))
     kept = F.filter(lines, lambda _, k: ~F.coalesce(F.element_at(gone_map, k), F.lit(False)))

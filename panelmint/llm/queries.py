@@ -96,19 +96,20 @@ t AS (SELECT *, list_filter(string_split_regex(regexp_replace(line, '[^ 	-
 ]*[0-9][^ 	-
 ]*', '<*>', 'g'), '[ 	-
 ]+'), lambda x: x <> '') AS tokens FROM u),
-p AS (SELECT *, tokens[1:2] AS head, len(tokens) AS size FROM t WHERE len(tokens) >= 4),
-busy AS (SELECT size, head FROM p GROUP BY size, head HAVING count(DISTINCT row) >= 3),
-kinds AS (SELECT size, head, tokens, count(*) AS n FROM p JOIN busy USING (size, head) GROUP BY ALL),
-total AS (SELECT size, head, sum(n) AS total FROM kinds GROUP BY ALL),
-cells AS (SELECT size, head, tokens, n, unnest(range(1, size + 1)) AS place, unnest(tokens) AS token FROM kinds),
-fixed AS (SELECT size, head, place, token FROM cells JOIN total USING (size, head) GROUP BY ALL HAVING sum(n) >= 0.5 * any_value(total) AND token <> '<*>'),
-marked AS (SELECT c.size, c.head, c.tokens, c.place, c.token, f.place IS NOT NULL AS is_fixed FROM cells c LEFT JOIN fixed f
-  ON c.size = f.size AND c.head = f.head AND c.place = f.place AND c.token = f.token),
-shaped AS (SELECT size, head, tokens, list(CASE WHEN is_fixed THEN token ELSE '<*>' END ORDER BY place) AS shape, sum(is_fixed::INT) AS n_fixed FROM marked GROUP BY ALL),
-templates AS (SELECT size, head, tokens, n_fixed < 0.6 * size AS literal, CASE WHEN n_fixed < 0.6 * size THEN tokens ELSE shape END AS template FROM shaped),
-known AS (SELECT p.doc_id, p.row, p.pos, size, head, literal, template FROM p JOIN templates USING (size, head, tokens)),
-spread AS (SELECT size, head, literal, template, min(doc_id) AS first_doc FROM known GROUP BY ALL HAVING count(DISTINCT row) >= 3),
-gone AS (SELECT DISTINCT row, pos FROM known JOIN spread USING (size, head, literal, template) WHERE doc_id <> first_doc),
+p AS (SELECT *, tokens[1:2] AS head, len(tokens) AS size, len(list_filter(tokens, lambda x: x <> '<*>')) AS words FROM t WHERE len(tokens) >= 4),
+kinds AS (SELECT size, head, words, tokens, count(*) AS n FROM p WHERE words > 5 GROUP BY ALL),
+cells AS (SELECT size, head, words, tokens, n, unnest(range(1, size + 1)) AS place, unnest(tokens) AS token FROM kinds),
+seen AS (SELECT size, head, place, token, sum(n) AS seen FROM cells WHERE token <> '<*>' GROUP BY ALL),
+ranked AS (SELECT c.size, c.head, c.words, c.tokens, c.place, c.token,
+  row_number() OVER (PARTITION BY c.size, c.head, c.tokens ORDER BY s.seen DESC, c.place) AS rank
+  FROM cells c JOIN seen s ON c.size = s.size AND c.head = s.head AND c.place = s.place AND c.token = s.token),
+templates AS (SELECT size, head, tokens, list((place, token) ORDER BY place) AS template FROM ranked
+  WHERE rank <= greatest(5, ceil(0.75 * words)) GROUP BY ALL),
+known AS (SELECT p.doc_id, p.row, p.pos, size, head, template FROM p JOIN templates USING (size, head, tokens)),
+spread AS (SELECT size, head, template, min(doc_id) AS first_doc FROM known GROUP BY ALL HAVING count(DISTINCT row) >= 3),
+equals AS (SELECT tokens, min(doc_id) AS first_doc FROM p GROUP BY tokens, words HAVING count(DISTINCT row) >= CASE WHEN words >= 20 THEN 2 ELSE 3 END),
+gone AS (SELECT row, pos FROM known JOIN spread USING (size, head, template) WHERE doc_id <> first_doc
+  UNION SELECT row, pos FROM p JOIN equals USING (tokens) WHERE doc_id <> first_doc),
 lists AS (SELECT row, list(pos) AS gone FROM gone GROUP BY row)
 SELECT doc_id, len(lines)::INT AS n_lines, coalesce(len(gone), 0)::INT AS n_dropped,
   sha256(array_to_string(list_filter(lines, lambda x, i: NOT list_contains(coalesce(gone, []), i - 1)), chr(10))) AS text_sha256

@@ -94,6 +94,30 @@ def test_templates_generalise_and_leave_prose_alone(spark):
     assert (got[9].text, got[9].n_lines, got[10].text, got[10].n_dropped) == ("", 1, "", 2)
 
 
+def test_several_templates_in_one_leaf_and_dilution(spark):
+    """Three equally frequent templates of one leaf generalise, whatever other lines join that leaf; so do names in place of digits."""
+    names = [a + b for a in "ka lo mi nu pe".split() for b in "ra so ti".split()]
+    made = lambda k: [
+        f"the job was started by user {names[k]} on this host",
+        f"the job was stopped after signal from {names[k]} without error",
+        f"the job has left queue {names[k]} for another worker now",
+    ]
+    other = lambda k: "the job " + " ".join(f"{'abcdefgh'[(k + j) % 8]}{'xyzuvw'[(k * 7 + j * k) % 6]}{chr(97 + k % 26)}{chr(97 + k // 26)}" for j in range(8))
+    for extra in (0, 300):
+        rows = [(k, "\n".join(made(k))) for k in range(6)] + [(100 + k, other(k)) for k in range(extra)]
+        got = {r.doc_id: r for r in drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert [got[k].n_dropped for k in range(6)] == [0, 3, 3, 3, 3, 3]
+        assert sum(got[100 + k].n_dropped for k in range(extra)) == 0
+
+
+def test_passages_go_from_two_documents_on(spark):
+    passage = " ".join(f"w{chr(97 + k)}" for k in range(20))
+    digits = " ".join(str(k) for k in range(40))
+    rows = [(3, f"{passage}\nown line of three\n{digits}"), (1, f"{passage}\n{digits}"), (2, passage[:-3]), (4, passage[:-3]), (None, passage), (None, None)]
+    got = drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_dropped) for r in got) == [(0, 0), (0, 1), (1, 0), (2, 0), (3, 1), (4, 0)]
+
+
 def test_lines_of_odd_rows(odd, empty):
     got = drop_lines(odd)
     assert got.columns == [*odd.columns, "n_lines", "n_dropped"] and got.count() == len(ODD)
