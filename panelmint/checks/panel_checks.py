@@ -311,6 +311,24 @@ def chrono_split(spark, folder):
     )
 
 
+@query(
+    "chrono_split_approx",
+    sql.build(
+        sql.BRAND_BARS, sql.WINDOWS, sql.LOOKBACK, sql.features("month, symbol", "lookback", "feats"),
+        select="SELECT month, count(*) AS n_rows, true AS within FROM feats_full GROUP BY 1",
+    ),
+)
+def chrono_split_approx(spark, folder):
+    """Rows of each month, and whether its approximate cut is a quantile within an error of 0.01."""
+    error = 0.01
+    frame = features.windowed_forecast_frame(brands(spark, folder), YEAR)
+    split = splits.chronological_split(frame, BRANDS.train_share, error)
+    below = F.count(F.when(F.col("timestamp") < F.col("split_ts"), 1))
+    upto, n = F.count(F.when(F.col("is_train"), 1)), F.count("*")
+    within = (below <= (BRANDS.train_share + error) * n) & (upto >= (BRANDS.train_share - error) * n) & (upto > below)
+    return split.groupBy("month").agg(n.alias("n_rows"), within.alias("within"))
+
+
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
@@ -328,6 +346,31 @@ def wide_returns(spark, folder):
     return rounded(returns.wide_returns(returns.log_returns(panel, BRANDS), TYPES), *TYPES)
 
 
+@query(
+    "sparse_returns",
+    sql.build(
+        sql.EVENT_BARS, sql.RETURNS,
+        "numbers AS (SELECT symbol, row_number() OVER (ORDER BY symbol) - 1 AS number FROM (SELECT DISTINCT symbol FROM rets WHERE ret IS NOT NULL))",
+        select="""SELECT timestamp, number // 64 AS block, string_agg(number % 64, ',' ORDER BY number) AS indices,
+                  round(sum(ret), 6) AS total, round(sum(ret * (number % 64 + 1)), 6) AS weighted
+                  FROM rets JOIN numbers USING (symbol) WHERE ret IS NOT NULL GROUP BY 1, 2""",
+    ),
+)
+def sparse_returns(spark, folder):
+    """Sparse rows of all event symbols in blocks of 64, values as two sums."""
+    rets = returns.log_returns(events(spark, folder), EVENTS)
+    rows = returns.sparse_returns(rets, returns.symbol_numbers(rets), block=64)
+    zero = F.lit(0.0)
+    weighted = F.zip_with("indices", "values", lambda k, v: (k + 1) * v)
+    return rounded(
+        rows.select(
+            "timestamp", F.col("block").cast("long").alias("block"), F.array_join("indices", ",").alias("indices"),
+            F.aggregate("values", zero, lambda a, v: a + v).alias("total"), F.aggregate(weighted, zero, lambda a, v: a + v).alias("weighted"),
+        ),
+        "total", "weighted",
+    )
+
+
 @query(
     "zscore",
     sql.build(

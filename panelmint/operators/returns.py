@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelmint.config import Schedule, Settings
 from panelmint.functions.expressions import bounded_broadcast, log_ratio, month_start, with_chunk
+from panelmint.operators.ranking import distributed_rank
 
 
 def chunked_bars(panel: DataFrame, settings: Settings) -> DataFrame:
@@ -143,3 +144,23 @@ def wide_returns(returns: DataFrame, columns: list[str]) -> DataFrame:
         .agg(F.first("ret"))
         .fillna(0.0, subset=columns)
     )
+
+
+def symbol_numbers(returns: DataFrame) -> DataFrame:
+    """(symbol, number): the symbols that have a return, numbered from 0 in their order."""
+    symbols = returns.filter(F.col("symbol").isNotNull() & F.col("ret").isNotNull()).select("symbol").distinct()
+    return distributed_rank(symbols, [F.col("symbol").asc()], name="number").withColumn("number", F.col("number") - 1)
+
+
+def sparse_returns(returns: DataFrame, numbers: DataFrame, block: int = 4096) -> DataFrame:
+    """The matrix of `wide_returns` for any number of symbols: (timestamp, block, indices, values).
+
+    A row holds the returns of one timestamp for the symbols numbered `block` x `block size` and on; indices ascend and count from the start of the
+    block, so no row is wider than `block`. What is not listed is 0: symbols without a return, blocks without a row. A timestamp has a return of a
+    symbol at most once, as `log_returns` gives it. Returns that are null, and those of symbols without a number, are left out.
+    """
+    known = returns.filter(F.col("ret").isNotNull()).join(numbers, "symbol")
+    cell = F.struct((F.col("number") % block).cast("int").alias("at"), "ret")
+    grouped = known.groupBy("timestamp", F.floor(F.col("number") / block).cast("int").alias("block"))
+    rows = grouped.agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    return rows.select("timestamp", "block", F.col("cells.at").alias("indices"), F.col("cells.ret").alias("values"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,12 +53,26 @@ def row_cap(frame: DataFrame, cap: int) -> DataFrame:
     return kept.unionByName(ranked.filter(F.col("rank") <= F.col("left")).select(frame.columns))
 
 
-def chronological_split(frame: DataFrame, train_share: float) -> DataFrame:
+def approximate_cut(frame: DataFrame, train_share: float, error: float) -> DataFrame:
+    """Per month, a time whose rank is within `error` of the `train_share` quantile, as a share of the month's rows.
+
+    Each task summarises the times it reads; summaries merge by month, so neither rows nor timestamps are sorted or shuffled. A null
+    month is a month of its own; a month without times has none.
+    """
+    if not 0 < error < 1:
+        raise ValueError("error is a share of the rows between 0 and 1")
+    return frame.groupBy("month").agg(F.percentile_approx("timestamp", train_share, ceil(1 / error)).alias("split_ts"))
+
+
+def chronological_split(frame: DataFrame, train_share: float, error: float | None = None) -> DataFrame:
     """Per month, rows up to the `train_share` quantile of event time are for training.
 
-    The quantile is exact: rows are first counted per timestamp, and a lookback has few of those.
-    Adds `split_ts` and `is_train`.
+    The quantile is exact: rows are first counted per timestamp, and a lookback has few of those. With `error` it comes from
+    `approximate_cut`. Adds `split_ts` and `is_train`.
     """
+    if error is not None:
+        cut = approximate_cut(frame, train_share, error)
+        return frame.join(F.broadcast(cut), "month").withColumn("is_train", F.col("timestamp") <= F.col("split_ts"))
     per_stamp = frame.groupBy("month", "timestamp").agg(F.count("*").alias("n"))
     by_time = Window.partitionBy("month").orderBy("timestamp")
     shares = per_stamp.withColumn(

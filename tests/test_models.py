@@ -145,3 +145,22 @@ def test_chronological_split_takes_the_exact_quantile(spark):
     cut = {r["month"]: r["split_ts"].day for r in got.collect()}
     assert cut == {1: 6, 2: 1}
     assert got.filter("month = 1 and is_train").count() == 8
+
+
+@pytest.mark.parametrize("error", [0.01, 0.001])
+def test_approximate_split_keeps_its_error(spark, error):
+    """Sorted, skewed and tied times, and a single row; ranks against the exact ones."""
+    rng = np.random.default_rng(6)
+    at = lambda s: datetime(2025, 1, 1) + timedelta(seconds=int(s))
+    months = {1: np.arange(20_000), 2: (rng.pareto(0.7, 20_000) * 100).clip(0, 1e8), 3: rng.integers(0, 4, 20_000), 4: np.array([7])}
+    rows = [(m, "A", at(s)) for m, seconds in months.items() for s in seconds]
+    frame = spark.createDataFrame(rows, "month int, symbol string, timestamp timestamp_ntz").repartition(6)
+    cuts = {r["month"]: r["split_ts"] for r in splits.approximate_cut(frame, 0.8, error).collect()}
+    for m, seconds in months.items():
+        times = np.sort([at(s) for s in seconds])
+        low, high = np.searchsorted(times, cuts[m], "left"), np.searchsorted(times, cuts[m], "right")
+        assert low < high and low <= (0.8 + error) * len(times) and high >= (0.8 - error) * len(times)
+    split = splits.chronological_split(frame, 0.8, error)
+    assert split.where("is_train <> (timestamp <= split_ts)").count() == 0 and split.count() == len(rows)
+    with pytest.raises(ValueError):
+        splits.approximate_cut(frame, 0.8, 0.0)

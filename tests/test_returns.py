@@ -118,3 +118,25 @@ def test_wide_matrix_is_zero_filled(make_panel):
     panel = make_panel([("A", START, 1.0), ("A", START + BAR, 2.0), ("B", START + BAR, 1.0), ("B", START + 2 * BAR, 3.0)])
     wide = returns.wide_returns(returns.log_returns(panel, Settings()), ["A", "B"]).orderBy("timestamp").collect()
     assert [(r["A"], r["B"]) for r in wide] == [(pytest.approx(np.log(2)), 0.0), (0.0, pytest.approx(np.log(3)))]
+
+
+def test_sparse_rows_are_the_wide_matrix(ragged):
+    panel, _ = ragged
+    rets = returns.log_returns(panel, Settings())
+    numbers = returns.symbol_numbers(rets)
+    order = [r["symbol"] for r in sorted(numbers.collect(), key=lambda r: r["number"])]
+    assert order == sorted(order) and [r["number"] for r in sorted(numbers.collect())] == list(range(len(order)))
+    want = {r["timestamp"]: [r[c] for c in order] for r in returns.wide_returns(rets, order).collect()}
+    for block in (5, 4096):
+        got = {}
+        for r in returns.sparse_returns(rets, numbers, block).collect():
+            assert r["indices"] == sorted(r["indices"]) and len(r["values"]) == len(r["indices"]) <= block
+            row = got.setdefault(r["timestamp"], [0.0] * len(order))
+            for k, v in zip(r["indices"], r["values"]):
+                row[r["block"] * block + k] = v
+        assert got == want
+
+
+def test_sparse_rows_of_an_empty_panel(make_panel):
+    rets = returns.log_returns(make_panel([]), Settings())
+    assert returns.sparse_returns(rets, returns.symbol_numbers(rets)).count() == 0
