@@ -21,7 +21,7 @@ from panelmint.operators.models import cluster_assets, monthly_predictions
 from panelmint.operators.returns import lookback_bars, only_symbols, time_range, window_bar_returns, windowed_returns
 from panelmint.operators.selection import as_members, candidate_cap, round_robin, top_residual, top_sharpe
 from panelmint.operators.splits import chronological_split
-from panelmint.operators.strong_pairs import strong_pairs
+from panelmint.operators.strong_pairs import StagedPairs, staged_pairs, strong_pairs
 from panelmint.operators.tournament import tournament
 from panelmint.operators.weights import (
     benchmark_weights,
@@ -42,7 +42,7 @@ class WalkForward:
 
     The bars of the calendar's time range are written once to the checkpoint folder, and every
     strategy reads them there. One row per month and symbol, the candidates, their returns and
-    pair moments are kept for all strategies.
+    the pair moments of dense components are kept for all strategies.
     """
 
     panel: DataFrame
@@ -95,12 +95,18 @@ class WalkForward:
 
     def edges(self) -> DataFrame:
         """Correlations of the candidates; matrix rows are all timestamps with any return."""
-        return corr.correlations(self.moments, corr.rows_with_any_return(self.bars(), self.series))
+        moments = corr.pair_moments(self.chosen, self.settings)
+        return corr.correlations(moments, corr.rows_with_any_return(self.bars(), self.series))
 
     def strong_edges(self) -> DataFrame:
         """The pairs above the threshold, without the matrix."""
         return strong_pairs(self.chosen, corr.rows_with_any_return(self.bars(), self.series), self.settings)
 
+    def staged_edges(self) -> StagedPairs:
+        """The same for the tournament, block by block."""
+        rows = corr.rows_with_any_return(self.bars(), self.series)
+        return staged_pairs(self.chosen, rows, self.candidates, self.settings)
+
     def survivors(self) -> DataFrame:
         return tournament(self.strong_edges(), self.candidates, self.settings, self.schedule.months)
 
