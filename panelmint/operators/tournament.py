@@ -2,6 +2,10 @@
 
 Pairs are walked in matrix order. A pair counts only while both its symbols are alive and both
 have a known Sharpe ratio; the lower Sharpe loses, a tie drops the later symbol.
+
+Pairs that are given block by block (`StagedPairs`) are walked in stages. A block of the matrix order is walked within itself by one task;
+only its survivors meet the live symbols behind it, and those pairs are walked in rounds. So the pairs that are written follow the
+symbols that drop out, not the strong pairs: of a family of n look-alikes a symbol or two ever meet the others.
 """
 
 from __future__ import annotations
@@ -11,7 +15,13 @@ from pyspark.sql import functions as F
 
 from panelmint.config import Settings
 from panelmint.functions.expressions import bounded_broadcast, finite
-from panelmint.session import ensure_checkpoint_dir
+from panelmint.operators.strong_pairs import StagedPairs
+from panelmint.session import ensure_checkpoint_dir, written_once
+
+
+# Partitions of the losers so far, two numbers each, that every stage reads.
+FEW = 16
+
 
 def contests(edges: DataFrame, members: DataFrame, settings: Settings, months: int = 1) -> DataFrame:
     """Pairs above the threshold with their loser: `month, i, j, loser`."""
@@ -59,6 +69,22 @@ def losers(pairs: DataFrame) -> DataFrame:
     return gone
 
 
-def tournament(edges: DataFrame, members: DataFrame, settings: Settings, months: int = 1) -> DataFrame:
+def staged_losers(pairs: StagedPairs, members: DataFrame, settings: Settings, months: int = 1) -> DataFrame:
+    """The losers of all stages: `month, ord`."""
+    gone = members.select("month", "ord").limit(0)
+    for stage in pairs.stages():
+        heads, lost = stage.inside(gone)
+        gone = written_once(gone.unionByName(lost).coalesce(FEW))
+        if stage.block + 1 < pairs.blocks:
+            met = contests(stage.beyond(heads, gone), members, settings, months)
+            gone = written_once(gone.unionByName(losers(met)).coalesce(FEW))
+    return gone
+
+
+def tournament(edges: DataFrame | StagedPairs, members: DataFrame, settings: Settings, months: int = 1) -> DataFrame:
     """Members that survive: `members` without the losers."""
-    return members.join(losers(contests(edges, members, settings, months)), ["month", "ord"], "left_anti")
+    if isinstance(edges, StagedPairs):
+        out = staged_losers(edges, members, settings, months)
+    else:
+        out = losers(contests(edges, members, settings, months))
+    return members.join(out, ["month", "ord"], "left_anti")

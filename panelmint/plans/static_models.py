@@ -84,7 +84,7 @@ class StaticModels:
     def survivors(self) -> DataFrame:
         """Universe in matrix order (most bars first), metrics where known, losers left out."""
         members = self.universe.join(self.metrics, ["month", "symbol"], "left")
-        return tournament(self.strong_edges(), members, self.settings)
+        return tournament(self.staged_edges(members), members, self.settings)
 
     def smart_basket(self) -> DataFrame:
         """The universe, correlation tournament, best Sharpe ratios, inverse-volatility weights."""

@@ -108,7 +108,7 @@ class WalkForward:
         return staged_pairs(self.chosen, rows, self.candidates, self.settings)
 
     def survivors(self) -> DataFrame:
-        return tournament(self.strong_edges(), self.candidates, self.settings, self.schedule.months)
+        return tournament(self.staged_edges(), self.candidates, self.settings, self.schedule.months)
 
     def benchmark(self) -> DataFrame:
         return benchmark_weights(self.panel.sparkSession, self.benchmark_symbol, self.schedule)

@@ -63,3 +63,44 @@ def test_block_width_follows_the_length_of_the_matrix(spark):
     assert width_for(rows, 64, wide, 4) == 4 and width_for(rows, 64 * SIDES, wide, 4) == 64
     assert width_for(rows, 10**9, wide, 4) == 1000 and width_for(rows, 10**9, wide, 10**9) == 1000
     assert width_for(rows, 10, Settings(block_cells=7), 4) == 1 and width_for(rows.limit(0), 0, wide, 4) == 4
+
+
+def sequential(rho, members, theta):
+    """The walk over the whole matrix in matrix order."""
+    sharpe = {m.ord: m.sharpe for m in members}
+    dropped = set()
+    for i, j in sorted(rho):
+        if rho[i, j] is None or abs(rho[i, j]) <= theta or sharpe[i] is None or sharpe[j] is None or {i, j} & dropped:
+            continue
+        dropped.add(i if sharpe[i] < sharpe[j] else j)
+    return {m.symbol for m in members} - {m.symbol for m in members if m.ord in dropped}
+
+
+@pytest.mark.parametrize("cells", [300, 10**6])
+@pytest.mark.parametrize("theta", [0.2, 0.5, 0.95])
+def test_stages_equal_the_sequential_walk(families, cells, theta):
+    settings = replace(SMALL, block_cells=cells, theta=theta)
+    model = StaticModels(families, settings)
+    members = model.universe.join(model.metrics, ["month", "symbol"], "left").collect()
+    rho = {(r.i, r.j): r.rho for r in model.edges().collect()}
+    assert {r.symbol for r in model.survivors().collect()} == sequential(rho, members, theta)
+
+
+def test_look_alikes_do_not_multiply_the_pairs(make_panel):
+    """Of a family of look-alikes at most the survivors of a block meet the others: pairs follow the symbols, not their squares."""
+    rng = np.random.default_rng(2)
+    price = 100 * np.exp(np.cumsum(rng.normal(0, 0.02, 30)))
+    written = {}
+    for copies in (20, 40):
+        panel = make_panel([(f"S{c:03d}", START + k * BAR, float(price[k])) for c in range(copies) for k in range(30)])
+        model = StaticModels(panel, replace(SMALL, block_cells=29 * 8))
+        members = model.universe.join(model.metrics, ["month", "symbol"], "left")
+        gone = members.select("month", "ord").limit(0)
+        written[copies] = 0
+        for stage in model.staged_edges(members).stages():
+            heads, lost = stage.inside(gone)
+            gone = gone.unionByName(lost)
+            written[copies] += stage.beyond(heads, gone).count()
+            gone = gone.unionByName(stage.beyond(heads, gone).select("month", F.col("j").alias("ord")))
+        assert [r.symbol for r in model.survivors().collect()] == ["S000"]
+        assert 0 < written[copies] < copies
