@@ -47,6 +47,18 @@ def test_pairs_are_streamed_to_the_named_edges(families):
     assert edges.count() == n * (n - 1) // 2 == edges.select("symbol_i", "symbol_j").distinct().count()
 
 
+def test_summary_streams_the_pairs(families):
+    """Only one row per task of the summary is shuffled, and no pair is kept."""
+    model = StaticModels(families, SMALL)
+    summary = corr.matrix_summary(model.edges())
+    above, product, _ = plan(summary).partition("CartesianProduct")
+    assert product and above.count("Exchange") == above.count("Exchange SinglePartition") == 1
+    assert "moments" not in model.__dict__
+    rho = [r.rho for r in model.edges().collect()]
+    row, defined = summary.first(), [v for v in rho if v is not None]
+    assert (row.pairs, row.defined_pairs) == (len(rho), len(defined)) and row.max_rho == pytest.approx(max(defined))
+
+
 def test_cells_are_written_once_whatever_the_blocks(families):
     model = StaticModels(families, SMALL)
     moments = corr.pair_moments(model.chosen, SMALL)
