@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelmint.config import Settings
 from panelmint.operators import correlation as corr
 from panelmint.operators.blocks import SIDES, width_for
+from panelmint.operators.tournament import contests, tournament
 from panelmint.plans.static_models import StaticModels
 from tests.conftest import BAR, START
 
@@ -116,3 +117,16 @@ def test_look_alikes_do_not_multiply_the_pairs(make_panel):
             gone = gone.unionByName(stage.beyond(heads, gone).select("month", F.col("j").alias("ord")))
         assert [r.symbol for r in model.survivors().collect()] == ["S000"]
         assert 0 < written[copies] < copies
+
+
+def test_basket_of_stages_equals_that_of_all_strong_pairs(families):
+    """And the rounds of the stages see fewer pairs than there are strong ones."""
+    model = StaticModels(families, replace(SMALL, top_n=5))
+    members = model.universe.join(model.metrics, ["month", "symbol"], "left")
+    whole = tournament(model.strong_edges(), members, model.settings)
+    keyed = lambda frame: {r.symbol: r.weight for r in frame.collect()}
+    want, got = keyed(model._basket(whole)), keyed(model.smart_basket())
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    first = next(iter(model.staged_edges(members).stages()))
+    heads, lost = first.inside(members.select("month", "ord").limit(0))
+    assert lost.count() and first.beyond(heads, lost).count() < contests(model.strong_edges(), members, model.settings).count()
