@@ -2,32 +2,52 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelmint.llm.common import land, parted, sieved, unused
 
-GAP = r"[\x20\x09-\x0D]+"
-FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+#: What parts tokens besides the space; a line holds no line feed.
+BLANKS = "\t\x0b\x0c\r"
+#: A whole token with a digit in it, in a line parted by spaces alone. Possessive, from the token's start: each character is read once.
+FIELD = "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
 VARIABLE = "<*>"
 
+def _size(flat: Column) -> Column:
+    spaces = F.octet_length(flat) - F.octet_length(F.replace(flat, F.lit(" "), F.lit("")))
+    return F.when(flat == "", 0).otherwise(spaces + 1)
+
+
+def _words(flat: Column, size: Column) -> Column:
+    listed = F.size(F.array_remove(F.split(flat, " ", -1), VARIABLE))
+    return F.when(F.contains(flat, F.lit(VARIABLE)), listed).otherwise(size)
+
 
-def _masked(line: Column) -> Column:
-    """Tokens with a digit are variable fields by themselves."""
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, VARIABLE)).otherwise(line)
+#: From a line to `flat`, its tokens with one space between and those with a digit as variable fields; `size`, the number of tokens; and
+#: `words`, of those that are no variable fields.
+STEPS = (
+    lambda line: F.when(line.rlike(f"[{BLANKS}]"), F.translate(line, BLANKS, " " * len(BLANKS))).otherwise(line),
+    lambda line: F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, VARIABLE)).otherwise(line),
+    lambda line: F.trim(F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " {2,}", " ")).otherwise(line)),
+    lambda flat: F.struct(flat.alias("flat"), _size(flat).alias("size")),
+    lambda line: F.struct(line["flat"].alias("flat"), line["size"].alias("size"), _words(line["flat"], line["size"]).alias("words")),
+)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, pos, tokens) of every line."""
+    """(row, doc_id, pos, flat, size, words) of every line. They are made inside the generator, step by step: Spark would
+    make them again wherever they are used twice, in filters above all. No line becomes an array here."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    rows = rows.select("row", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    return rows.select("row", "doc_id", "pos", F.filter(F.split(_masked(F.col("line")), GAP), lambda t: t != "").alias("tokens"))
+    rows = rows.select("row", "doc_id", F.posexplode(reduce(F.transform, STEPS, F.split("text", "\n", -1))).alias("pos", "line"))
+    return rows.select("row", "doc_id", "pos", "line.flat", "line.size", "line.words")
 
 
 def _leaf(lead: int) -> Column:
     """Place in the tree: token count at the first level, leading tokens below. Also the digest that lines meet by."""
-    return F.xxhash64(F.size("tokens"), F.slice("tokens", 1, lead))
+    return F.xxhash64("size", F.substring_index("flat", " ", lead))
 
 
 def _templates(lines: DataFrame, placed: DataFrame, min_docs: int, constant: float, least: int) -> DataFrame:
@@ -38,11 +58,12 @@ def _templates(lines: DataFrame, placed: DataFrame, min_docs: int, constant: flo
 
     # Distinct lines of these leaves with the number of lines each stands for.
     # Most lines of prose are alone in their leaf: they are sieved out where they lie.
-    full = sieved(lines.where(F.col("words") > least).select("leaf", "words", F.array_join("tokens", " ").alias("flat")), busy, "leaf")
+    full = sieved(lines.where(F.col("words") > least).select("leaf", "words", "flat"), busy, "leaf")
     kinds = land(full.groupBy("leaf", "words", "flat").agg(F.count(F.lit(1)).alias("n")), "kinds")
-    tokens = F.split("flat", " ", -1)
     need = F.greatest(F.lit(least), F.ceil(F.lit(constant) * F.col("words")).cast("int"))
-    cells = kinds.select(F.xxhash64(tokens).alias("line"), "n", need.alias("need"), "leaf", F.posexplode(tokens).alias("at", "token"))
+    # In a step of its own: beside the generator, a line's digest would be made once for each of its tokens.
+    kinds = kinds.select(F.xxhash64("flat").alias("line"), "n", need.alias("need"), "leaf", "flat")
+    cells = kinds.select("line", "n", "need", "leaf", F.posexplode(F.split("flat", " ", -1)).alias("at", "token"))
     cells = cells.where(F.col("token") != VARIABLE).select("line", "n", "need", "at", F.xxhash64("leaf", "at", "token").alias("pair"))
     # A template of several documents has no token that fewer lines have at its place.
     seen = land(cells.groupBy("pair").agg(F.sum("n").alias("seen")).where(F.col("seen") >= min_docs), "pairs")
@@ -63,9 +84,8 @@ def _later(known: DataFrame, key: str, docs: Column, *also: str) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, lead: int = 2, min_tokens: int = 4, min_docs: int = 3, constant: float = 0.75, least: int = 5, passage: int = 20) -> DataFrame:
     """(row, pos) of the lines to drop, some of them twice. See drop_lines()."""
-    words = F.size(F.filter("tokens", lambda t: t != VARIABLE))
-    lines = _lines(docs).where(F.size("tokens") >= min_tokens).withColumns({"leaf": _leaf(lead), "words": words})
-    placed = land(lines.select("row", "doc_id", "pos", "leaf", "words", F.xxhash64("tokens").alias("line")), "lines")
+    lines = _lines(docs).where(F.col("size") >= min_tokens).withColumn("leaf", _leaf(lead))
+    placed = land(lines.select("row", "doc_id", "pos", "leaf", "words", F.xxhash64("flat").alias("line")), "lines")
     equal = _later(placed, "line", F.when(F.col("words") >= passage, 2).otherwise(min_docs), "words")
     templates = land(_templates(lines, placed, min_docs, constant, least), "templates")
     known = land(sieved(placed.drop("leaf"), templates, "line", unique=True), "known")

@@ -1,9 +1,11 @@
+import re
 from collections import Counter
 
 import numpy as np
 
-from panelmint.llm.common import components
-from panelmint.llm.line_templates import drop_lines
+from panelmint.llm import line_templates
+from panelmint.llm.common import components, land
+from panelmint.llm.line_templates import _lines, drop_lines
 from panelmint.llm.nn_descent import audit_recall, near_vectors, usable
 from tests.llm.conftest import ODD
 
@@ -122,3 +124,35 @@ def test_lines_of_odd_rows(odd, empty):
     got = drop_lines(odd)
     assert got.columns == [*odd.columns, "n_lines", "n_dropped"] and got.count() == len(ODD)
     assert drop_lines(empty).count() == 0
+
+
+def test_lines_are_read_once_and_like_their_definition(spark):
+    parts = ["a", "b1", "<*>", "é9é", "7", "x\x1cy", "\U0001f600z3", "\u00a04", "zz"]
+    gaps = [" ", "  ", "\t", "\x0b", "\x0c\r", " \t ", "\u2003"]
+    rng = np.random.default_rng(5)
+    lines = ["", " ", "\t\r", "1", " 1 "] + ["".join(rng.choice(gaps) + rng.choice(parts) for _ in range(n)) + rng.choice(["", *gaps]) for n in rng.integers(1, 9, 200)]
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, None)], "doc_id long, text string")
+    got = {(r.doc_id, r.pos): (r.flat, r.size, r.words) for r in _lines(docs).collect()}
+    want = {(2, 0): ("", 0, 0)}
+    for k, line in enumerate(lines):
+        tokens = ["<*>" if re.search("[0-9]", t) else t for t in re.split(r"[\x20\x09-\x0D]+", line) if t]
+        want[1, k] = (" ".join(tokens), len(tokens), sum(t != "<*>" for t in tokens))
+    assert got == want
+    # Filters on what a line is made into do not make it again: one mask and one squeeze in the whole plan.
+    plan = _lines(docs).where("size >= 4 and words > 5").select("row", "flat", "words")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 2, plan
+
+
+def test_a_digest_is_made_once_for_each_line(spark, monkeypatch):
+    plans = []
+
+    def noted(frame, name):
+        plans.append((name, frame._jdf.queryExecution().optimizedPlan().toString()))
+        return land(frame, name)
+
+    monkeypatch.setattr(line_templates, "land", noted)
+    rows = [(k, f"the job was started by user {name} on this host") for k, name in enumerate("alpha beta gamma delta".split())]
+    assert sorted(r.n_dropped for r in drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [0, 1, 1, 1]
+    plan = next(p for name, p in plans if name == "templates").splitlines()
+    above = plan[: next(k for k, line in enumerate(plan) if "Generate posexplode(split(flat" in line)]
+    assert not any("xxhash64(flat" in line or "xxhash64(split(flat" in line for line in above), "\n".join(plan)
