@@ -1,8 +1,9 @@
 import re
+import time
 
 import pytest
 
-from panelmint.llm.common import WordCache, sieved
+from panelmint.llm.common import WordCache, land, sieved
 from pyspark.sql import functions as F
 
 
@@ -43,3 +44,24 @@ def test_word_cache_is_bounded_in_bytes():
         words = {b"w%d" % k, b"x" * 300}
         assert {w: cache.learn(words)(w) for w in words} == {w: len(w) for w in words}
         assert cache.held <= 1000 + 2 * 450
+
+
+def test_landing_leaves_no_shuffle_files(spark, no_broadcast):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        blocks = manager.getAllBlocks()
+        return {str(blocks.apply(k)) for k in range(blocks.size()) if str(blocks.apply(k)).startswith("shuffle_")}
+
+    held = shuffled()
+    rows = spark.range(1000).withColumn("key", F.col("id") % 7)
+    landed = land(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "shuffled")
+    for _ in range(50):
+        if not shuffled() - held:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - held
+    assert spark.conf.get(name, None) == before
+    assert sorted(map(tuple, landed.collect()))[:2] == [(0, 143), (1, 143)]
