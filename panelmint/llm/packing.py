@@ -10,12 +10,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelmint.llm.common import land, texts
+from panelmint.llm.common import land, small_batches, texts
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000  # some 60 MB in each of the two generations, in each Python worker
+LOT_BYTES = 4 << 20
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -38,6 +41,7 @@ class WordEncoder:
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.width[number] = len(token)
+        self.stops = dict(zip(".,;:!?", self._ids(list(".,;:!?"))))
 
     def _ids(self, strings: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
@@ -56,33 +60,82 @@ class WordEncoder:
         flat = ids.tobytes()
         return [flat[4 * a : 4 * b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
 
-    def encode(self, batch: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+    def _kept_ids(self, words: list[str]) -> list[bytes | None]:
+        """Ids of distinct words behind a space each; None for a word that is not cut there for sure (empty, or with white space at an end).
+
+        A last stop or comma behind an ASCII letter or digit is always cut off, so the word before it is looked up instead.
+        """
         if len(self.kept) > CACHE_WORDS:
             self.older, self.kept = self.kept, {}
-        split = [text.split(" ") for text in batch]
-        fresh: set[str] = set()
-        for words in split:
-            fresh.update(words[1:])
-        fresh -= self.kept.keys()
-        self.kept.update((w, self.older[w]) for w in fresh & self.older.keys())
-        new = [w for w in fresh - self.older.keys() if w and not (w[0].isspace() or w[-1].isspace())]
-        self.kept.update(zip(new, self._word_ids(new)))
-
-        alone = [w[0] if w[0] and not (w[0][0].isspace() or w[0][-1].isspace()) else "" for w in split]
-        out: list[bytes | None] = []
-        get, whole = self.kept.__getitem__, []
-        for k, (text, words, first) in enumerate(zip(batch, split, self._ids(alone))):
-            try:
-                if text and not alone[k]:
-                    raise KeyError(words[0])
-                out.append(first + b"".join(map(get, words[1:])))
-            except KeyError:  # a space beside another white space
-                whole.append(k)
-                out.append(None)
-        for k, ids in zip(whole, self._ids([batch[k] for k in whole])):
-            out[k] = ids
-        return out
+        kept, older = self.kept, self.older
+        found = list(map(kept.get, words))
+        new: dict[str, None] = {}
+        later = []
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            w = words[k]
+            if w in older:
+                found[k] = kept[w] = older[w]
+            elif w and not (w[0].isspace() or w[-1].isspace()):
+                stem = w[:-1] if w[-1] in self.stops and w[-2:-1].isascii() and w[-2:-1].isalnum() else w
+                later.append((k, stem))
+                if stem not in kept:
+                    if stem in older:
+                        kept[stem] = older[stem]
+                    else:
+                        new[stem] = None
+        kept.update(zip(new, self._word_ids(list(new))))
+        for k, stem in later:
+            w = words[k]
+            found[k] = kept[w] = kept[stem] if stem is w else kept[stem] + self.stops[w[-1]]
+        return found
+
+    def flat(self, batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (none null) one after the other, and how many each text has.
+
+        Arrow cuts the texts and finds the batch's distinct words, so only these are looked up one by one; places are
+        filled by gathering runs of ids.
+        """
+        if not len(batch):
+            return np.empty(0, "<u4"), np.empty(0, np.int64)
+        split = pc.split_pattern(batch, " ")
+        sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        place, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+        del split, coded
+        found = self._kept_ids(words)
+        first = np.cumsum(sizes) - sizes
+        start = [words[k] for k in place[first].tolist()]
+        alone = [w if w and not (w[0].isspace() or w[-1].isspace()) else "" for w in start]
+
+        # Texts with a space beside another white space are encoded whole: all their ids stand at the first place.
+        whole = np.array([bool(w) and not a for w, a in zip(start, alone)])
+        if None in found:
+            odd = np.array([ids is None for ids in found])[place]
+            odd[first] = False
+            whole |= np.logical_or.reduceat(odd, first)
+        heads = self._ids(alone)
+        some = np.flatnonzero(whole)
+        for k, ids in zip(some.tolist(), self._ids(batch.take(pa.array(some)).to_pylist())):
+            heads[k] = ids
+        runs = [ids or b"" for ids in found] + heads + [b""]
+        if len(some):
+            place = np.where(np.repeat(whole, sizes), np.int32(len(runs) - 1), place)
+        else:
+            place = place.copy()
+        place[first] = len(words) + np.arange(len(first))
+        pool = np.frombuffer(b"".join(runs), "<u4")
+        length = np.fromiter(map(len, runs), np.int32, len(runs)) >> 2
+        begins = np.cumsum(length, dtype=np.int32) - length
+        each = length[place]
+        ends = np.cumsum(each, dtype=np.int32)
+        at = np.repeat(begins[place] - (ends - each), each)
+        at += np.arange(len(at), dtype=np.int32)
+        return pool[at], np.add.reduceat(each, first, dtype=np.int64)
+
+    def encode(self, batch: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        ids, sizes = self.flat(pa.array(batch, pa.string()))
+        return [part.tobytes() for part in np.split(ids, np.cumsum(sizes)[:-1])] if batch else []
 
 
 def encoder(path: str) -> WordEncoder:
@@ -93,6 +146,18 @@ def encoder(path: str) -> WordEncoder:
 
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
+PIECE_NAMES = [c.split()[0] for c in PIECE.split(", ")]
+PIECE_TYPES = [pa.int64() if c.endswith("long") else pa.int32() for c in PIECE.split(", ")]
+
+
+def lots(batch: pa.RecordBatch, size: int = LOT_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in lots of about `size` bytes of text, one row at least."""
+    ends = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64))
+    k = 0
+    while k < len(ends):
+        after = max(k + 1, int(np.searchsorted(ends, size + (ends[k - 1] if k else 0), side="right")))
+        yield batch.slice(k, after - k)
+        k = after
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> DataFrame:
@@ -102,25 +167,27 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0)
     """
     tail = np.asarray([end_id], "<u4").tobytes()
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, seen, encode = TaskContext.get().partitionId(), defaultdict(int), encoder(tokenizer).encode
-        for frame in frames:
-            for k in range(0, len(frame), 256):
-                some = frame.iloc[k : k + 256]
-                out = []
-                for doc, ids in zip(some["doc_id"], encode(some["text"].tolist())):
-                    ids += tail
-                    n = len(ids) // 4
+        part, seen, flat = TaskContext.get().partitionId(), defaultdict(int), encoder(tokenizer).flat
+        for batch in batches:
+            for some in lots(batch):
+                ids, sizes = flat(some["text"])
+                out, data, at = [], memoryview(ids).cast("B"), 0
+                for doc, size in zip(some["doc_id"].to_pylist(), sizes.tolist()):
+                    n = size + 1
                     first = (n - 1) % capacity + 1
-                    edges = [0, *range(first, n + 1, capacity)]
-                    for piece, (a, b) in enumerate(zip(edges, edges[1:])):
-                        out.append((doc, piece, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), part, seen[b - a]))
+                    a, piece = 0, 0
+                    for b in range(first, n + 1, capacity):
+                        crc = zlib.crc32(data[4 * (at + a) : 4 * (at + min(b, size))])
+                        out.append((doc, piece, a, b - a, zlib.crc32(tail, crc) if b == n else crc, part, seen[b - a]))
                         seen[b - a] += 1
-                yield pd.DataFrame(out, columns=[c.split()[0] for c in PIECE.split(", ")]).astype({"doc_id": "Int64"})
+                        a, piece = b, piece + 1
+                    at += size
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), PIECE_TYPES)], names=PIECE_NAMES)
 
-    return texts(docs).mapInPandas(cut, PIECE)
+    return texts(docs).mapInArrow(cut, PIECE)
 
 
 def match_runs(pieces: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -202,7 +269,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0)
     Null text is empty; an empty text is one piece with `end_id` alone. Every row is a document, also when ids
     repeat. An empty table gives an empty result.
     """
-    pieces = land(cut_pieces(docs, tokenizer, capacity, end_id), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = land(cut_pieces(docs, tokenizer, capacity, end_id), "pieces")
     counts = land(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))

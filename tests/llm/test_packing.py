@@ -5,9 +5,10 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from panelmint.llm.packing import encoder, match_runs, pack
+from panelmint.llm.packing import WordEncoder, encoder, lots, match_runs, pack
 from tests.llm.conftest import ODD
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +20,31 @@ def test_encoder_equals_the_tokenizer():
     assert e.encode(odd) == e._ids(odd) == e.encode(odd)
 
 
+def test_encoder_goes_through_the_batch_only():
+    """Texts met before cost a look-up for each distinct word; what else is kept is not gone through, and stems serve words with a stop."""
+
+    class Kept(dict):
+        def keys(self):
+            raise AssertionError("all kept words are gone through")
+
+        __iter__ = items = values = keys
+
+    e = WordEncoder(PATH)
+    e.kept, e.older = Kept(), Kept()
+    encoded = []
+    word_ids, e._word_ids = e._word_ids, lambda words: encoded.extend(words) or word_ids(words)
+    batch = ["a quick fox, a quick! fox. é, é don't, 3. 3", "x quick, fox; <|endoftext|>, ..., x., ß. ..", ""]
+    assert e.encode(batch) == e._ids(batch) and sorted(encoded) == sorted(set(encoded))
+    assert encoded.count("quick") == 1 and not {"quick,", "quick!", "fox,", "3."} & set(encoded)
+    assert e.encode([]) == [] and e.encode([""]) == [b""]
+
+
+def test_lots_hold_whole_rows():
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * n for n in (5, 5, 0, 30, 1, 1, 20)]})
+    parts = [lot["text"].to_pylist() for lot in lots(batch, 10)]
+    assert [len(p) for p in parts] == [3, 1, 2, 1] and sum(parts, []) == batch["text"].to_pylist()
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_matching_is_feasible_and_dense(seed):
     rng = random.Random(seed)
