@@ -15,11 +15,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelmint.llm.common import land, small_batches, texts
+from panelmint.llm.common import KEPT, land, small_batches, texts
 
-CACHE_WORDS = 300_000  # some 60 MB in each of the two generations, in each Python worker
-LOT_BYTES = 4 << 20
-_ENCODERS: dict[str, "WordEncoder"] = {}
+CACHE_WORDS = 200_000  # some 40 MB in each of the two generations, in each Python worker
+LOT_BYTES = 2 << 20
 
 
 class WordEncoder:
@@ -139,10 +138,11 @@ class WordEncoder:
 
 
 def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
+    """The worker's encoder, kept for its next tasks until another operator needs the room."""
+    if path not in KEPT:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+        KEPT[path] = WordEncoder(path)
+    return KEPT[path]
 
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"

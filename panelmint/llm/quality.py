@@ -7,11 +7,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmint.llm.common import WordCache, texts
+from panelmint.llm.common import WordCache, small_batches, texts
 
 SHAPES, ENDINGS, RATES = 96, 96, 6
 WIDTH = SHAPES + ENDINGS + RATES
@@ -159,7 +160,9 @@ def learn_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, passag
                 cuts = np.cumsum(bags)[:-1]
                 yield pd.DataFrame({"doc_id": some["doc_id"].to_numpy(), "quality": some["quality"].to_numpy(), "rows": [p.astype("<f2").tobytes() for p in np.split(x, cuts)]})
 
-    found = sorted(chosen.mapInPandas(encode, "doc_id long, quality double, rows binary").collect(), key=lambda r: (r["doc_id"], bytes(r["rows"])))
+    with small_batches(docs.sparkSession):
+        rows = chosen.mapInPandas(encode, "doc_id long, quality double, rows binary").collect()
+    found = sorted(rows, key=lambda r: (r["doc_id"], bytes(r["rows"])))
     if not found:
         return None
     bags = [np.frombuffer(bytes(r["rows"]), "<f2").reshape(-1, WIDTH) for r in found]
@@ -175,14 +178,14 @@ def score_quality(docs: DataFrame, model: GatedAttention | None, passage: int =
     """
     weights = docs.sparkSession.sparkContext.broadcast(None if model is None else model.weights)
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cache = WordCache(word_code)
         for batch in batches:
-            out = []
-            for k in range(0, len(batch), 64):
-                some = batch.iloc[k : k + 64].fillna("").tolist()
+            out = [np.empty(0)]
+            for k in range(0, len(batch), 64):  # only these texts become Python strings
+                some = batch.slice(k, 64).fill_null("").to_pylist()
                 out.append(np.full(len(some), 0.5) if weights.value is None else GatedAttention(weights.value).forward(*passages(some, passage, cache))["p"])
-            yield pd.Series(np.concatenate(out) if out else np.empty(0), dtype="float64")
+            yield pa.array(np.concatenate(out), pa.float64())
 
     return docs.withColumn("__score", score(F.col("text")))

@@ -3,7 +3,7 @@ import time
 
 import pytest
 
-from panelmint.llm.common import WordCache, land, sieved
+from panelmint.llm.common import KEPT, WordCache, land, sieved
 from pyspark.sql import functions as F
 
 
@@ -65,3 +65,17 @@ def test_landing_leaves_no_shuffle_files(spark, no_broadcast):
     assert not shuffled() - held
     assert spark.conf.get(name, None) == before
     assert sorted(map(tuple, landed.collect()))[:2] == [(0, 143), (1, 143)]
+
+
+def test_a_cache_goes_through_what_is_asked_only_and_frees_what_others_kept():
+    class Known(dict):
+        def keys(self):
+            raise AssertionError("all known words are gone through")
+
+        __iter__ = keys
+
+    KEPT["words of another operator"] = [0] * 1000
+    cache = WordCache(len)
+    assert not KEPT
+    cache.known = Known()
+    assert cache.learn({b"one", b"three"})(b"three") == 5 and cache.learn({b"one", b"to"})(b"to") == 2

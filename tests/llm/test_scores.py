@@ -49,6 +49,30 @@ def test_code_and_mixture_are_probabilities():
     assert total == pytest.approx(1, abs=1e-6)
 
 
+def test_scores_do_not_depend_on_lots_and_known_words_are_not_gone_through(monkeypatch):
+    """A text's score is its own, alone or beside others of other lengths; words met again are looked up, not compared with all that are known."""
+    rng = np.random.default_rng(2)
+    words = [f"w{k}" for k in range(40)]
+    counts = {w.encode(): 50 - k for k, w in enumerate(words)}
+    vocabulary = Vocabulary(counts, list(counts)[:9], 2000, 45, 30)
+    tables = [rng.normal(size=n).astype(np.float32) for n in (10, 1 << 16, 1 << 16, 1 << 16)]
+    mixer = Mixer(tables, rng.normal(size=(24, 5)).astype(np.float32), rng.uniform(1, 9, (2, 24 * 33)).astype(np.float32).cumsum(0)[::-1].copy(), block=4)
+    batch = [" ".join(rng.choice([*words, "new", "Wörter"], n)) for n in (0, 1, 3, 9, 40, 130, 2)]
+    table, sizes, logs = vocabulary.read(batch)
+    assert len(table) == len(logs) == sizes.sum() and (table[np.cumsum(sizes) - 1, 0] == vocabulary.end).all()
+    together = mixer.score(vocabulary, table, sizes)
+    for text, score in zip(batch, together):
+        alone, size, _ = vocabulary.read([text])
+        assert mixer.score(vocabulary, alone, size)[0] == pytest.approx(score, rel=1e-5)
+
+    def scanned(self):
+        raise AssertionError("all known words are gone through")
+
+    monkeypatch.setattr(type(vocabulary.known), "keys", scanned, raising=False)
+    again, _, _ = vocabulary.read(batch[::-1])
+    assert len(again) == len(table) and np.array_equal(np.sort(again[:, 1]), np.sort(table[:, 1]))
+
+
 def brute_spans(text):
     out = []
     for kind, (pattern, group, least) in PATTERNS.items():
@@ -127,3 +151,14 @@ def test_gradient_is_the_derivative():
         below = loss()
         model.weights[name][at] = kept
         assert found[name][at] == pytest.approx((above - below) / 2e-5, abs=1e-6)
+
+
+def test_quality_scores_come_by_row(spark):
+    """Null, empty and long texts in one batch: each row has the score that its text has alone."""
+    texts = [None, "", "one two three", " ".join(f"word{k % 50}," for k in range(700)), None, "ÀB 12 $$$"] * 30
+    model = quality.GatedAttention.started()
+    got = quality.score_quality(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), model).collect()
+    for r in got:
+        want = model.forward(*quality.passages([r["text"] or ""], 64, quality.WordCache(quality.word_code)))["p"][0]
+        assert r["__score"] == pytest.approx(want, rel=1e-5) and r["text"] == texts[r["doc_id"]]
+    assert len(got) == len(texts)
