@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from panelmint.llm.common import KEPT, land, small_batches, texts
 
-CACHE_WORDS = 200_000  # some 40 MB in each of the two generations, in each Python worker
-LOT_BYTES = 2 << 20
+CACHE_WORDS = 300_000  # some 60 MB in each of the two generations, in each Python worker
+LOT_BYTES = 4 << 20
 
 
 class WordEncoder:
