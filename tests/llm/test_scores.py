@@ -162,3 +162,25 @@ def test_quality_scores_come_by_row(spark):
         want = model.forward(*quality.passages([r["text"] or ""], 64, quality.WordCache(quality.word_code)))["p"][0]
         assert r["__score"] == pytest.approx(want, rel=1e-5) and r["text"] == texts[r["doc_id"]]
     assert len(got) == len(texts)
+
+
+def test_words_are_looked_up_once_for_each_distinct_one(monkeypatch):
+    """Not once for each token; what comes out is the row of each token."""
+    counts = {f"w{k}".encode(): 50 - k for k in range(9)}
+    vocabulary = Vocabulary(counts, list(counts)[:5], 500, 20, 3)
+    asked = []
+
+    class Watched(type(vocabulary.known)):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    watched = Watched(vocabulary.known)
+    watched.rare = vocabulary.known.rare
+    vocabulary.known = watched
+    batch = ["w1 W2 w1 new\xe9 w1 \x1cw8", "", " \t ", "w2 w1 new\xe9 w2"] * 20
+    token, sizes = vocabulary.numbers(batch)
+    assert len(asked) == len(set(asked)) == 4
+    want = [n for t in batch for n in [*(watched[w] for w in t.encode().lower().split()), 0]]
+    assert token.tolist() == want and sizes.tolist() == [len(t.encode().split()) + 1 for t in batch]
+    assert vocabulary.numbers([""])[0].tolist() == [0]
