@@ -6,8 +6,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from panelmint.llm import quality
-from panelmint.llm.context_mixing import Mixer, Vocabulary, huffman, score_documents
+from panelmint.llm import context_mixing, quality
+from panelmint.llm.context_mixing import Mixer, Vocabulary, huffman, learn_tables, score_documents
 from panelmint.llm.secrets import KINDS, PATTERNS, SYMBOLS, FormatAutomaton, background, background_bits, find_secrets, format_bits
 from tests.llm.conftest import ODD
 
@@ -184,3 +184,43 @@ def test_words_are_looked_up_once_for_each_distinct_one(monkeypatch):
     want = [n for t in batch for n in [*(watched[w] for w in t.encode().lower().split()), 0]]
     assert token.tolist() == want and sizes.tolist() == [len(t.encode().split()) + 1 for t in batch]
     assert vocabulary.numbers([""])[0].tolist() == [0]
+
+
+def test_what_is_learned_follows_the_corpus(spark, monkeypatch):
+    """Codes and slots grow with the training tokens: no number of them is the last."""
+    learned = []
+
+    class Seen(Exception):
+        pass
+
+    def learn(train, vocabulary, slots):
+        learned.append((len(vocabulary.coded), slots))
+        raise Seen
+
+    docs = spark.createDataFrame([(k, "a b") for k in range(9)], "doc_id long, text string")
+    monkeypatch.setattr(context_mixing, "learn_tables", learn)
+    for bits in (24, 28, 29):
+        words = spark.range(30_000).selectExpr("encode(cast(id as string), 'UTF-8') AS word", f"CASE WHEN id = 0 THEN {1 << bits} - 29999 ELSE 1L END AS n")
+        monkeypatch.setattr(context_mixing, "count_words", lambda train: words)  # noqa: B023
+        with pytest.raises(Seen):
+            score_documents(docs)
+    assert learned == [(4096, 1 << 19), (8192, 1 << 23), (16384, 1 << 24)]
+
+
+def test_tables_equal_counts_of_all_steps(spark):
+    """Pages counted where their contexts meet give the log odds of a count over every step of every text."""
+    rng = np.random.default_rng(9)
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(rng.choice([*words, "Neu", "x"], n)) for n in (0, 1, 2, 30, 400, 7)] * 3 + ["  w1\tw2 \n"]
+    counts = {w.encode(): 90 - k for k, w in enumerate(words)}
+    vocabulary = Vocabulary(counts, list(counts)[:40], 6000, 70, len(texts))
+    train = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    for slots in (1 << 16, 1 << 19):
+        got = learn_tables(train, vocabulary, slots).opened()
+        table, sizes, _ = vocabulary.read(texts)
+        _, _, node, bit, _, hashed = vocabulary.steps(table, sizes, slots, 32)
+        assert [len(x) for x in got] == [41, slots, slots, slots]
+        for odds, at in zip(got, [node, *hashed]):
+            seen, ones = np.bincount(at, minlength=len(odds)), np.bincount(at, bit, len(odds))
+            assert odds == pytest.approx(np.log((ones + 0.4) / (seen - ones + 0.4)), abs=1e-5)
+    assert len({int(at) >> 16 for at in hashed[2]}) == 8
