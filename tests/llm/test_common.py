@@ -1,9 +1,11 @@
+import os
 import re
 import time
 
+import pyarrow.parquet as pq
 import pytest
 
-from panelmint.llm.common import KEPT, WordCache, land, sieved
+from panelmint.llm.common import KEPT, WordCache, land, land_long, sieved
 from pyspark.sql import functions as F
 
 
@@ -79,3 +81,13 @@ def test_a_cache_goes_through_what_is_asked_only_and_frees_what_others_kept():
     assert not KEPT
     cache.known = Known()
     assert cache.learn({b"one", b"three"})(b"three") == 5 and cache.learn({b"one", b"to"})(b"to") == 2
+
+
+def test_long_rows_leave_the_writer_a_few_at_a_time(spark):
+    rows = spark.createDataFrame([(k, os.urandom(1 << 20)) for k in range(40)], "id long, data binary").coalesce(1)
+    landed = land_long(rows, "long")
+    assert {r.id: bytes(r.data) for r in landed.collect()} == {r.id: bytes(r.data) for r in rows.collect()}
+    [path] = [p for p in landed.inputFiles() if p.endswith(".parquet")]
+    groups = pq.ParquetFile(path.removeprefix("file://")).metadata
+    most = max(groups.row_group(k).total_byte_size for k in range(groups.num_row_groups))
+    assert groups.num_rows == 40 and most <= 20 << 20
